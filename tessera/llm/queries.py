@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality_rules
+from tessera.llm import packing, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of 2,048 tokens, mixed in the proportions of the sources."""
+    return packing.pack(table(spark, sf_dir, "documents")).drop("ids", "source")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rules and the isolation forest's verdict on each document."""
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
@@ -21,7 +26,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules,)}
+    return {f.__name__: f for f in (op2_packing, op3_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
