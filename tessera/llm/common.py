@@ -53,6 +53,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
+    if e.isEmpty():
+        return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     mark = None
     for _ in range(max_rounds):
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

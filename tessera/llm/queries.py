@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, packing, quality_rules
+from tessera.llm import decontamination, jaccard_join, packing, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,14 +25,36 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", F.round("anomaly", 6).alias("anomaly"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with a Jaccard similarity of 0.9 or more over three-word shingles."""
+    return jaccard_join.cluster(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents WHERE doc_id IS NOT NULL
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
+SELECT r.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(reached) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item in every document, with up to 5 % of its bytes edited."""
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op3_quality_rules, op6_decontamination)}
+    return {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_jaccard_join, op6_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_jaccard_join": OP4_SQL}
