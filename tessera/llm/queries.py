@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, line_dedup, packing, quality_rules
+from tessera.llm import decontamination, jaccard_join, line_dedup, packing, quality_rules, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,13 +52,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the 50-byte strings that an earlier document has."""
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=50).drop("kept")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the lines that are equal or within two edits to an earlier one of the corpus."""
     return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_jaccard_join, op6_decontamination, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_jaccard_join, op6_decontamination, op8_suffix_dedup, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
