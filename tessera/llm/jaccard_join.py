@@ -298,7 +298,8 @@ def cluster(
             .where("parts = 1 or mine <> other")
             .withColumn("cell", F.greatest("mine", "other") * F.col("parts") + F.least("mine", "other"))
         )
-    rows = dealt.select("block", "cell", "f1", "f2", "rep").join(
+    # a sort-merge join at every size: the picked sets are a share of all documents, so they outgrow any broadcast
+    rows = dealt.select("block", "cell", "f1", "f2", "rep").hint("merge").join(
         source.withColumnRenamed("doc_id", "rep").select("rep", "text"), "rep"
     )
 
