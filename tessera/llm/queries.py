@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, line_dedup, packing, quality_rules, suffix_dedup
+from tessera.llm import decontamination, jaccard_join, language_id, line_dedup, packing, quality_rules, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,15 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, learned from the four fifths that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model, names = language_id.train(docs.where(~held_out))
+    out = language_id.identify(docs.select("doc_id", "text"), model, names)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item in every document, with up to 5 % of its bytes edited."""
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -63,7 +72,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_jaccard_join, op6_decontamination, op8_suffix_dedup, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op8_suffix_dedup, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
