@@ -93,27 +93,23 @@ def lines_of(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
 def removed_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: str = "text") -> DataFrame:
     """doc_id, no, exact: the lines to remove, as numbers from 0 in their documents."""
     prepare(docs.sparkSession)
-    length = F.char_length("line")
     marks = lines_of(docs, text, min_chars).select(
-        "doc_id", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", length).alias("h2"),
-        F.array(*index_keys(F.col("line"), length, edits)).alias("index"),
-        F.array(*probe_keys(F.col("line"), length, edits)).alias("probe"),
+        "doc_id", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", F.char_length("line")).alias("h2")
     )
     marks = stage(marks, "line-marks")
-    line = F.struct("doc_id", "no", "index", "probe")
-    distinct = stage(marks.groupBy("h1", "h2").agg(F.min(line).alias("s"), F.count("*").alias("n")).select("h1", "h2", "n", "s.*"), "line-distinct")
+    distinct = stage(marks.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "no")).alias("first"), F.count("*").alias("n")), "line-distinct")
     copies = (
-        marks.select("doc_id", "no", "h1", "h2")
-        .join(distinct.where("n > 1").select("h1", "h2", F.struct("doc_id", "no").alias("first")), ["h1", "h2"])
+        marks.join(distinct.where("n > 1").select("h1", "h2", "first"), ["h1", "h2"])
         .where(F.struct("doc_id", "no") > F.col("first"))
         .select("doc_id", "no", F.lit(True).alias("exact"))
     )
 
     # the distinct lines that meet under a key, as index or as probe
-    entry = F.struct("doc_id", "no").alias("id")
-    keys = distinct.select(entry, F.explode("index").alias("key"), F.lit(False).alias("probing")).unionByName(
-        distinct.select(entry, F.explode("probe").alias("key"), F.lit(True).alias("probing"))
-    )
+    firsts = distinct.groupBy("first.doc_id").agg(F.collect_list("first.no").alias("nos"))
+    line, length = F.col("line"), F.char_length("line")
+    keys = [F.struct(k.alias("key"), F.lit(False).alias("probing")) for k in index_keys(line, length, edits)]
+    keys += [F.struct(k.alias("key"), F.lit(True).alias("probing")) for k in probe_keys(line, length, edits)]
+    keys = _chosen_lines(docs, stage(firsts, "line-firsts"), text).select("id", F.explode(F.array(*keys)).alias("k")).select("id", "k.*")
     met = (
         keys.where("key is not null")
         .withColumn("low", F.expr("min(id) over (partition by key)")).withColumn("high", F.expr("max(id) over (partition by key)"))
@@ -135,14 +131,21 @@ def removed_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: st
     return copies.unionByName(near.select("id.doc_id", "id.no", F.lit(False).alias("exact")))
 
 
+def _chosen_lines(docs: DataFrame, chosen: DataFrame, text: str) -> DataFrame:
+    """(id, line) of the lines of numbers `nos` in `chosen`, a row for each document. By a sort-merge join at every size, as
+    the chosen are a share of all documents."""
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    picked = F.transform(F.split("text", "\n"), lambda x, i: F.when(F.array_contains("nos", i), F.struct(i.alias("no"), x.alias("line"))))
+    rows = texts.join(chosen.hint("merge"), "doc_id").select("doc_id", F.explode(F.filter(picked, lambda x: x.isNotNull())).alias("l"))
+    return rows.select(F.struct("doc_id", F.col("l.no").alias("no")).alias("id"), F.col("l.line").alias("line"))
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, edits: int, text: str) -> DataFrame:
     """The pairs (id, other) of lines within the edits."""
     ids = pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct()
     ids = stage(ids.select("id.doc_id", "id.no"), "line-ids")
     wanted = stage(ids.groupBy("doc_id").agg(F.collect_set("no").alias("nos")), "line-docs")
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    lines = texts.join(wanted, "doc_id").select(F.col("doc_id"), F.explode("nos").alias("no"), F.split("text", "\n").alias("ls"))
-    lines = lines.select(F.struct("doc_id", "no").alias("id"), F.get("ls", F.col("no")).alias("line")).where("line is not null").distinct()
+    lines = _chosen_lines(docs, wanted, text).distinct()
     lines = stage(lines, "line-texts")
     both = pairs.join(lines, "id").join(lines.select(F.col("id").alias("other"), F.col("line").alias("line2")), "other")
     return both.where(within(F.col("line"), F.col("line2"), edits)).select("id", "other")
