@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, language_id, line_dedup, packing, quality_rules, suffix_dedup
+from tessera.llm import decontamination, jaccard_join, language_id, line_dedup, packing, quality_classifier, quality_rules, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of each document under a model of trusted text, and the verdict by its language's threshold."""
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of 2,048 tokens, mixed in the proportions of the sources."""
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids", "source")
@@ -72,7 +77,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op8_suffix_dedup, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op8_suffix_dedup, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
