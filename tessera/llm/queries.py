@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, language_id, line_dedup, packing, quality_classifier, quality_rules, suffix_dedup
+from tessera.llm import decontamination, jaccard_join, language_id, line_dedup, packing, quality_classifier, quality_rules, suffix_dedup, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of each page's URL."""
+    return url_filters.judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the 50-byte strings that an earlier document has."""
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=50).drop("kept")
@@ -77,7 +82,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op8_suffix_dedup, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op7_url_filters, op8_suffix_dedup, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
