@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, language_id, line_dedup, packing, quality_classifier, quality_rules, suffix_dedup, url_filters
+from tessera.llm import decontamination, jaccard_join, language_id, line_dedup, packing, pii, quality_classifier, quality_rules, suffix_dedup, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,13 +76,20 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=50).drop("kept")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with pseudonyms for its personal data, and how many values of each kind were replaced."""
+    key = spark.conf.get("tessera.pii.key", "a key for tests")
+    out = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    return out.select("doc_id", "text", *[F.coalesce(F.try_element_at("pii", F.lit(k)), F.lit(0)).cast("long").alias(f"n_{k}") for k in pii.PATTERNS])
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the lines that are equal or within two edits to an earlier one of the corpus."""
     return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op7_url_filters, op8_suffix_dedup, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op7_url_filters, op8_suffix_dedup, op9_pii, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
