@@ -15,36 +15,48 @@ from pyspark.sql import functions as F
 from tessera.llm.common import prepare, stage
 
 
-def segments(length: Column, parts: int) -> list[tuple[Column, Column]]:
-    """(start from 1, length) of each of the near-equal segments of a line, the longer ones last."""
-    short = (length / parts).cast("int")
-    longer = length - short * parts
-    out = []
-    for k in range(parts):
-        start = short * k + F.greatest(longer - (parts - k), F.lit(0)) + 1
-        out.append((start.cast("int"), (short + F.when(longer >= parts - k, 1).otherwise(0)).cast("int")))
-    return out
+def probes(edits: int) -> list[tuple[int, int, int]]:
+    """(gap, segment, shift) of the substrings that can equal a segment of a line of the same length or up to `edits` shorter.
 
+    For segment k (from 0) of a line that is `gap` shorter, counting edits from the left bounds the shift to
+    [-k, k], and from the right to gap + [-(edits - k), edits - k]; only shifts in both are probed.
+    """
+    return [
+        (gap, k, shift)
+        for gap in range(edits + 1)
+        for k in range(edits + 1)
+        for shift in range(max(-k, gap - (edits - k)), min(k, gap + edits - k) + 1)
+    ]
 
-def index_keys(line: Column, length: Column, edits: int) -> list[Column]:
-    return [F.xxhash64(length, F.lit(k), F.substring(line, a, n)) for k, (a, n) in enumerate(segments(length, edits + 1))]
 
+def keyed(lines: DataFrame, edits: int) -> DataFrame:
+    """(id, key, probing) for each line's segments and probes; key is null where a substring would lie outside its line."""
+    parts = edits + 1
+    cuts = [(0, k, 0, False) for k in range(parts)] + [(*p, True) for p in probes(edits)]
+    names = ("gap", "k", "shift", "probing")
+    each = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, c)]) for c in cuts]))
+    rows = lines.select("id", "line", F.char_length("line").alias("length"), each.alias("c")).select("id", "line", "length", "c.*")
+    rows = rows.withColumn("shorter", F.col("length") - F.col("gap"))
+    rows = rows.withColumn("short", F.expr(f"shorter div {parts}").cast("int")).withColumn("longer", F.expr(f"shorter % {parts} - {parts} + k"))
+    # the last shorter % parts segments are one character longer
+    rows = rows.withColumn("start", F.expr("short * k + greatest(longer, 0) + 1 + shift")).withColumn("n", F.expr("short + if(longer >= 0, 1, 0)"))
+    key = F.when((F.col("start") >= 1) & (F.col("start") + F.col("n") - 1 <= F.col("length")), F.xxhash64("shorter", "k", F.substring("line", F.col("start"), F.col("n"))))
+    return rows.select("id", key.alias("key"), "probing")
 
-def probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
-    """Keys of the substrings that can equal a segment of a line of the same length or up to `edits` shorter.
 
-    For segment k (from 0) of a line that is `gap` shorter, counting edits from the left bounds the shift to
-    [-k, k], and from the right to gap + [-(edits - k), edits - k]; only shifts in both are probed.
-    """
-    out = []
-    for gap in range(edits + 1):
-        shorter = length - gap
-        for k, (a, n) in enumerate(segments(shorter, edits + 1)):
-            for shift in range(max(-k, gap - (edits - k)), min(k, gap + edits - k) + 1):
-                at = a + shift
-                inside = (at >= 1) & (at + n - 1 <= length)
-                out.append(F.when(inside, F.xxhash64(shorter.cast("int"), F.lit(k), F.substring(line, at, n))))
-    return out
+#: Characters whose counts part lines that only share a segment: an edit changes their sum of differences by two at most.
+COUNTED = " eantrio"
+
+
+def counts_of(line: Column) -> Column:
+    return F.array(*[F.char_length(line) - F.char_length(F.replace(line, F.lit(c), F.lit(""))) for c in COUNTED])
+
+
+def near_counts(a: Column, b: Column, edits: int) -> Column:
+    total = F.abs(a[0] - b[0])
+    for k in range(1, len(COUNTED)):
+        total = total + F.abs(a[k] - b[k])
+    return total <= 2 * edits
 
 
 def _let(value: Column, body) -> Column:
@@ -106,10 +118,7 @@ def removed_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: st
 
     # the distinct lines that meet under a key, as index or as probe
     firsts = distinct.groupBy("first.doc_id").agg(F.collect_list("first.no").alias("nos"))
-    line, length = F.col("line"), F.char_length("line")
-    keys = [F.struct(k.alias("key"), F.lit(False).alias("probing")) for k in index_keys(line, length, edits)]
-    keys += [F.struct(k.alias("key"), F.lit(True).alias("probing")) for k in probe_keys(line, length, edits)]
-    keys = _chosen_lines(docs, stage(firsts, "line-firsts"), text).select("id", F.explode(F.array(*keys)).alias("k")).select("id", "k.*")
+    keys = keyed(_chosen_lines(docs, stage(firsts, "line-firsts"), text), edits)
     met = (
         keys.where("key is not null")
         .withColumn("low", F.expr("min(id) over (partition by key)")).withColumn("high", F.expr("max(id) over (partition by key)"))
@@ -117,16 +126,23 @@ def removed_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: st
     )
     met = stage(met, "line-met")
 
+    wanted = met.select("id").distinct().groupBy("id.doc_id").agg(F.collect_list("id.no").alias("nos"))
+    lines = _chosen_lines(docs, stage(wanted, "line-docs"), text).distinct().withColumn("c", counts_of(F.col("line")))
+    lines = stage(lines, "line-texts")
+    met = stage(met.join(lines.select("id", "c"), "id"), "line-counts")
+
     # first each line against the first line it meets under a key, a row for each line and key; then only lines that this
-    # leaves, against the other earlier lines they meet
-    firsts = met.groupBy("key", "probing").agg(F.min("id").alias("other"), F.count("*").alias("n"))
-    firsts = stage(firsts.withColumn("probing", ~F.col("probing")), "line-firsts")
-    tries = stage(met.join(firsts, ["key", "probing"]).where("other < id").select("id", "other").distinct(), "line-tries")
-    near = stage(_verified(docs, tries, edits, text).select("id").distinct(), "line-near")
-    rest = met.join(firsts.where("n > 1").select("key", "probing"), ["key", "probing"], "left_semi").join(near, "id", "left_anti")
-    others = met.select("key", (~F.col("probing")).alias("probing"), F.col("id").alias("other"))
-    rest = stage(rest.join(others, ["key", "probing"]).where("other < id").select("id", "other").distinct().join(tries, ["id", "other"], "left_anti"), "line-rest")
-    near = near.unionByName(_verified(docs, rest, edits, text).select("id").distinct())
+    # leaves, against the other earlier lines they meet. Pairs whose counts differ too much are never made.
+    other = F.min(F.struct(F.col("id").alias("other"), F.col("c").alias("d"))).alias("o")
+    least = stage(met.groupBy("key", (~F.col("probing")).alias("probing")).agg(other, F.count("*").alias("n")).select("key", "probing", "n", "o.*"), "line-least")
+    near_to = (F.col("other") < F.col("id")) & near_counts(F.col("c"), F.col("d"), edits)
+    tries = stage(met.join(least, ["key", "probing"]).where(near_to).select("id", "other").distinct(), "line-tries")
+    near = stage(_verified(tries, lines, edits).select("id").distinct(), "line-near")
+    rest = met.join(least.where("n > 1").select("key", "probing"), ["key", "probing"], "left_semi").join(near, "id", "left_anti")
+    others = met.select(F.col("key").alias("key2"), F.col("probing").alias("probing2"), F.col("id").alias("other"), F.col("c").alias("d"))
+    rest = rest.join(others, (F.col("key") == F.col("key2")) & (F.col("probing") != F.col("probing2")) & near_to).select("id", "other").distinct()
+    rest = stage(rest.join(tries, ["id", "other"], "left_anti"), "line-rest")
+    near = near.unionByName(_verified(rest, lines, edits).select("id").distinct())
     # the copies of a removed line come after it and are exact copies already
     return copies.unionByName(near.select("id.doc_id", "id.no", F.lit(False).alias("exact")))
 
@@ -135,19 +151,13 @@ def _chosen_lines(docs: DataFrame, chosen: DataFrame, text: str) -> DataFrame:
     """(id, line) of the lines of numbers `nos` in `chosen`, a row for each document. By a sort-merge join at every size, as
     the chosen are a share of all documents."""
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    picked = F.transform(F.split("text", "\n"), lambda x, i: F.when(F.array_contains("nos", i), F.struct(i.alias("no"), x.alias("line"))))
-    rows = texts.join(chosen.hint("merge"), "doc_id").select("doc_id", F.explode(F.filter(picked, lambda x: x.isNotNull())).alias("l"))
-    return rows.select(F.struct("doc_id", F.col("l.no").alias("no")).alias("id"), F.col("l.line").alias("line"))
+    rows = texts.join(chosen.hint("merge"), "doc_id").select("doc_id", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    return rows.where(F.array_contains("nos", F.col("no"))).select(F.struct("doc_id", "no").alias("id"), "line")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, edits: int, text: str) -> DataFrame:
+def _verified(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     """The pairs (id, other) of lines within the edits."""
-    ids = pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct()
-    ids = stage(ids.select("id.doc_id", "id.no"), "line-ids")
-    wanted = stage(ids.groupBy("doc_id").agg(F.collect_set("no").alias("nos")), "line-docs")
-    lines = _chosen_lines(docs, wanted, text).distinct()
-    lines = stage(lines, "line-texts")
-    both = pairs.join(lines, "id").join(lines.select(F.col("id").alias("other"), F.col("line").alias("line2")), "other")
+    both = pairs.join(lines.select("id", "line"), "id").join(lines.select(F.col("id").alias("other"), F.col("line").alias("line2")), "other")
     return both.where(within(F.col("line"), F.col("line2"), edits)).select("id", "other")
 
 
@@ -165,7 +175,7 @@ def dedup(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: str = "tex
     )
     gone = stage(gone.withColumnRenamed("doc_id", "__id"), "line-gone")
     none = F.array().cast("array<int>")
-    out = docs.join(gone, docs["doc_id"].cast("long") == gone["__id"], "left")
+    out = docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["__id"], "left")
     drop = F.coalesce(F.array_union("__copies", "__near"), none)
     lines = F.split(F.col(text), "\n")
     left = F.when(F.size(drop) == 0, F.col(text)).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(drop, i)), "\n"))
