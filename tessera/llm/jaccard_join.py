@@ -57,12 +57,10 @@ class Classes:
 
     If the smaller of two linked sets has at most a elements, they differ in at most a * (1 - s) / s. A class spans sizes up
     to (1 / s) ** 2 times its least, so a set's linked larger partner lies in the same class or the next: sets are cut
-    for their own class and, as a larger partner, for the class below. SPARE runs more than needed let sets with no
-    more empty runs than that leave them out.
+    for their own class and, as a larger partner, for the class below. A seventh more runs than needed (`spare`) let
+    sets with no more empty runs than that leave them out.
     """
 
-    SPARE = 1
-
     def __init__(self, percent: int, most: int):
         self.low, self.high = [], []
         # sizes with which two different sets can be linked at all: a * 100 >= percent * (a + 1)
@@ -72,16 +70,19 @@ class Classes:
             self.high.append(max(int(a * (100 / percent) ** 2), a))
             a = self.high[-1] + 1
         self.low, self.high = np.array(self.low, np.int64), np.array(self.high, np.int64)
-        self.runs = self.high * (100 - percent) // percent + 1 + self.SPARE
+        least = self.high * (100 - percent) // percent + 1
+        self.spare = np.maximum(least // 7, 1)
+        self.runs = least + self.spare
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, sizes, "right") - 1
 
 
-def run_keys(key: np.ndarray, at: np.ndarray, classes: Classes, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def run_keys(key: np.ndarray, at: np.ndarray, classes: Classes, percent: int, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(keys, set of each): a 64-bit key for each run of each set, for its own class and the class below if partners there
-    can be large enough."""
+    can be large enough. Runs leave out the n-grams flagged as frequent; a set's size counts them."""
     sizes = np.diff(at)
+    rare = np.ones(len(key), bool) if frequent is None else ~frequent[key >> np.uint64(64 - FREQUENT_BITS)]
     own = classes.of(sizes)
     out, owners = [], []
     for down in (0, 1):
@@ -95,7 +96,7 @@ def run_keys(key: np.ndarray, at: np.ndarray, classes: Classes, percent: int) ->
         m = classes.runs[c[sets]]
         member = np.repeat(np.arange(len(sets)), sizes[sets])
         element = np.repeat(at[sets] - np.concatenate([[0], np.cumsum(sizes[sets])[:-1]]), sizes[sets]) + np.arange(len(member))
-        value = key[element]
+        member, value = member[rare[element]], key[element[rare[element]]]
         base = np.concatenate([[0], np.cumsum(m)])
         run = (((value >> np.uint64(32)) * m[member].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
         cell = base[member] + run
@@ -106,7 +107,7 @@ def run_keys(key: np.ndarray, at: np.ndarray, classes: Classes, percent: int) ->
         owner = np.repeat(np.arange(len(sets)), m)
         number = np.arange(base[-1]) - base[owner]
         empty = sums == 0
-        use = ~empty | (np.bincount(owner[empty], minlength=len(sets)) > Classes.SPARE)[owner]
+        use = ~empty | (np.bincount(owner[empty], minlength=len(sets)) > classes.spare[c[sets]])[owner]
         label = (c[sets][owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)
         out.append(tx.mix(sums + tx.mix(label))[use])
         owners.append(sets[owner[use]])
@@ -231,13 +232,47 @@ def link_sets(sets: list[np.ndarray], percent: int) -> list[int]:
     return [tree.find(k) for k in range(len(sets))]
 
 
+#: Bits by which frequent n-grams are told, and how many of them at most: both bound what is broadcast.
+FREQUENT_BITS, MOST_FREQUENT = 24, 1 << 20
+
+
+def frequent(source: DataFrame, words: int, least: int = 32, in_batch: int = 3) -> np.ndarray:
+    """A table of 2 ** FREQUENT_BITS flags, set for the n-grams found in many documents (and the few others that share a flag).
+
+    Any set will do: n-grams left out of all runs alike can only make the differences of two sets fewer. Leaving out those of
+    passages that many documents share keeps such documents out of each other's blocks. A task sends the n-grams of
+    in_batch documents or more of a batch; the MOST_FREQUENT most frequent with `least` documents in all are taken.
+    """
+
+    def run(batches):
+        for b in batches:
+            key, _ = shingles(*tx.buffers(b.column(0)), words)
+            value, n = np.unique(key, return_counts=True)
+            many = n >= in_batch
+            yield pa.RecordBatch.from_arrays([pa.array(value[many].view(np.int64)), pa.array(n[many].astype(np.int64))], ["gram", "n"])
+
+    total = source.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    top = total.where(F.col("n") >= least).orderBy(F.desc("n"), "gram").limit(MOST_FREQUENT).select("gram").toPandas()
+    flags = np.zeros(1 << FREQUENT_BITS, bool)
+    flags[top["gram"].to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - FREQUENT_BITS)] = True
+    return flags
+
+
 def cluster(
-    docs: DataFrame, words: int = 3, percent: int = 90, text: str = "text", most_shingles: int = 1 << 31, block_shingles: int = 2_000_000
+    docs: DataFrame,
+    words: int = 3,
+    percent: int = 90,
+    text: str = "text",
+    most_shingles: int = 1 << 31,
+    block_shingles: int = 2_000_000,
+    leave_out_frequent: bool | None = None,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of every document: the smallest doc_id reachable by links, itself included.
 
     Documents link when 100 * intersection >= percent * union of their sets of `words`-word n-grams (A-Z lower-cased).
     Blocks of more than block_shingles elements are split; every pair of the parts is joined in a task of its own.
+    leave_out_frequent: cut runs from the less frequent n-grams only, which takes a pass more; by default below 90 percent, where runs
+    are so short that documents with a passage in common would share some.
 
     Null, empty and wordless texts have the empty set, linked with nothing. Rows without doc_id have no identity and are
     left out. Repeated rows are one document with one row for each; an empty table gives no rows.
@@ -246,8 +281,13 @@ def cluster(
     classes = Classes(percent, most_shingles)
     source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
 
+    if leave_out_frequent is None:
+        leave_out_frequent = percent < 90
+    flags = source.sparkSession.sparkContext.broadcast(np.packbits(frequent(source, words))) if leave_out_frequent else None  # 2 MB
+
     def mark(batches):
         seen: set = set()
+        known = np.unpackbits(flags.value).view(bool) if flags else None
         for b in batches:
             key, at = shingles(*tx.buffers(b.column(1)), words)
             sizes = np.diff(at)
@@ -259,7 +299,8 @@ def cluster(
                     fresh[k] = True
             chosen = np.flatnonzero(fresh)
             part = np.concatenate([key[at[k] : at[k + 1]] for k in chosen]) if len(chosen) else key[:0]
-            runs, owner = run_keys(part, np.concatenate([[0], np.cumsum(sizes[chosen])]).astype(np.int64), classes, percent)
+            at_chosen = np.concatenate([[0], np.cumsum(sizes[chosen])]).astype(np.int64)
+            runs, owner = run_keys(part, at_chosen, classes, percent, known)
             order = np.argsort(owner, kind="stable")
             n = np.zeros(len(sizes), np.int64)
             if len(chosen):
