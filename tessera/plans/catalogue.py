@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-_QUERIES: dict[str, Callable] = {}
-_SQL: dict[str, str] = {}
+from tessera.plans import assignment, barcodes, expression, geometry, kernels, pixels, spatial  # noqa: F401  each registers its queries
+from tessera.plans.registry import QUERIES, SQL
 
 
 def queries() -> dict[str, Callable]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)
