@@ -1,0 +1,191 @@
+"""Queries over the table of cells and genes."""
+
+from __future__ import annotations
+
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tessera.operators import cells as cell_ops
+from tessera.operators import expression as ops
+from tessera.plans.registry import query
+from tessera.sources import fixtures as fx
+
+E = f"WITH {fx.READS}, {fx.EXPR}"
+
+
+def table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.expr(spark, sf_dir)
+
+
+@query(f"{E} SELECT seg_label, sum(n)::BIGINT AS total_counts, count(*) AS n_genes, max(n) AS top_count FROM expr GROUP BY seg_label")
+def qc_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and genes of each cell."""
+    return ops.cell_metrics(table(spark, sf_dir), "seg_label", "gene", "n")
+
+
+@query(f"{E} SELECT gene, sum(n)::BIGINT AS total, count(*) AS cells FROM expr GROUP BY gene ORDER BY total DESC, gene LIMIT 20")
+def top_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty genes with the most counts."""
+    return table(spark, sf_dir).groupBy("gene").agg(F.sum("n").alias("total"), F.count("*").alias("cells")).orderBy(F.desc("total"), "gene").limit(20)
+
+
+@query(f"""{E}, c AS (SELECT seg_label FROM expr GROUP BY seg_label HAVING sum(n) >= 10 AND count(*) >= 5), g AS (SELECT gene FROM expr GROUP BY gene HAVING count(*) >= 3)
+SELECT seg_label, gene, n FROM expr WHERE seg_label IN (SELECT seg_label FROM c) AND gene IN (SELECT gene FROM g)""")
+def filter_cells_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with enough counts and genes, and genes in enough cells."""
+    e = table(spark, sf_dir)
+    c = e.groupBy("seg_label").agg(F.sum("n").alias("t"), F.count("*").alias("g")).where("t >= 10 and g >= 5").select("seg_label")
+    g = e.groupBy("gene").agg(F.count("*").alias("c")).where("c >= 3").select("gene")
+    return e.join(c, "seg_label", "left_semi").join(g, "gene", "left_semi").select("seg_label", "gene", "n")
+
+
+@query(f"{E}, m AS (SELECT count(DISTINCT seg_label) AS cells FROM expr) SELECT gene, count(*) AS detected FROM expr, m GROUP BY gene, cells HAVING count(*) > 0.5 * cells")
+def detected_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genes found in more than a share of the cells."""
+    e = table(spark, sf_dir)
+    m = e.select("seg_label").distinct().agg(F.count("*").alias("cells"))
+    return e.groupBy("gene").agg(F.count("*").alias("detected")).join(F.broadcast(m), F.col("detected") > 0.5 * F.col("cells")).select("gene", "detected")  # one row
+
+
+@query(f"""{E}, t AS (SELECT seg_label, sum(n)::DOUBLE AS total FROM expr GROUP BY seg_label), q AS (SELECT quantile_cont(total, 0.05) AS lo, quantile_cont(total, 0.95) AS hi FROM t)
+SELECT seg_label, total FROM t, q WHERE total > lo AND total < hi""")
+def percentile_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells whose counts lie between two percentiles."""
+    t = table(spark, sf_dir).groupBy("seg_label").agg(F.sum("n").cast("double").alias("total"))
+    q = t.agg(F.percentile("total", 0.05).alias("lo"), F.percentile("total", 0.95).alias("hi"))
+    return t.join(F.broadcast(q), (F.col("total") > F.col("lo")) & (F.col("total") < F.col("hi"))).select("seg_label", "total")  # one row
+
+
+NORM = f"{E}, t AS (SELECT seg_label, sum(n) AS total FROM expr GROUP BY seg_label), norm AS (SELECT seg_label, gene, n, ln(1 + n / total * 10000) AS v FROM expr JOIN t USING (seg_label))"
+
+
+@query(f"{NORM} SELECT seg_label, gene, round(v, 6) AS v FROM norm")
+def normalize_log1p(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised counts on a logarithmic scale."""
+    return ops.normalise(table(spark, sf_dir), "seg_label", "n", 10000.0).select("seg_label", "gene", F.round("log_norm", 6).alias("v"))
+
+
+SCALED = f"""{NORM}, m AS (SELECT count(DISTINCT seg_label) AS k FROM norm), s AS (SELECT gene, sum(v) / k AS mean, sqrt(greatest(sum(v * v) - k * (sum(v) / k) ** 2, 0) / (k - 1)) AS sd FROM norm, m GROUP BY gene, k)"""
+
+
+@query(f"{SCALED} SELECT gene, round(mean, 6) AS mean, round(sd, 6) AS sd FROM s")
+def gene_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and deviation of each gene over all cells."""
+    return moments(spark, sf_dir)[1].select("gene", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"))
+
+
+def moments(spark: SparkSession, sf_dir: str):
+    v = ops.normalise(table(spark, sf_dir), "seg_label", "n", 10000.0).select("seg_label", "gene", F.col("log_norm").alias("v"))
+    cells = v.select("seg_label").distinct().agg(F.count("*").alias("k"))
+    with_k = v.crossJoin(F.broadcast(cells))  # one row
+    s = with_k.groupBy("gene", "k").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"))
+    mean = F.col("s") / F.col("k")
+    return v, s.select("gene", mean.alias("mean"), F.sqrt(F.greatest(F.col("q") - F.col("k") * mean * mean, F.lit(0.0)) / (F.col("k") - 1)).alias("sd"))
+
+
+@query(f"""{SCALED}, c AS (SELECT DISTINCT seg_label FROM norm) SELECT c.seg_label, s.gene, round((coalesce(n.v, 0) - mean) / nullif(sd, 0), 4) + 0 AS z FROM c CROSS JOIN s LEFT JOIN norm n ON n.seg_label = c.seg_label AND n.gene = s.gene""")
+def scale_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell's value of every gene with mean 0 and deviation 1, those without a count too."""
+    v, m = moments(spark, sf_dir)
+    genes = m.agg(F.collect_list(F.struct("gene", "mean", "sd")).alias("genes"))  # the panel: one row
+    dense = v.select("seg_label").distinct().crossJoin(F.broadcast(genes)).select("seg_label", F.explode("genes").alias("g")).select("seg_label", "g.*")
+    z = F.try_divide(F.coalesce("v", F.lit(0.0)) - F.col("mean"), F.when(F.col("sd") != 0, F.col("sd")))
+    return dense.join(v, ["seg_label", "gene"], "left").select("seg_label", "gene", (F.round(z, 4) + 0).alias("z"))
+
+
+TYPED = f"{E}, {fx.CELLS}, typed AS (SELECT cell_type, gene, n FROM expr JOIN cells USING (seg_label)), sizes AS (SELECT cell_type, count(*) AS m FROM cells WHERE seg_label IN (SELECT seg_label FROM expr) GROUP BY ALL)"
+
+
+@query(f"""{TYPED}, a AS (SELECT cell_type, gene, sum(n) AS s, sum(n * n) AS q FROM typed GROUP BY ALL), b AS (SELECT a.*, m, sum(m) OVER (PARTITION BY gene) - m AS m2, sum(s) OVER (PARTITION BY gene) - s AS s2, sum(q) OVER (PARTITION BY gene) - q AS q2 FROM a JOIN sizes USING (cell_type)),
+t AS (SELECT cell_type, gene, round((s / m - s2 / m2) / sqrt((q - s * s / m) / (m - 1) / m + (q2 - s2 * s2 / m2) / (m2 - 1) / m2), 4) AS t FROM b)
+SELECT cell_type, gene, t FROM (SELECT *, row_number() OVER (PARTITION BY cell_type ORDER BY t DESC, gene) AS k FROM t) WHERE k <= 5""")
+def marker_ttest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five genes that most set each cell type apart from the rest, by Welch's t."""
+    cells = fx.cells(spark, sf_dir).select("seg_label", "cell_type")
+    e = table(spark, sf_dir)
+    sizes = cells.join(e.select("seg_label").distinct(), "seg_label", "left_semi").groupBy("cell_type").agg(F.count("*").alias("m"))
+    a = e.join(cells, "seg_label").groupBy("cell_type", "gene").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q")).join(sizes, "cell_type")
+    rest = Window.partitionBy("gene")
+    a = a.select("*", *[(F.sum(c).over(rest) - F.col(c)).alias(f"{c}2") for c in ("m", "s", "q")])
+    for k in ("", "2"):
+        m, s, q = F.col(f"m{k}"), F.col(f"s{k}"), F.col(f"q{k}")
+        a = a.withColumn(f"mean{k}", s / m).withColumn(f"var{k}", (q - s * s / m) / (m - 1))
+    t = a.select("cell_type", "gene", F.round(ops.welch(a, "mean", "var", "m", "mean2", "var2", "m2"), 4).alias("t"))
+    w = Window.partitionBy("cell_type").orderBy(F.desc("t"), "gene")
+    return t.withColumn("k", F.row_number().over(w)).where("k <= 5").drop("k")
+
+
+@query(f"""{E} SELECT seg_label, round(s, 6) AS s_score, round(g2m, 6) AS g2m_score, CASE WHEN s < 0 AND g2m < 0 THEN 'G1' WHEN s >= g2m THEN 'S' ELSE 'G2M' END AS phase FROM (
+  SELECT seg_label, (sum(n) FILTER (WHERE gene IN ('Brand#1', 'Brand#2', 'Brand#3')))::DOUBLE / 3 - (sum(n) FILTER (WHERE gene IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#14')))::DOUBLE / 4 AS s0,
+    coalesce(sum(n) FILTER (WHERE gene IN ('Brand#1', 'Brand#2', 'Brand#3')), 0)::DOUBLE / 3 - coalesce(sum(n) FILTER (WHERE gene IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#14')), 0)::DOUBLE / 4 AS s,
+    coalesce(sum(n) FILTER (WHERE gene IN ('Brand#4', 'Brand#5', 'Brand#6')), 0)::DOUBLE / 3 - coalesce(sum(n) FILTER (WHERE gene IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#14')), 0)::DOUBLE / 4 AS g2m FROM expr GROUP BY seg_label)""")
+def cell_cycle_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of two gene sets against a control set, and the phase they mean."""
+    mean = lambda ks: F.coalesce(F.sum(F.when(F.col("gene").isin([f"Brand#{k}" for k in ks]), F.col("n"))), F.lit(0)).cast("double") / len(ks)
+    control = mean(range(11, 15))
+    s = table(spark, sf_dir).groupBy("seg_label").agg((mean((1, 2, 3)) - control).alias("s"), (mean((4, 5, 6)) - control).alias("g"))
+    phase = F.when((F.col("s") < 0) & (F.col("g") < 0), "G1").when(F.col("s") >= F.col("g"), "S").otherwise("G2M")
+    return s.select("seg_label", F.round("s", 6).alias("s_score"), F.round("g", 6).alias("g2m_score"), phase.alias("phase"))
+
+
+@query("""WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS p FROM embeddings), q AS (SELECT * FROM e WHERE vec_id % 25 = 0),
+d AS (SELECT q.vec_id AS q, e.vec_id AS b, round(sum((q.v - e.v) ** 2), 6) AS d FROM q JOIN e ON q.p = e.p AND q.vec_id <> e.vec_id GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d, b) AS k FROM d) SELECT q, b, d, k FROM k WHERE k <= 10""")
+def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of all vectors to each of a stated set of queries. Every vector keeps its distances to the queries in its own
+    partition, and only each partition's ten best for a query go on."""
+    e = fx.table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("v"))
+    qs = e.where("vec_id % 25 = 0").select(F.col("vec_id").alias("q"), F.col("v").alias("w"))
+    d = F.aggregate(F.zip_with("v", "w", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x)
+    # queries are a set of their own against all rows
+    pairs = e.join(qs, F.col("vec_id") != F.col("q")).select("q", F.col("vec_id").alias("b"), F.round(d, 6).alias("d"))
+    part = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(16)))
+    best = part.withColumn("k", F.row_number().over(Window.partitionBy("q", "part").orderBy("d", "b"))).where("k <= 10")
+    out = best.withColumn("k", F.row_number().over(Window.partitionBy("q").orderBy("d", "b"))).where("k <= 10")
+    return out.select("q", "b", "d", F.col("k").cast("long").alias("k"))
+
+
+@query(f"""{E}, {fx.CELLS}, b AS (SELECT seg_label, CASE WHEN x // 410 >= 4 THEN '40+' ELSE ((x // 410) + 1) * 10 || 'um' END AS band FROM cells), m AS (SELECT band, count(*) AS m FROM b GROUP BY band)
+SELECT gene, band, round(sum(n) / m, 6) AS mean FROM expr JOIN b USING (seg_label) JOIN m USING (band) GROUP BY gene, band, m""")
+def band_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean counts of each gene in bands of distance, over all the band's cells."""
+    k = F.expr("x div 410")
+    b = fx.cells(spark, sf_dir).select("seg_label", F.when(k >= 4, "40+").otherwise(F.concat(((k + 1) * 10).cast("string"), F.lit("um"))).alias("band"))
+    m = b.groupBy("band").agg(F.count("*").alias("m"))
+    e = table(spark, sf_dir).join(b, "seg_label").groupBy("gene", "band").agg(F.sum("n").alias("s"))
+    return e.join(m, "band").select("gene", "band", F.round(F.col("s") / F.col("m"), 6).alias("mean"))
+
+
+@query(f"""{E}, {fx.CELLS}, r AS (SELECT gene, x < 512 AS near, n FROM expr JOIN cells USING (seg_label)), k AS (SELECT gene, near, rank() OVER (PARTITION BY gene ORDER BY n) + (count(*) OVER (PARTITION BY gene, n) - 1) / 2 AS rk FROM r)
+SELECT gene, sum(rk) FILTER (WHERE near) - count(*) FILTER (WHERE near) * (count(*) FILTER (WHERE near) + 1) / 2 AS u, count(*) FILTER (WHERE near) AS n1, count(*) FILTER (WHERE NOT near) AS n2 FROM k GROUP BY gene""")
+def rank_sum_u(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rank sum statistic of a band against the rest for each gene."""
+    c = fx.cells(spark, sf_dir).select("seg_label", (F.col("x") < 512).alias("near"))
+    r = ops.average_ranks(table(spark, sf_dir).join(c, "seg_label").select("gene", "near", "n"), ["gene"], "n")
+    n1 = F.count_if("near")
+    return r.groupBy("gene").agg((F.sum(F.when(F.col("near"), F.col("rank"))) - n1 * (n1 + 1) / 2).alias("u"), n1.alias("n1"), F.count_if(~F.col("near")).alias("n2"))
+
+
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = fx.reads(spark, sf_dir).where("seg_label > 0").select("seg_label", "gene")
+    names = [f"Brand#{k}" for k in range(1, 26)]
+    m = cell_ops.count_matrix(r, "seg_label", "gene", names)
+    m = m.select("seg_label", *[F.col(f"`{c}`").cast("double").alias(f"g{k}") for k, c in enumerate(names)])
+    return VectorAssembler(inputCols=m.columns[1:], outputCol="features").transform(m).select("seg_label", "features")
+
+
+@query()
+def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five principal components of the cells."""
+    v = vectors(spark, sf_dir)
+    return PCA(k=5, inputCol="features", outputCol="pc").fit(v).transform(v).select("seg_label", vector_to_array("pc").alias("pc"))
+
+
+@query()
+def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells in six clusters."""
+    v = vectors(spark, sf_dir)
+    return KMeans(k=6, seed=1, maxIter=10, featuresCol="features", predictionCol="cluster").fit(v).transform(v).select("seg_label", "cluster")
