@@ -45,7 +45,7 @@ def keyed(lines: DataFrame, edits: int) -> DataFrame:
 
 
 #: Characters whose counts part lines that only share a segment: an edit changes their sum of differences by two at most.
-COUNTED = " eantrio"
+COUNTED = " abcdefghijklmnopqrstuvwxyz"
 
 
 def counts_of(line: Column) -> Column:
