@@ -1,0 +1,117 @@
+"""Queries that run a kernel on each image."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.operators import kernels as k
+from tessera.plans import spatial
+from tessera.plans.registry import query
+from tessera.sources import fixtures as fx
+
+
+@query(f"""WITH {fx.VOXELS}, a AS (SELECT img, y, x, v FROM voxels WHERE img % 4 = 0), b AS (SELECT img - 1 AS img, y, x, v FROM voxels WHERE img % 4 = 1),
+c AS (SELECT a.img, (a.y - b.y + 8) % 8 AS dy, (a.x - b.x + 8) % 8 AS dx, abs(sum(a.v * b.v))::BIGINT AS s FROM a JOIN b USING (img) GROUP BY ALL),
+r AS (SELECT img, dy, dx, row_number() OVER (PARTITION BY img ORDER BY s DESC, dx, dy) AS k FROM c)
+SELECT img, CASE WHEN dy < 4 THEN dy ELSE dy - 8 END AS dy, CASE WHEN dx < 4 THEN dx ELSE dx - 8 END AS dx FROM r WHERE k = 1""")
+def fft_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shift between two channels of every field, by fast Fourier transforms."""
+    v = fx.voxels(spark, sf_dir).where("channel < 2")
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        a, b = p[p.channel == 0], p[p.channel == 1]
+        if not len(a) or not len(b):
+            return pd.DataFrame({"img": [], "dy": [], "dx": []})
+        dy, dx, _ = k.register(k.grid(a), k.grid(b))
+        return pd.DataFrame({"img": [int(a.img.iloc[0])], "dy": [dy], "dx": [dx]})
+
+    return v.groupBy("fov").applyInPandas(run, "img long, dy long, dx long")
+
+
+def each(spark: SparkSession, sf_dir: str, f, name: str = "v", kind: str = "long") -> DataFrame:
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        out = k.pixels(f(k.grid(p)), name)
+        out.insert(0, "img", int(p.img.iloc[0]))
+        return out
+
+    v = fx.voxels(spark, sf_dir).select("img", "y", "x", "v")
+    return v.groupBy("img").applyInPandas(run, f"img long, y long, x long, {name} {kind}")
+
+
+@query()
+def morph_recon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images without their background, by reconstruction."""
+    return each(spark, sf_dir, lambda a: np.round(k.remove_background(a, 3)).astype(int))
+
+
+@query()
+def watershed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels flooded from bright pixels, with lines between them."""
+
+    def run(a):
+        markers = np.where(a >= np.quantile(a, 0.95), np.arange(a.size).reshape(a.shape) + 1, 0)
+        return k.watershed(-a, markers, a > np.quantile(a, 0.3))
+
+    return each(spark, sf_dir, run, "label")
+
+
+@query()
+def fill_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks with their holes filled."""
+    return each(spark, sf_dir, lambda a: k.fill_holes(a > np.quantile(a, 0.5)).astype(int), "filled")
+
+
+@query()
+def histogram_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every channel of a field with the distribution of its first."""
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        images = {c: k.grid(g) for c, g in p.groupby("channel")}
+        like = images[min(images)]
+        out = []
+        for c, a in images.items():
+            q = k.pixels(np.round(k.match_histogram(a, like), 6))
+            q.insert(0, "channel", c)
+            q.insert(0, "fov", int(p.fov.iloc[0]))
+            out.append(q)
+        return pd.concat(out)
+
+    return fx.voxels(spark, sf_dir).groupBy("fov").applyInPandas(run, "fov long, channel long, y long, x long, v double")
+
+
+@query()
+def local_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean displacement that carries a field's second channel onto its first."""
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        a, b = p[p.channel == 0], p[p.channel == 1]
+        if not len(a) or not len(b):
+            return pd.DataFrame({"fov": [], "dy": [], "dx": []})
+        u = k.demons(k.grid(a), k.grid(b))
+        return pd.DataFrame({"fov": [int(p.fov.iloc[0])], "dy": [round(float(u[0].mean()), 6)], "dx": [round(float(u[1].mean()), 6)]})
+
+    return fx.voxels(spark, sf_dir).where("channel < 2").groupBy("fov").applyInPandas(run, "fov long, dy double, dx double")
+
+
+@query()
+def cell_hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outline of each cell's reads."""
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        corners = k.hull(p.x.to_numpy(), p.y.to_numpy())
+        return pd.DataFrame({"seg_label": [int(p.seg_label.iloc[0])] * len(corners), "corner": range(len(corners)), "x": [c[0] for c in corners], "y": [c[1] for c in corners]})
+
+    r = fx.reads(spark, sf_dir).where("seg_label > 0").select("seg_label", "x", "y").distinct()
+    return r.groupBy("seg_label").applyInPandas(run, "seg_label long, corner long, x long, y long")
+
+
+@query()
+def border_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distance of each cell to the border of its nearest structure, a disk of the structure's area: along the line to its centre."""
+    near = spatial.near(spark, sf_dir)
+    o = fx.objects(spark, sf_dir).select("object_id", "area")
+    d, r = F.sqrt("d2"), F.sqrt(F.col("area") / 3.141592653589793)
+    return near.join(o, "object_id").select("seg_label", "object_id", F.round(F.greatest(d - r, F.lit(0.0)), 6).alias("d"))
