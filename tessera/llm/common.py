@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 #: Shuffle files go as soon as the job that wrote them has ended, rows per Arrow batch stay small for long texts.
 SETTINGS = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 

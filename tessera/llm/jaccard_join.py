@@ -78,11 +78,17 @@ class Classes:
         return np.searchsorted(self.low, sizes, "right") - 1
 
 
-def run_keys(key: np.ndarray, at: np.ndarray, classes: Classes, percent: int, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def run_keys(
+    key: np.ndarray, at: np.ndarray, classes: Classes, percent: int, frequent: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(keys, set of each): a 64-bit key for each run of each set, for its own class and the class below if partners there
-    can be large enough. Runs leave out the n-grams flagged as frequent; a set's size counts them."""
+    can be large enough.
+
+    With flags of frequent n-grams, runs are cut from the others, and sets left with too many empty runs are cut from all their
+    n-grams besides: of two linked sets either one has few empty runs, and they share one of the first kind that isn't
+    empty, or both are cut in the second way too. A set's size counts all its n-grams.
+    """
     sizes = np.diff(at)
-    rare = np.ones(len(key), bool) if frequent is None else ~frequent[key >> np.uint64(64 - FREQUENT_BITS)]
     own = classes.of(sizes)
     out, owners = [], []
     for down in (0, 1):
@@ -91,31 +97,44 @@ def run_keys(key: np.ndarray, at: np.ndarray, classes: Classes, percent: int, fr
         if down:
             able &= np.where(able, percent * sizes <= 100 * classes.high[np.maximum(c, 0)], False)
         sets = np.flatnonzero(able)
-        if not len(sets):
-            continue
-        m = classes.runs[c[sets]]
-        member = np.repeat(np.arange(len(sets)), sizes[sets])
-        element = np.repeat(at[sets] - np.concatenate([[0], np.cumsum(sizes[sets])[:-1]]), sizes[sets]) + np.arange(len(member))
-        member, value = member[rare[element]], key[element[rare[element]]]
-        base = np.concatenate([[0], np.cumsum(m)])
-        run = (((value >> np.uint64(32)) * m[member].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        cell = base[member] + run
-        sums = np.zeros(base[-1], np.uint64)
-        if len(cell):
-            edge = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-            sums[cell[edge]] = np.add.reduceat(tx.mix(value), edge)
-        owner = np.repeat(np.arange(len(sets)), m)
-        number = np.arange(base[-1]) - base[owner]
-        empty = sums == 0
-        use = ~empty | (np.bincount(owner[empty], minlength=len(sets)) > classes.spare[c[sets]])[owner]
-        label = (c[sets][owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)
-        out.append(tx.mix(sums + tx.mix(label))[use])
-        owners.append(sets[owner[use]])
+        if frequent is not None and len(sets):
+            k, o, left = _cut(key, at, sets, c[sets], classes, ~frequent[key >> np.uint64(64 - FREQUENT_BITS)], 1)
+            out.append(k)
+            owners.append(o)
+            sets = left
+        if len(sets):
+            k, o, _ = _cut(key, at, sets, c[sets], classes, None, 0)
+            out.append(k)
+            owners.append(o)
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(out), np.concatenate(owners)
 
 
+def _cut(key, at, sets, c, classes, use, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the runs of `sets` with the set of each, and the sets with more empty runs than can be spared. Empty runs have keys
+    only where `use` doesn't leave elements out, and only in the latter sets."""
+    sizes, m = np.diff(at)[sets], classes.runs[c]
+    member = np.repeat(np.arange(len(sets)), sizes)
+    element = np.repeat(at[sets] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(len(member))
+    if use is not None:
+        member, element = member[use[element]], element[use[element]]
+    value, base = key[element], np.concatenate([[0], np.cumsum(m)])
+    run = (((value >> np.uint64(32)) * m[member].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+    cell = base[member] + run
+    sums = np.zeros(base[-1], np.uint64)
+    if len(cell):
+        edge = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        sums[cell[edge]] = np.add.reduceat(tx.mix(value), edge)
+    owner = np.repeat(np.arange(len(sets)), m)
+    number = np.arange(base[-1]) - base[owner]
+    empty = sums == 0
+    many = np.bincount(owner[empty], minlength=len(sets)) > classes.spare[c]
+    shown = ~empty if use is not None else ~empty | many[owner]
+    label = (c[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64) + (np.uint64(kind) << np.uint64(60))
+    return tx.mix(sums + tx.mix(label))[shown], sets[owner[shown]], sets[many]
+
+
 class PrefixTree:
     """Sets of small integers, each in ascending order, as paths of a tree whose edges hold runs of elements.
 
@@ -264,7 +283,7 @@ def cluster(
     percent: int = 90,
     text: str = "text",
     most_shingles: int = 1 << 31,
-    block_shingles: int = 2_000_000,
+    block_shingles: int = 1_000_000,
     leave_out_frequent: bool | None = None,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of every document: the smallest doc_id reachable by links, itself included.

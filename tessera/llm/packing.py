@@ -39,9 +39,7 @@ def tokenizer(path: str):
     if path not in _CACHE:
         import os
 
-        from tokenizers import Tokenizer
-
-        slow = Tokenizer.from_file(path)
+        slow: list = []  # made when first needed
         twin = path.removesuffix(".json") + ".tiktoken"
         fast = None
         if os.path.exists(twin):
@@ -56,7 +54,11 @@ def tokenizer(path: str):
 
     def encode(text: str) -> np.ndarray:
         if fast is None or _ODD.search(text):
-            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+            if not slow:
+                from tokenizers import Tokenizer
+
+                slow.append(Tokenizer.from_file(path))
+            return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
     return lambda texts: [encode(t) for t in texts]
