@@ -56,23 +56,30 @@ class Classes:
     """Size classes with the number of runs that sets of a class are cut into.
 
     If the smaller of two linked sets has at most a elements, they differ in at most a * (1 - s) / s. A class spans sizes up
-    to (1 / s) ** 2 times its least, so a set's linked larger partner lies in the same class or the next: sets are cut
-    for their own class and, as a larger partner, for the class below. A seventh more runs than needed (`spare`) let
-    sets with no more empty runs than that leave them out.
+    to (1 / s) ** 2 (below 0.9: 1 / s) times its least, so a set's linked larger partner lies in the same class or the next: sets
+    are cut for their own class and, as a larger partner, for the class below. More runs than needed (`spare`) let sets with no
+    more empty runs than that leave these out; they are so many that a set rarely has more, at the class's least size.
     """
 
     def __init__(self, percent: int, most: int):
-        self.low, self.high = [], []
+        low, high = [], []
+        span = (100 / percent) ** (2 if percent >= 90 else 1)
         # sizes with which two different sets can be linked at all: a * 100 >= percent * (a + 1)
         a = max(1, -(-percent // (100 - percent)) if percent < 100 else most + 1)
         while a <= most:
-            self.low.append(a)
-            self.high.append(max(int(a * (100 / percent) ** 2), a))
-            a = self.high[-1] + 1
-        self.low, self.high = np.array(self.low, np.int64), np.array(self.high, np.int64)
+            low.append(a)
+            high.append(max(int(a * span), a))
+            a = high[-1] + 1
+        self.low, self.high = np.array(low, np.int64), np.array(high, np.int64)
         least = self.high * (100 - percent) // percent + 1
-        self.spare = np.maximum(least // 7, 1)
-        self.runs = least + self.spare
+        self.runs = least + 1
+        for _ in range(400):  # a run in twenty at a time, until the filled runs suffice with a margin
+            empty = self.runs * np.exp(-self.low / self.runs)
+            short = (self.runs - empty - 3.5 * np.sqrt(empty) < least) & (self.runs < 4 * least)
+            if not short.any():
+                break
+            self.runs = np.where(short, self.runs + np.maximum(self.runs // 20, 1), self.runs)
+        self.spare = self.runs - least
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, sizes, "right") - 1
