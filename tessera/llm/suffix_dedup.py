@@ -123,8 +123,9 @@ def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_colu
             begin, finish = first[k] - off[doc[k]], last[k] + length - off[doc[k]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.r_[trigger[k], tx.mix(d.astype(np.uint64) + tx.mix(ids[d].astype(np.uint64)))].view(np.int64)),
-                    pa.array(np.r_[phrase[k].view(np.int64), np.zeros(len(d), np.int64)]),
+                    # 48 and 56 bits: shards may share a trigger by chance, phrases are told apart by both
+                    pa.array((np.r_[trigger[k], tx.mix(d.astype(np.uint64) + tx.mix(ids[d].astype(np.uint64)))] >> np.uint64(16)).view(np.int64)),
+                    pa.array(np.r_[(phrase[k] >> np.uint64(8)).view(np.int64), np.zeros(len(d), np.int64)]),
                     pa.array(np.r_[ids[doc[k]], ids[d]].astype(np.int64)),
                     pa.array(np.r_[begin, s]),
                     pa.array(np.r_[finish - begin, s - e].astype(np.int32)),
@@ -142,10 +143,10 @@ def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_colu
         .withColumn("high", F.expr("max(phrase) over (partition by trigger)"))
         .withColumn("whole", F.expr("size < 0 or owner < doc_id"))
         .where("whole or low <> high")
-        .select("trigger", "doc_id", "begin", F.abs("size").alias("size"), "whole")
+        .select("doc_id", "begin", F.abs("size").alias("size"), "whole")
     )
     shards = stage(shards, "suffix-shards")
-    open_ = shards.where("not whole").groupBy("doc_id").agg(F.collect_list(F.struct("trigger", "begin", "size")).alias("cuts"))
+    open_ = shards.where("not whole").groupBy("doc_id").agg(F.collect_list(F.struct("begin", "size")).alias("cuts"))
     open_ = stage(open_, "suffix-open")
 
     def suffixes(batches):
@@ -156,9 +157,9 @@ def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_colu
             ids = b.column(0).to_numpy(zero_copy_only=False)
             cuts = b.column(2)
             doc = np.repeat(np.arange(len(ids)), cuts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-            trigger, begin, size = (cuts.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            begin, size = (cuts.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(2))
             fits = begin + size <= np.diff(off)[doc]  # a repeated doc_id may bring another text
-            doc, trigger, begin, size = doc[fits], trigger[fits], begin[fits], size[fits]
+            doc, begin, size = doc[fits], begin[fits], size[fits]
             count = size - length + 1
             owner = np.repeat(np.arange(len(doc)), count)
             start = np.repeat(off[doc] + begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(owner))
@@ -196,14 +197,14 @@ def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_colu
 
 
 def string_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of each row of bytes."""
+    """A 64-bit and a 40-bit hash of each row of bytes."""
     one, two = np.zeros(len(text), np.uint64), np.zeros(len(text), np.uint64)
     for k in range(text.shape[1]):
         value = tx.BYTE_VALUE[text[:, k]]
         one = one * np.uint64(0x9E3779B97F4A7C15) + value
         two = (two ^ value) * np.uint64(0xC2B2AE3D27D4EB4F)
         two ^= two >> np.uint64(29)
-    return tx.mix(one), tx.mix(two)
+    return tx.mix(one), tx.mix(two) >> np.uint64(24)
 
 
 def dedup(docs: DataFrame, length: int = 50, text: str = "text") -> DataFrame:
