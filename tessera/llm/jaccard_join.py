@@ -267,7 +267,7 @@ def frequent(source: DataFrame, words: int, least: int = 32, in_batch: int = 3)
 
     Any set will do: n-grams left out of all runs alike can only make the differences of two sets fewer. Leaving out those of
     passages that many documents share keeps such documents out of each other's blocks. A task sends the n-grams of
-    in_batch documents or more of a batch; the MOST_FREQUENT most frequent with `least` documents in all are taken.
+    in_batch documents or more of a batch; the most frequent with `least` documents in all are taken, no more than MOST_FREQUENT.
     """
 
     def run(batches):
@@ -278,7 +278,17 @@ def frequent(source: DataFrame, words: int, least: int = 32, in_batch: int = 3)
             yield pa.RecordBatch.from_arrays([pa.array(value[many].view(np.int64)), pa.array(n[many].astype(np.int64))], ["gram", "n"])
 
     total = source.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    top = total.where(F.col("n") >= least).orderBy(F.desc("n"), "gram").limit(MOST_FREQUENT).select("gram").toPandas()
+    total = stage(total.where(F.col("n") >= least), "jaccard-frequent")
+    # the lowest frequency (in steps of a quarter octave) from which there are no more than MOST_FREQUENT
+    level = F.floor(F.log2("n") * 4).alias("level")
+    counts = sorted(total.groupBy(level).count().collect(), reverse=True)  # some 250 rows at most
+    taken, low = 0, None
+    for k, n in counts:
+        taken += n
+        if taken > MOST_FREQUENT:
+            break
+        low = k
+    top = total.where(level >= low if low is not None else F.lit(False)).select("gram").toPandas()
     flags = np.zeros(1 << FREQUENT_BITS, bool)
     flags[top["gram"].to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - FREQUENT_BITS)] = True
     return flags
