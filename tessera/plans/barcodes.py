@@ -78,11 +78,12 @@ SELECT fov, count(*) AS total, round(count(*) FILTER (WHERE hit) / count(*), 6)
 def filtration_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of the reads with good colours that are in the codebook and whose bases begin and end as barcodes do."""
     calls = fx.color_calls(spark, sf_dir).where(~F.col("color_seq").rlike("[NM]"))
+    calls = calls.groupBy("fov", "color_seq").agg(F.count("*").alias("n"))  # equal colours are decoded once
     genes = book(spark, sf_dir).select("color_seq", F.lit(True).alias("hit")).distinct()
     bases = bc.decode_colors(F.col("color_seq"), "C")
     form = bases.startswith("C") & bases.endswith("C")
-    rows = calls.join(genes, "color_seq", "left").select("fov", F.coalesce("hit", F.lit(False)).alias("hit"), form.alias("form"))
-    n, hit, ok = F.count("*"), F.count_if("hit"), F.count_if("form")
+    rows = calls.join(genes, "color_seq", "left").select("fov", "n", F.coalesce("hit", F.lit(False)).alias("hit"), form.alias("form"))
+    n, hit, ok = F.sum("n"), F.sum(F.when(F.col("hit"), F.col("n")).otherwise(0)), F.sum(F.when(F.col("form"), F.col("n")).otherwise(0))
     return rows.groupBy("fov").agg(
         n.alias("total"), F.round(hit / n, 6).alias("in_codebook"), F.round(ok / n, 6).alias("correct_form"),
         F.round(F.try_divide(hit, ok), 6).alias("codebook_per_form"),
