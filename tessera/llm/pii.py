@@ -15,21 +15,29 @@ from pyspark.sql import functions as F
 from tessera.llm.common import prepare
 
 ROUNDS = 8
+#: A secret's name up to its value, and the value: from 6 characters on, up to its last letter or digit. What is a key of another
+#: layout is left to that one, so that it has the same pseudonym with and without a name.
+_NAMED = r"""(?i:password|passwd|secret(?:[_-]?access)?(?:[_-]?key)?|token|api[_-]?key)\d{0,2}["']?[ \t]{0,4}[=:]{1,3}>?[ \t]{0,4}["']?"""
+_SECRET = r"(?!(?:[0-9A-Fa-f]{40}|AKIA[0-9A-Z]{16})(?![0-9A-Za-z]))(?=[A-Za-z0-9+/_.~@!#$%^*-]{6})(?:[+/_.~@!#$%^*-]*+[A-Za-z0-9]++)++"
 #: Kinds with their patterns; of kinds that fit at one place the first is taken.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<![A-Za-z0-9_])(?:password|passwd|secret|token|api_key)[=:][A-Za-z0-9]{6,}+|(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "hex": r"(?<![0-9A-Za-z])[0-9a-f]{40}(?![0-9A-Za-z])",
-    "phone": r"(?:\+\d{1,3}[ -]?)?(?<!\d)\(\d{3}\)[ -]?\d{3}-\d{4}(?!\d)",
+    "secret": _NAMED + _SECRET + r"|(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
+    "hex": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{40}(?![0-9A-Za-z])",
+    "phone": r"(?:\+\d{1,3}[ .-]?)?(?<!\d)\(\d{3}\)[ -]?\d{3}-\d{4}(?!\d)|(?<![\d.+-])(?:\+\d{1,3}[ .-]?)?(?:\d{3}-\d{3}-\d{4}|[2-9]\d{2}(?:\.[2-9]\d{2}\.| [2-9]\d{2} )\d{4})(?![\d-])"
+    r"|(?<![\d+])\+(?:\d{8,15}|(?=(?:[ .-]?\d){8,15}(?!\d))\d{1,3}(?:[ .-]\d{2,9}){1,4})(?!\d)",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
-    "date": r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d./])\d{2}/\d{2}/\d{4}(?![\d/])|(?<![\d./])\d{2}\.\d{2}\.\d{4}(?!\.?\d)",
+    "date": r"(?<![A-Za-z])(?:January|February|March|April|May|June|July|August|September|October|November|December) [1-9]\d?, \d{4}(?!\d)|(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d./])\d{2}/\d{2}/\d{4}(?![\d/])|(?<![\d./])\d{2}\.\d{2}\.\d{4}(?!\.?\d)",
     "number": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,4}|\d{4}(?:-\d{4}){2}-\d{1,4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
 }
 KINDS = [*PATTERNS, "none"]
 _ANY = "|".join(PATTERNS.values())
-#: Days from this one on: 288 * 256 of them, to November 2101.
+#: Days from this one on: 288 * 256 of them, to November 2101. Those before it are permuted among themselves, back to April 1496.
 _EPOCH, _DAYS = "1900-01-01", (288, 256)
+_FORMER, _FORMER_DAYS = "1496-04-12", (288, 512)
+#: Month-first dates are told by a day after the 12th; there are so many from _EPOCH on, to May 2101.
+_LATE_DAYS = (174, 256)
 
 
 def _let(value: Column, body) -> Column:
@@ -56,20 +64,21 @@ def feistel(values: Column, sizes: Column, tweak: Column, key: str, back: bool =
     return F.aggregate(rounds, values, shifted)
 
 
-def _characters(s: Column, tweak: str, key: str, back: bool, hexadecimal: bool = False) -> Column:
-    """s with each digit, lower- and upper-case letter replaced by one of its class; all else stays in place."""
+def _characters(s: Column, tweak: str, key: str, back: bool, hexadecimal: bool = False, letters: int = 26) -> Column:
+    """s with each digit, lower- and upper-case letter (of the first `letters`) replaced by one of its class; all else stays in place.
+    Hexadecimal digits are one class, shown in the case of s."""
     code = lambda c: F.ascii(c)
     digit = lambda c: (code(c) >= 48) & (code(c) <= 57)
     upper = lambda c: (code(c) >= 65) & (code(c) <= 90)
     lower = lambda c: (code(c) >= 97) & (code(c) <= 122)
     base = lambda c: F.when(digit(c), 48).when(upper(c), 65).when(lower(c), 97)
     if hexadecimal:
-        values = lambda cs: F.transform(cs, lambda c: F.when(digit(c), code(c) - 48).otherwise(code(c) - 87))
+        values = lambda cs: F.transform(cs, lambda c: F.when(digit(c), code(c) - 48).when(upper(c), code(c) - 55).otherwise(code(c) - 87))
         sizes = lambda cs: F.transform(cs, lambda c: F.lit(16))
-        show = lambda cs, vs: F.zip_with(cs, vs, lambda c, v: F.lower(F.hex(v)))
+        show = lambda cs, vs: F.transform(vs, lambda v: F.when(s.rlike("[A-F]"), F.hex(v)).otherwise(F.lower(F.hex(v))))
     else:
         values = lambda cs: F.transform(cs, lambda c: F.coalesce(code(c) - base(c), F.lit(0)))
-        sizes = lambda cs: F.transform(cs, lambda c: F.when(digit(c), 10).when(upper(c) | lower(c), 26).otherwise(1))
+        sizes = lambda cs: F.transform(cs, lambda c: F.when(digit(c), 10).when(upper(c) | lower(c), letters).otherwise(1))
         show = lambda cs, vs: F.zip_with(cs, vs, lambda c, v: F.when(base(c).isNull(), c).otherwise(F.chr((base(c) + v).cast("long"))))
     return _let(
         F.split(s, ""),
@@ -122,17 +131,45 @@ def _ip(s: Column, key: str, back: bool) -> Column:
 
 
 def _date(s: Column, key: str, back: bool) -> Column:
-    def of(n: Column, form: str) -> Column:
-        v = F.array((n / _DAYS[1]).cast("int"), (n % _DAYS[1]).cast("int"))
-        new = feistel(v, F.array(*map(F.lit, _DAYS)), F.lit("date"), key, back)
-        day = _let(new, lambda d: F.date_add(F.lit(_EPOCH).cast("date"), d[0] * _DAYS[1] + d[1]))
-        return F.when((n >= 0) & (n < _DAYS[0] * _DAYS[1]), F.date_format(day, form))
-
-    out = F.lit(None).cast("string")
-    for shape, form in ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{2}/", "dd/MM/yyyy"), (r"^\d{2}\.", "dd.MM.yyyy")):
-        days = F.datediff(F.try_to_timestamp(s, F.lit(form)).cast("date"), F.lit(_EPOCH).cast("date"))
-        out = F.when(s.rlike(shape), _let(days, _with(of, form))).otherwise(out)
-    return out
+    """A slashed date is read day first, or month first where only that can be; it stays one of its reading."""
+
+    def permuted(n: Column, sizes: tuple[int, int], tweak: str) -> Column:
+        v = F.array((n / sizes[1]).cast("int"), (n % sizes[1]).cast("int"))
+        return F.when((n >= 0) & (n < sizes[0] * sizes[1]), _let(feistel(v, F.array(*map(F.lit, sizes)), F.lit(tweak), key, back), lambda d: d[0] * sizes[1] + d[1]))
+
+    since = lambda day, first: F.datediff(day, F.lit(first).cast("date"))
+
+    def other(day: Column) -> Column:
+        new = F.date_add(F.lit(_EPOCH).cast("date"), permuted(since(day, _EPOCH), _DAYS, "date"))
+        former = F.date_add(F.lit(_FORMER).cast("date"), permuted(since(day, _FORMER), _FORMER_DAYS, "former"))
+        return F.when(day < F.lit(_EPOCH).cast("date"), former).otherwise(new)
+
+    # month m from _EPOCH on holds the numbers from before(m), less than before(m + 1)
+    month = lambda m: F.add_months(F.lit(_EPOCH).cast("date"), m)
+    before = lambda m: since(month(m), _EPOCH) - 12 * m
+
+    def late(day: Column) -> Column:
+        n = since(day, _EPOCH) - 12 * (12 * (F.year(day) - int(_EPOCH[:4])) + F.month(day))
+
+        def date_of(k: Column) -> Column:
+            near = F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: (k / 18.436875).cast("int") + d)
+            m = F.array_max(F.filter(near, lambda x: before(x) <= k))
+            return _let(m, lambda x: F.date_add(month(x), 12 + k - before(x)))
+
+        return _let(permuted(n, _LATE_DAYS, "late"), date_of)
+
+    month_first = r"^\d{2}/(?:1[3-9]|[23])"
+    forms = ((r"^\d{4}-", "yyyy-MM-dd"), (month_first, "MM/dd/yyyy"), (r"^\d{2}/", "dd/MM/yyyy"), (r"^\d{2}\.", "dd.MM.yyyy"), ("^[A-Z]", "MMMM d, yyyy"))
+
+    def by_form(body) -> Column:
+        out = F.lit(None)
+        for shape, form in reversed(forms):
+            out = F.when(s.rlike(shape), body(form)).otherwise(out)
+        return out
+
+    day = by_form(lambda form: F.try_to_timestamp(s, F.lit(form)).cast("date"))
+    new = _let(day, lambda d: F.when(s.rlike(month_first), late(d)).otherwise(other(d)))
+    return _let(new, lambda d: by_form(lambda form: F.date_format(d, form)))
 
 
 def _with(f, second):
@@ -141,8 +178,10 @@ def _with(f, second):
 
 
 def _phone(s: Column, key: str, back: bool) -> Column:
-    """A country code stays; area and exchange codes that begin with 2 to 9 go on to do so."""
-    code, rest = F.regexp_extract(s, r"^(\+\d+[ -]?)?", 0), F.regexp_extract(s, r"\(.*$", 0)
+    """A country code stays (of digits in one run the first two, or a 1 or 7); area and exchange codes that begin with 2 to 9 go on
+    to do so. A number has the same pseudonym in each layout."""
+    code = F.regexp_extract(s, r"^(?:\+(?:[17](?=\d{7,}$)|\d{2}(?=\d{6,}$)|\d{1,3}(?=[ .(-]|\d{3}-\d{3}-|\d{3}[. ]\d{3}[. ]\d{4}$))[ .-]?)?", 0)
+    rest = F.substring(s, F.char_length(code) + 1, F.char_length(s))
 
     def of(d: Column) -> Column:
         low = lambda x, i: F.when(((i == 0) | (i == 3)) & (x >= 2), 2).otherwise(0)
@@ -166,11 +205,12 @@ def kind_of(value: Column) -> Column:
 def pseudonym(value: Column, kind: Column, key: str, back: bool = False) -> Column:
     """The pseudonym of a value of a kind, or the value itself where it isn't valid (a wrong check digit, no such date)."""
     name, domain = F.substring_index(value, "@", 1), F.concat(F.lit("@"), F.substring_index(value, "@", -1))
-    head = F.regexp_extract(value, "^(?:AKIA|[a-z_]+[=:])", 0)
+    head = F.regexp_extract(value, f"^(?:AKIA|{_NAMED})", 0)
     tail = F.substring(value, F.char_length(head) + 1, F.char_length(value))
     new = (
         F.when(kind == "email", F.concat(_characters(name, "email", key, back), domain))
         .when(kind == "secret", F.concat(head, _characters(tail, "secret", key, back)))
+        .when((kind == "hex") & value.rlike("[a-f]") & value.rlike("[A-F]"), _characters(value, "hex", key, back, letters=6))
         .when(kind == "hex", _characters(value, "hex", key, back, True))
         .when(kind == "phone", _phone(value, key, back))
         .when(kind == "ip", _ip(value, key, back))
@@ -190,7 +230,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
     """
     prepare(docs.sparkSession)
     columns = [c for c in docs.columns if c != "pii"]
-    found = F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(_ANY), F.lit(0)))
+    found = F.regexp_extract_all(F.col(text), F.lit(_ANY), F.lit(0))
     has = docs.select(*columns, F.coalesce(found, F.array().cast("array<string>")).alias("__found"))
     matches = F.transform("__found", lambda v: F.struct(v.alias("v"), kind_of(v).alias("k")))
     # one row's matches are few; a text is only split where there are any

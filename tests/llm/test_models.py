@@ -153,3 +153,32 @@ def test_pseudonyms_on_awkward_rows(spark):
     d = helpers.awkward(spark)
     assert pii.pseudonymise(d, "k").count() == d.count()
     assert pii.pseudonymise(helpers.empty(spark), "k").count() == 0
+
+
+LAYOUTS = [
+    "password=hunterabc", "no digit: DB_PASSWORD=hunterabc", 'token = "hunterabc".', '{"api-key": "Zx-Qw_abcdef"}', 'TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"', "9233a8ecf7c5b09fe5949719b6b82bc439e9329b",
+    "9233A8ecf7c5b09fe5949719b6b82bc439e9329b", "call 988-555-2485 now", "call +1 (988) 555-2485 now", "+19885552485", "988.555.2485", "+49 30 1234567", "+1 988 555 2485", "12/31/1999", "02/29/2000", "born 1850-07-04", "on March 5, 1990", "secret: a b", "13/13/1999",
+    "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG",
+]
+
+
+def test_pseudonyms_in_other_layouts(spark):
+    d = spark.createDataFrame(list(enumerate(LAYOUTS)), "doc_id long, text string")
+    new = pii.pseudonymise(d, "key")
+    out = {r.doc_id: r for r in new.collect()}
+    assert {i for i in out if not out[i].pii} == {17, 18}
+    word = out[0].text.removeprefix("password=")
+    assert word != "hunterabc" and word in out[1].text and f'"{word}".' in out[2].text
+    sha = re.search("[0-9A-F]{40}", out[4].text).group()
+    assert out[5].text == sha.lower() and out[4].pii == out[5].pii == out[6].pii == {"hex": 1}
+    number = re.sub("[^0-9]", "", out[7].text)
+    assert all(re.sub("[^0-9]", "", out[i].text)[-10:] == number for i in (8, 9, 10, 12)) and out[9].text.startswith("+1") and out[11].text.startswith("+49 ")
+    assert all(int(out[i].text[3:5]) > 12 for i in (13, 14)) and re.search(r"\d{4}", out[15].text).group() < "1900"
+    assert {r.doc_id: r.text for r in pii.pseudonymise(new, "key", back=True).collect()} == dict(enumerate(LAYOUTS))
+
+
+def test_month_first_dates_are_permuted(spark):
+    days = spark.sql("select explode(sequence(date'1900-01-01', date'2101-05-14')) as d").where("day(d) > 12 and crc32(string(d)) % 40 = 0").select(F.date_format("d", "MM/dd/yyyy").alias("text"))
+    out = pii.pseudonymise(days, "key").cache()
+    assert out.where("pii['date'] = 1").count() >= days.count() - 2 and out.select("text").distinct().count() == days.count()
+    assert pii.pseudonymise(out.select("text"), "key", back=True).select("text").exceptAll(days).count() == 0
