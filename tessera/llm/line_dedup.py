@@ -102,14 +102,16 @@ def lines_of(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
     return lines.where((F.char_length("line") >= min_chars) & F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
 
 
-def removed_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: str = "text") -> DataFrame:
-    """doc_id, no, exact: the lines to remove, as numbers from 0 in their documents."""
+def removed_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: str = "text", exact_chars: int | None = None) -> DataFrame:
+    """doc_id, no, exact: the lines to remove, as numbers from 0 in their documents. Exact copies are found among lines of exact_chars
+    characters or more (min_chars if not given), near copies among those of min_chars or more."""
     prepare(docs.sparkSession)
-    marks = lines_of(docs, text, min_chars).select(
-        "doc_id", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", F.char_length("line")).alias("h2")
+    least = min_chars if exact_chars is None else min(exact_chars, min_chars)
+    marks = lines_of(docs, text, least).select(
+        "doc_id", "no", (F.char_length("line") >= min_chars).alias("long"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", F.char_length("line")).alias("h2")
     )
     marks = stage(marks, "line-marks")
-    distinct = stage(marks.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "no")).alias("first"), F.count("*").alias("n")), "line-distinct")
+    distinct = stage(marks.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "no")).alias("first"), F.count("*").alias("n"), F.first("long").alias("long")), "line-distinct")
     copies = (
         marks.join(distinct.where("n > 1").select("h1", "h2", "first"), ["h1", "h2"])
         .where(F.struct("doc_id", "no") > F.col("first"))
@@ -117,7 +119,7 @@ def removed_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: st
     )
 
     # the distinct lines that meet under a key, as index or as probe
-    firsts = distinct.groupBy("first.doc_id").agg(F.collect_list("first.no").alias("nos"))
+    firsts = distinct.where("long").groupBy("first.doc_id").agg(F.collect_list("first.no").alias("nos"))
     keys = keyed(_chosen_lines(docs, stage(firsts, "line-firsts"), text), edits)
     met = (
         keys.where("key is not null")
@@ -161,16 +163,16 @@ def _verified(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     return both.where(within(F.col("line"), F.col("line2"), edits)).select("id", "other")
 
 
-def dedup(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: str = "text", exact_chars: int | None = None) -> DataFrame:
     """docs with the lines removed from the text and columns n_lines, n_copies, n_near (lines of the input, those removed as
     copies, those removed as near copies); columns of these names are replaced.
 
-    Lines are parted by \\n; lines of fewer than min_chars characters or without a word stay. Null texts stay null with
+    Lines are parted by \\n; lines of fewer than min_chars characters or without a word stay, but for exact copies of exact_chars or more. Null texts stay null with
     no lines, and rows without doc_id stay as they are. Of repeated rows with one doc_id all lose the lines that any loses by number.
     An empty table gives no rows.
     """
     columns = [c for c in docs.columns if c not in {"n_lines", "n_copies", "n_near"}]
-    gone = removed_lines(docs, edits, min_chars, text).groupBy("doc_id").agg(
+    gone = removed_lines(docs, edits, min_chars, text, exact_chars).groupBy("doc_id").agg(
         F.collect_set(F.when(F.col("exact"), F.col("no"))).alias("__copies"), F.collect_set(F.when(~F.col("exact"), F.col("no"))).alias("__near")
     )
     gone = stage(gone.withColumnRenamed("doc_id", "__id"), "line-gone")

@@ -85,7 +85,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the lines that are equal or within two edits to an earlier one of the corpus."""
-    return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2)
+    return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2, exact_chars=1)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -8,7 +8,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import common, decontamination, jaccard_join, line_dedup, suffix_dedup
+import corpus_pipeline
+from tessera.llm import common, decontamination, jaccard_join, line_dedup, queries, suffix_dedup
 from tessera.llm import text as tx
 from tests.llm import helpers
 
@@ -257,3 +258,14 @@ def test_line_dedup_on_awkward_rows(spark):
     by = {r.doc_id: r for r in out}
     assert by[3].text is None and by[3].n_lines == 0 and by[4].text == "" and by[5].text == " \n\t " and by[2].text == "" and by[2].n_copies == 1
     assert line_dedup.dedup(helpers.empty(spark)).count() == 0
+
+
+def test_short_lines_lose_their_exact_copies(spark, tmp_path):
+    """In the query and the pipeline's stage; near copies of short lines stay."""
+    docs = [(2, "Les.\na\n\nabd\n \n" + "x" * 30), (1, "Les.\nabc\nLes.\n\n" + "x" * 30), (3, "a\nabc\nnew")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {1: "Les.\nabc\n\n" + "x" * 30, 2: "a\n\nabd\n ", 3: "new"}
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()}
+    assert {i: out[i].text for i in want} == want and [out[i].n_copies for i in (1, 2, 3)] == [1, 2, 2] and out[2].n_near == 0
+    assert {r.doc_id: r.text for r in corpus_pipeline.lines(spark, d, str(tmp_path)).collect()} == want
