@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -19,16 +21,18 @@ SETTINGS = {
 def prepare(spark: SparkSession) -> str:
     """Apply SETTINGS and return the folder for stage tables.
 
-    The folder is the one named by spark.checkpoint.dir, which driver and executors share; only where that is
-    unset, as in tests, a temporary one is made and set.
+    The folder is the one named by spark.checkpoint.dir, which driver and executors share. Only a session whose master is
+    local and where that is unset, as in tests, gets a temporary one; on a cluster it must be set.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
-        shared = "file://" + tempfile.mkdtemp(prefix="tessera-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="stages-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    return shared.rstrip("/") + "/tessera"
+    return shared.rstrip("/") + "/stages"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -37,7 +41,43 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{prepare(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for paths in _OPEN:
+        paths.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete the files of stage tables that nothing reads any more."""
+    for t in tables:
+        _delete(t.sparkSession, t._stage_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextlib.contextmanager
+def workspace(spark: SparkSession):
+    """Within it, results may be computed and written; at its end the stage tables made within it are deleted and the settings
+    that prepare() makes are as before. Results not yet written then can't be read any more."""
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.remove(paths)
+        for path in paths:
+            _delete(spark, path)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+#: Lists of the stage tables' paths of open workspaces.
+_OPEN: list[list[str]] = []
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -62,6 +102,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = stage(large, "large")
+        drop(low, e)
         low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u")
         small = (
@@ -71,6 +112,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .distinct()
         )
         e = stage(small, "edges")
+        drop(low, large)
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first()
         if tuple(now) == mark:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -1,7 +1,6 @@
 """Operators 1 and 3: the quality classifier and the quality rules."""
 
 import collections
-import itertools
 import math
 import random
 import re
@@ -103,23 +102,58 @@ def kneser_ney(counts, order, size):
     return p
 
 
-def test_kneser_ney_equals_the_formulas(spark):
+def folded(t):
+    return "\n" * (qc.ORDER - 1) + re.sub("[0-9]", "0", t.replace("\0", "\1"))
+
+
+def grams_of(t):
+    s = folded(t)
+    return [tuple(s[k : k + qc.ORDER]) for k in range(len(s) - qc.ORDER + 1)]
+
+
+def test_grams_of_texts():
+    rng = random.Random(5)
+    texts = ["", "a", None, "12 34", "\0x", "漢字仮名" * 3] + ["".join(rng.choice("abé漢7 \n\U0001f600") for _ in range(rng.randrange(30))) for _ in range(200)]
+    grams, h, which, at = qc.ngrams(*tx.buffers(pa.array(texts)))
+    shown = qc.strings(grams)
+    assert len(set(h.tolist())) == len({*shown})
+    assert np.array_equal(np.sort(qc.hashes_of(pa.chunked_array([pa.array(shown)]))), np.sort(h))
+    for k, t in enumerate(texts):
+        assert [tuple(shown[i]) for i in which[at[k] : at[k + 1]]] == grams_of(t or "")
+
+
+def test_perplexity_and_verdict_equal_the_formulas(spark):
+    """Three scripts, each document's perplexity from the formulas and the threshold from the quantiles."""
     rng = random.Random(3)
-    texts = ["".join(rng.choice("ab c.") for _ in range(rng.randrange(4, 40))) for _ in range(60)]
-    model = qc.fit(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
-    counts = collections.Counter()
-    for t in texts:
-        s, _ = qc.symbols(*tx.buffers(pa.array([t])))
-        counts.update(zip(*(s[k:].tolist() for k in range(qc.ORDER))))
-    p = kneser_ney(counts, qc.ORDER, qc.SYMBOLS)
-    grams = [*counts][:60] + [tuple(rng.randrange(qc.SYMBOLS) for _ in range(qc.ORDER)) for _ in range(30)] + list(itertools.product([0, 1], repeat=4))
-    for g in grams:
-        k = 0
-        for x in g:
-            k = k * qc.SYMBOLS + x
-        assert math.isclose(float(model[k]), math.log(p(tuple(g))), rel_tol=1e-4), g
-    sums = np.exp(model.astype(float)).reshape(-1, qc.SYMBOLS).sum(1)
-    assert np.allclose(sums, 1, atol=1e-3)
+    alphabets = {"en": "ab c.1", "ru": "абвг д", "ja": "漢字仮名 。"}
+    docs = [(i, "".join(rng.choice(alphabets[lang]) for _ in range(rng.randrange(0, 40))), lang, "s", 0) for i, lang in enumerate(sorted(alphabets) * 60)]
+    junk = [(1000 + i, "".join(rng.choice("QXZ%$#!@") for _ in range(30)), lang, "s", 0) for i, lang in enumerate(sorted(alphabets) * 3)]
+    lab = [(d[0], 1, 0) for d in docs[:150]] + [(d[0], 0, 0) for d in junk[:6]] + [(200, 1, 1)]
+    table = spark.createDataFrame([*docs, *junk], helpers.SCHEMA).repartition(3)
+    held = {r.doc_id for r in table.select("doc_id").where("pmod(xxhash64(doc_id, 11), 5) = 0").collect()}
+    got = {r.doc_id: r for r in qc.classify(table, helpers.labels(spark, lab)).collect()}
+
+    good = {i for i, quality, toxic in lab if quality and not toxic}
+    counts = collections.Counter(g for d in docs if d[0] in good - held for g in grams_of(d[1]))
+    p = kneser_ney(counts, qc.ORDER, len({g[-1] for g in counts}) + 1)
+    want = {}
+    for i, t, *_ in [*docs, *junk]:
+        g = grams_of(t)
+        want[i] = math.exp(-sum(math.log(p(x)) for x in g) / len(g)) if g else None
+        assert got[i].n_scored == len(t) and (got[i].perplexity is None if not t else math.isclose(got[i].perplexity, want[i], rel_tol=1e-9)), t
+    for lang in alphabets:
+        known = sorted(want[d[0]] for d in docs if d[2] == lang and d[0] in good & held and d[1])
+        bad = [want[d[0]] for d in [*docs, *junk] if d[2] == lang and d[0] in {i for i, *_ in lab} - good and d[1]]
+        best = max(
+            (sum(x > q for x in bad) / max(len(bad), 1) - lost, k, q)
+            for k, level in enumerate(qc.LEVELS)
+            for q in [known[max(math.ceil(level * len(known)) - 1, 0)] * 1.02]
+            for lost in [sum(x > q for x in known) / len(known)]
+            if lost <= 0.01 or k == len(qc.LEVELS) - 1
+        )
+        assert all(math.isclose(r.threshold, best[2], rel_tol=1e-9) for r in got.values() if r.lang == lang)
+    assert all(r.kept == (r.perplexity is not None and r.perplexity <= r.threshold) for r in got.values())
+    assert not any(got[d[0]].kept for d in junk)
 
 
 def test_classifier_keeps_clean_and_rejects_junk(spark):
