@@ -103,67 +103,73 @@ def _added(df: DataFrame) -> T.StructType:
     return T.StructType([*df.schema.fields, T.StructField("anomaly", T.DoubleType())])
 
 
+#: Logarithms are taken of so many times each ratio, so that one address or key in a text doesn't make it stand apart.
+_STRETCH = np.array([0.2, 10, 10, 10, 2, 2])
+
+
 def features(p: pd.DataFrame) -> np.ndarray:
-    """Ratios of the statistics, cut to coarse steps so that one address or key in a text doesn't make it stand apart.
-    Repetition has no part in it: good texts quote a line twice, and the base rules already judge how much is too much."""
-    words = np.maximum(p["n_words"].to_numpy(float), 1)
-    chars = np.maximum(p["n_codepoints"].to_numpy(float), 1)
-    symbols, marks = p["n_symbols"].to_numpy(float) / words, p["n_marks"].to_numpy(float) / words
-    upper, length = p["n_upper"].to_numpy(float) / chars, p["word_chars"].to_numpy(float) / words
-    return np.column_stack(
-        [np.floor(np.minimum(x, top) * steps) / steps for x, top, steps in ((length, 40, 0.5), (symbols, 2, 10), (marks, 2, 10), (upper, 1, 10))]
-    )
+    """Logarithms of the statistics' ratios: word length, symbols and marks a word, capitals a character, and the shares of repeated
+    lines and words."""
+    words, chars, lines = (np.maximum(p[c].to_numpy(float), 1) for c in ("n_words", "n_codepoints", "n_lines"))
+    counts = ((c, p[c].to_numpy(float)) for c in ("word_chars", "n_symbols", "n_marks", "n_upper", "n_dup_lines", "n_repeat_words"))
+    over = {"n_upper": chars, "n_dup_lines": lines}
+    return np.log1p(np.column_stack([v / over.get(c, words) for c, v in counts]) * _STRETCH)
+
+
+def informative(x: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """For each feature, how far apart labelled rows lie in it: the square of 2 AUC - 1, by which its splits are drawn; 1 for all
+    where rows of either label lack."""
+    n1, n0 = int(good.sum()), int((~good).sum())
+    if not n1 or not n0:
+        return np.ones(x.shape[1])
+    rank = pd.DataFrame(x).rank().to_numpy()
+    auc = (rank[good].sum(0) - n1 * (n1 + 1) / 2) / (n1 * n0)
+    return np.maximum((2 * auc - 1) ** 2, 1e-6)
 
 
 class IsolationForest:
     """Trees of random splits; a row's score is 2 ** (-mean path length / expected path length), near 1 if anomalous.
 
-    trees, sample: number of trees and rows each is grown from. Splits are drawn within the range of a node's rows;
-    a value outside that range lies beyond every split, so junk unlike the sample has short paths once the sample
-    holds a few such rows.
+    trees, sample: number of trees and rows each is grown from. Splits are drawn within the range of a node's rows, widened
+    by `margin` times the feature's spread to either side, so that a value outside the range, even of a feature that is constant in
+    the sample, is parted from it early. weight: how likely each feature is split on.
     """
 
-    def __init__(self, trees: int = 100, sample: int = 256, seed: int = 7):
-        self.trees, self.sample, self.seed = trees, sample, seed
+    def __init__(self, trees: int = 100, sample: int = 256, seed: int = 7, margin: float = 1.0):
+        self.trees, self.sample, self.seed, self.margin = trees, sample, seed, margin
 
     @staticmethod
     def expected(n) -> np.ndarray:
         n = np.asarray(n, float)
         return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + 0.5772156649) - 2 * (n - 1) / np.maximum(n, 1), (n == 2) * 1.0)
 
-    def fit(self, x: np.ndarray) -> IsolationForest:
+    def fit(self, x: np.ndarray, weight: np.ndarray | None = None, spread: np.ndarray | None = None) -> IsolationForest:
         rng = np.random.default_rng(self.seed)
         size = min(self.sample, len(x))
         self.norm = float(self.expected(size)) or 1.0
-        limit = int(np.ceil(np.log2(max(size, 2))))
+        self.limit = int(np.ceil(np.log2(max(size, 2))))
+        weight = np.ones(x.shape[1]) if weight is None else weight
+        beyond = self.margin * (x.std(0) if spread is None and len(x) else 0 if spread is None else spread)
         self.grown = []
         for _ in range(self.trees):
-            rows = x[rng.choice(len(x), size, replace=False)] if len(x) else x
-            feature, cut, left, length = [], [], [], []
-
-            def grow(rows, depth, feature=feature, cut=cut, left=left, length=length):
-                """Nodes lie in arrays; a node's children are left and left + 1."""
-                todo = [(0, rows, depth)]
+            # nodes lie in arrays; a node's children are left and left + 1
+            feature, cut, left, length = [0], [0.0], [0], [0.0]
+            todo = [(0, x[rng.choice(len(x), size, replace=False)] if len(x) else x, 0)]
+            while todo:
+                node, r, d = todo.pop()
+                low, high = (r.min(0) - beyond, r.max(0) + beyond) if len(r) > 1 else (0 * weight, 0 * weight)
+                able = weight * (high > low)
+                if d >= self.limit or not able.sum():
+                    feature[node], left[node], length[node] = -1, -1, d + float(self.expected(len(r)))
+                    continue
+                f = rng.choice(len(able), p=able / able.sum())
+                c = rng.uniform(low[f], high[f])
+                child = len(feature)
                 for a in (feature, cut, left, length):
-                    a.append(0)
-                while todo:
-                    node, r, d = todo.pop()
-                    low, high = (r.min(0), r.max(0)) if len(r) else (np.zeros(0), np.zeros(0))
-                    wide = np.flatnonzero(high > low)
-                    if d >= limit or len(r) < 2 or not len(wide):
-                        feature[node], left[node], length[node] = -1, -1, d + float(self.expected(len(r)))
-                        continue
-                    f = rng.choice(wide)
-                    c = rng.uniform(low[f], high[f])
-                    child = len(feature)
-                    for a in (feature, cut, left, length):
-                        a.extend([0, 0])
-                    feature[node], cut[node], left[node] = f, c, child
-                    todo += [(child, r[r[:, f] < c], d + 1), (child + 1, r[r[:, f] >= c], d + 1)]
-
-            grow(rows, 0)
+                    a.extend([0, 0])
+                feature[node], cut[node], left[node] = f, c, child
+                todo += [(child, r[r[:, f] < c], d + 1), (child + 1, r[r[:, f] >= c], d + 1)]
             self.grown.append((np.array(feature), np.array(cut, float), np.array(left), np.array(length, float)))
-        self.limit = limit
         return self
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -182,14 +188,18 @@ class IsolationForest:
 
 
 def fit_forest(stats: DataFrame, labels: DataFrame, max_rows: int = 8192, trees: int = 100, sample: int = 256) -> IsolationForest:
-    """A forest from at most max_rows labelled rows that pass the base rules, those of smallest hash of doc_id. Without
-    any such row the forest has no splits and scores all rows alike."""
-    labelled = labels.where("quality is not null").select("doc_id").where("doc_id is not null").distinct()
-    rows = (
-        stats.where("not base_failed").join(labelled, "doc_id", "left_semi")
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).toPandas()
-    )
-    return IsolationForest(trees, sample).fit(features(rows))
+    """A forest grown from labelled good rows that pass the base rules, with splits drawn by how far the labels lie apart in a feature.
+
+    At most max_rows labelled rows are read, of as many buckets of the hash of doc_id the row of least hash: minima are found in
+    each task before any row is sent. Without a good row the forest has no splits and scores all rows alike.
+    """
+    h = F.xxhash64("doc_id")
+    labelled = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    rows = stats.where("not base_failed").join(labelled, "doc_id").withColumn("__h", h)
+    chosen = rows.groupBy(F.pmod("__h", F.lit(max_rows)).alias("bucket")).agg(F.min("__h").alias("__h")).select("__h")
+    rows = rows.join(F.broadcast(chosen), "__h").dropDuplicates(["__h"]).orderBy("__h").toPandas()  # max_rows rows at most
+    x, good = features(rows), rows["quality"].to_numpy() == 1
+    return IsolationForest(trees, sample).fit(x[good], informative(x, good), x.std(0) if len(x) else None)
 
 
 def calibrate(scored: DataFrame, labels: DataFrame, most_lost: float = 0.0005) -> float:
@@ -243,7 +253,11 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, tex
 
 def filter_documents(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs that are kept, with docs' own columns; for that the text travels along and is judged where it
-    is, without a join."""
+    is, without a join.
+
+    Nulls: a null text has no words and goes; a row without doc_id is judged but trains nothing. Repeated rows all stay or all go;
+    an empty table gives an empty one; columns named as the statistics are left as they are.
+    """
     spark = docs.sparkSession
     prepare(spark)
     columns = docs.columns
