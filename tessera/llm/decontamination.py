@@ -24,10 +24,15 @@ HIT = "item_id long, edits int, begin long, finish long"
 
 
 def grams(data: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit hash of the q bytes from each position, 8 <= q <= 16, or of position's exact bytes for q == 8."""
+    """A 64-bit hash of the q bytes from each position, q <= 16; up to 8 it stands for these bytes alone."""
     n = len(data) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
+    if q < 8:
+        g = np.zeros(n, np.uint64)
+        for k in range(q):
+            g = (g << np.uint64(8)) | data[k : k + n]
+        return tx.mix(g)
     two = data[:-1].astype(np.uint64) | (data[1:].astype(np.uint64) << np.uint64(8))
     four = two[:-2] | (two[2:] << np.uint64(16))
     eight = four[:-4] | (four[4:] << np.uint64(32))
@@ -37,40 +42,57 @@ def grams(data: np.ndarray, q: int) -> np.ndarray:
 
 
 class Items:
-    """An index of one block of items: (id, text) pairs."""
+    """An index of one block of items: (id, text) pairs.
 
-    BITS = 21
+    A q-gram's places in an item are kept as runs: places no further apart than a band is wide are one run, so that an item of
+    equal letters has one entry for its q-gram, not one for each place. A run counts as a hit in every band that it reaches, which
+    keeps a band too many at times and never one too few.
+    """
 
     def __init__(self, items: list[tuple[int, str]], q: int, edit_share: float):
         self.q = q
         self.ids = np.array([i for i, _ in items], np.int64)
         self.texts = [_FOLD[np.frombuffer(t.encode(), np.uint8)] for _, t in items]
         m = np.array([len(t) for t in self.texts], np.int64)
-        #: At most the share of edits, and no more than leave a bound of one q-gram at least.
-        self.edits = np.maximum(np.minimum((m * edit_share).astype(np.int64), (m - q) // q), 0)
-        self.bound = np.maximum(m + 1 - q * (self.edits + 1), 1)
-        key, item, place = [], [], []
-        for k, t in enumerate(self.texts):
-            g = grams(t, q)
+        self.edits = (m * edit_share).astype(np.int64)
+        self.bound = m + 1 - q * (self.edits + 1)
+        #: Items whose bound would be none: those of fewer than q bytes without edits are searched for as they are, others have an
+        #: index of shorter q-grams.
+        none = self.bound < 1
+        self.short = np.flatnonzero(none & (self.edits == 0) & (m > 0)).tolist()
+        few = np.flatnonzero(none & (self.edits > 0))
+        self.names = self.rest = None
+        if len(few):
+            shorter = int(max((m[few] // (self.edits[few] + 1)).min(), 1))
+            self.names, self.rest = few, Items([items[k] for k in few], shorter, edit_share)
+        key, item, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in np.flatnonzero(~none):
+            g = grams(self.texts[k], q)
             key.append(g)
             item.append(np.full(len(g), k))
             place.append(np.arange(len(g)))
-        self.short = [k for k in range(len(items)) if 0 < m[k] < q]
-        key = np.concatenate(key) if key else np.zeros(0, np.uint64)
-        order = np.argsort(key, kind="stable")
-        self.key = key[order]
-        self.item = np.concatenate(item)[order] if item else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[order] if place else np.zeros(0, np.int64)
-        self.seen = np.zeros(1 << self.BITS, bool)
-        self.seen[self.key >> np.uint64(64 - self.BITS)] = True
+        key, item, place = map(np.concatenate, (key, item, place))
+        order = np.lexsort((place, item, key))
+        key, item, place = key[order], item[order], place[order]
+        new = np.r_[True, (key[1:] != key[:-1]) | (item[1:] != item[:-1]) | (place[1:] - place[:-1] > self.edits[item[1:]] + 1)][: len(key)]
+        first = np.flatnonzero(new)
+        self.key, self.item = key[first], item[first].astype(np.int32)
+        self.low, self.high = place[first].astype(np.int32), place[np.r_[first[1:], len(key)][: len(first)] - 1].astype(np.int32)
+        self.bits = min(max(int(len(first)).bit_length() + 3, 16), 24)
+        self.seen = np.zeros(1 << self.bits, bool)
+        self.seen[self.key >> np.uint64(64 - self.bits)] = True
 
     def find(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item, edits, begin, end) for each item within its edit budget in a text: the best place of each
-        retained band, positions in bytes of the text."""
-        data = _FOLD[data]
+        retained region, positions in bytes of the text."""
+        return self._find(_FOLD[data], off)
+
+    def _find(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         out = self._short(data, off)
+        if self.rest is not None:
+            out += [(d, int(self.names[i]), *hit) for d, i, *hit in self.rest._find(data, off)]
         g = grams(data, self.q)
-        at = np.flatnonzero(self.seen[g >> np.uint64(64 - self.BITS)])
+        at = np.flatnonzero(self.seen[g >> np.uint64(64 - self.bits)])
         low = np.searchsorted(self.key, g[at], "left")
         n = np.searchsorted(self.key, g[at], "right") - low
         at, low, n = at[n > 0], low[n > 0], n[n > 0]
@@ -79,37 +101,46 @@ class Items:
         at, low, n, doc = at[inside], low[inside], n[inside], doc[inside]
         if not len(at):
             return out
-        # one row for each hit of a document's position with an item's
+        # one row for each hit of a document's position with an item's run: it counts in the bands from `first` to `last`
         row = np.repeat(np.arange(len(at)), n)
         entry = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(row))
-        item, doc, diagonal = self.item[entry], doc[row], at[row] - self.place[entry]
+        item, doc = self.item[entry].astype(np.int64), doc[row]
         wide = self.edits[item] + 1
-        band = diagonal // wide
-        found = {}
-        for shift in (0, 1):  # bands of two widths overlap by one
-            key = np.stack([doc, item, band - shift])
-            order = np.lexsort(key[::-1])
-            key = key[:, order]
-            new = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(0)])
-            if shift == 0:
-                single = key[:, new]
-                count = dict(zip(map(tuple, single.T.tolist()), np.diff(np.r_[new, key.shape[1]]).tolist()))
-            else:
-                lower = key[:, new]
-                for k, c in zip(map(tuple, lower.T.tolist()), np.diff(np.r_[new, key.shape[1]]).tolist()):
-                    found[k] = c
-        for k, c in count.items():
-            found[k] = found.get(k, 0) + c
-        for (d, i, b), c in found.items():
-            if c >= self.bound[i]:
-                w = int(self.edits[i]) + 1
-                hit = self._verify(data[off[d] : off[d + 1]], int(b * w - off[d]), int(2 * w), i)
-                if hit:
-                    out.append((d, i, *hit))
+        first = (at[row] - self.high[entry]) // wide - 1  # bands of two widths overlap by one
+        last = (at[row] - self.low[entry]) // wide
+        # counts along the bands of each text and item, as sums over where hits begin and end
+        pair, step = np.tile(doc * len(self.ids) + item, 2), np.repeat([1, -1], len(item))
+        edge = np.concatenate([first, last + 1])
+        order = np.lexsort((edge, pair))
+        pair, edge, count = pair[order], edge[order], np.cumsum(step[order])
+        final = np.r_[(pair[1:] != pair[:-1]) | (edge[1:] != edge[:-1]), True]
+        pair, edge, count = pair[final], edge[final], count[final]
+        item = pair % len(self.ids)
+        enough = count >= self.bound[item]  # from this edge to the next one, which is the same pair's
+        begins = np.flatnonzero(enough & ~np.r_[False, enough[:-1] & (pair[1:] == pair[:-1])])
+        ends = np.flatnonzero(enough & ~np.r_[enough[1:] & (pair[1:] == pair[:-1]), False]) + 1
+        for x, y in zip(begins.tolist(), ends.tolist()):
+            d, i = divmod(int(pair[x]), len(self.ids))
+            w = int(self.edits[i]) + 1
+            low, high = int(edge[x]) * w - int(off[d]), (int(edge[y]) + 1) * w - int(off[d])
+            hit = self._best(data[off[d] : off[d + 1]], low, high, i)
+            if hit:
+                out.append((d, i, *hit))
         return out
 
+    def _best(self, text: np.ndarray, low: int, high: int, i: int, at_once: int = 4096) -> tuple[int, int, int] | None:
+        """The place of fewest edits, then first, on the diagonals from low to high, so many at once."""
+        best = None
+        for a in range(low, high, at_once):
+            hit = self._verify(text, a, min(at_once, high - a), i)
+            if hit and (best is None or hit < best):
+                best = hit
+            if best and not best[0]:
+                break  # later diagonals begin later
+        return best
+
     def _short(self, data: np.ndarray, off: np.ndarray) -> list:
-        """Items of fewer than q bytes count where they occur exactly."""
+        """Items of fewer than q bytes and no edits count where they occur."""
         out = []
         if self.short:
             whole = data.tobytes()
@@ -152,7 +183,7 @@ class Items:
         return (int(cost[k]), int(begin[k]), int(end[k])) if cost[k] <= e else None
 
 
-def blocks(benchmark: DataFrame, q: int, edit_share: float, block_bytes: int = 16 << 20, item: str = "item_id", text: str = "text"):
+def blocks(benchmark: DataFrame, q: int, edit_share: float, block_bytes: int = 2 << 20, item: str = "item_id", text: str = "text"):
     """Indexes of the benchmark's items, one after another, each of about block_bytes of text: a stated query set runs
     against all documents in blocks, so that what a task holds stays bounded. Items without id or text are left out."""
     items = benchmark.select(F.col(item).cast("long").alias("i"), F.col(text).cast("string").alias("t")).where("i is not null and length(t) > 0").distinct()
@@ -164,18 +195,19 @@ def blocks(benchmark: DataFrame, q: int, edit_share: float, block_bytes: int = 1
 
 def matches(docs: DataFrame, benchmark: DataFrame, q: int = 12, edit_share: float = 0.05, text: str = "text") -> DataFrame:
     """Rows (doc_id, item_id, edits, begin, finish): each benchmark item that occurs in a document within its edit budget
-    (edit_share of its bytes, less for short items), the fewest edits and that place's byte range in the folded text.
+    (edit_share of its bytes), the fewest edits and that place's byte range in the folded text.
 
-    A null or empty text has no matches, nor has an empty benchmark; items of fewer than q bytes match exactly;
-    repeated rows each match; a row without doc_id matches with a null one.
+    A null or empty text has no matches, nor has an empty benchmark; repeated rows each match; a row without doc_id matches with a null one.
     """
     spark = docs.sparkSession
     prepare(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     out = None
-    for index in blocks(benchmark, q, edit_share):
+    for items in blocks(benchmark, q, edit_share):
+        shared = spark.sparkContext.broadcast(items)  # an index of block_bytes of text, some 20 times as large
 
-        def run(batches, index=index):
+        def run(batches, shared=shared):
+            index = shared.value
             for b in batches:
                 best: dict = {}
                 for d, i, edits, begin, end in index.find(*tx.buffers(b.column(1))):
@@ -193,11 +225,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, q: int = 12, edit_share: floa
 
 
 def filter_documents(docs: DataFrame, benchmark: DataFrame, q: int = 12, edit_share: float = 0.05, text: str = "text") -> DataFrame:
-    """The rows of docs in which no benchmark item occurs, with docs' own columns; rows are judged where they are."""
+    """The rows of docs in which no benchmark item occurs, with docs' own columns; rows are judged where they are.
+
+    Rows without text or doc_id stay unless an item occurs in them; repeated rows all stay or all go; an empty table gives an
+    empty one, and an empty benchmark leaves all rows.
+    """
     prepare(docs.sparkSession)
-    for index in blocks(benchmark, q, edit_share):
+    for items in blocks(benchmark, q, edit_share):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
-        def run(batches, index=index):
+        def run(batches, shared=shared):
+            index = shared.value
             for b in batches:
                 clean = np.ones(b.num_rows, bool)
                 clean[[d for d, *_ in index.find(*tx.buffers(b.column(b.schema.get_field_index(text))))]] = False
