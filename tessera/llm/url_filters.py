@@ -6,6 +6,7 @@ All in DataFrame functions and Spark's own trees; the trees are fitted on URLs t
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,8 @@ FEATURES = [
     "url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "hyphens", "entropy", "parameters",
     "query_length", "has_fragment", "secure", "longest_label", "vowel_ratio", "suffix_share", "suffix_count",
 ]
+#: Parts of the labelled URLs; a URL's suffix share comes from the other parts.
+FOLDS = 5
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -64,8 +67,7 @@ def _count(s: Column, pattern: str) -> Column:
 
 
 def with_features(pages: DataFrame, url: str = "url") -> DataFrame:
-    """pages' columns with host, path and FEATURES, none null. suffix_share and suffix_count are the shares of blocked URLs and
-    the logarithm of the URLs under the last two labels of the host, over all URLs that the rules label."""
+    """pages' columns with host, path and FEATURES but those of the suffix (the last two labels of the host), none null."""
     u = F.coalesce(F.col(url), F.lit(""))
     host, path = host_and_path(u)
     out = pages.withColumn("host", host).withColumn("path", path)
@@ -93,41 +95,85 @@ def with_features(pages: DataFrame, url: str = "url") -> DataFrame:
     return out.withColumns(cols)
 
 
-def suffixes(featured: DataFrame) -> DataFrame:
-    """__suffix, suffix_share, suffix_count: how often the rules block under a host's last two labels, and how many URLs it has."""
-    blocked = F.sum(F.when(F.col("__verdict") == "block", 1).otherwise(0))
-    labelled = F.count("__verdict")
-    return featured.groupBy("__suffix").agg(((blocked + 1) / (labelled + 2)).alias("suffix_share"), F.log1p(F.count("*").cast("double")).alias("suffix_count"))
+def _fold(url: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(2), F.coalesce(F.col(url), F.lit(""))), F.lit(FOLDS))
+
+
+def suffixes(featured: DataFrame, url: str) -> DataFrame:
+    """__suffix with, for each fold of the URLs, how many the rules block and label under it, and suffix_count, the logarithm of
+    its URLs."""
+    fold = _fold(url)
+    blocked, labelled = (
+        F.array(*[F.sum(F.when((fold == k) & F.expr(what), 1).otherwise(0)) for k in range(FOLDS)])
+        for what in ("__verdict = 'block'", "__verdict is not null")
+    )
+    return featured.groupBy("__suffix").agg(blocked.alias("__blocked"), labelled.alias("__labelled"), F.log1p(F.count("*").cast("double")).alias("suffix_count"))
+
+
+def with_suffixes(base: DataFrame, url: str) -> DataFrame:
+    """base with suffix_share and suffix_count. A labelled URL's suffix_share leaves out the URLs of its own fold, so that no label has a
+    part in its own features."""
+    shares = stage(suffixes(base.select("__suffix", "__verdict", url), url), "url-suffixes")  # of its own, so that a hot suffix's rows can be split
+    counted = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x) - F.when(F.col("__verdict").isNotNull(), F.get(c, _fold(url).cast("int"))).otherwise(0)
+    share = (counted(F.col("__blocked")) + 1) / (counted(F.col("__labelled")) + 2)
+    return base.join(shares, "__suffix", "left").withColumn("suffix_share", share)
+
+
+def sampled(featured: DataFrame, url: str, most_rows: int) -> DataFrame:
+    """FEATURES and label of at most most_rows labelled URLs, as many allowed as blocked where there are as many: of most_rows / 2 buckets of
+    the URL's hash, the one of least hash, found in each task before any row is sent."""
+    out = None
+    for v, k in (("allow", 0), ("block", 1)):
+        rows = featured.where(F.col("__verdict") == v).withColumn("__h", F.xxhash64(F.lit(1), F.coalesce(F.col(url), F.lit(""))))
+        chosen = rows.groupBy(F.pmod("__h", F.lit(most_rows // 2)).alias("bucket")).agg(F.min("__h").alias("__h")).select("__h")
+        rows = rows.join(F.broadcast(chosen), "__h").dropDuplicates(["__h"]).select(*FEATURES, F.lit(k).cast("double").alias("label"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _assembled(df: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=FEATURES, outputCol="__features").transform(df)
+
+
+def fitted(sample: DataFrame, trees: int, depth: int):
+    """Boosted trees on a sample, or the share of blocked URLs in it where it has one label only (0 where it is empty)."""
+    sample = stage(sample, "url-sample")
+    rows = sample.groupBy("label").count().collect()  # two rows at most
+    if len(rows) < 2:
+        return float(rows[0][0]) if rows else 0.0
+    train = _assembled(sample.coalesce(2).sort(*FEATURES)).select(F.col("__features").alias("features"), "label")
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, maxBins=32, seed=1, cacheNodeIds=False).fit(train)
+    return model.setFeaturesCol("__features").setRawPredictionCol("__raw").setProbabilityCol("__probability").setPredictionCol("__prediction")
+
+
+def scored_by(model, featured: DataFrame) -> DataFrame:
+    if isinstance(model, float):
+        return featured.withColumn("block_score", F.lit(model))
+    return model.transform(_assembled(featured)).withColumn("block_score", vector_to_array("__probability")[1])
+
+
+def held_out_auc(pages: DataFrame, url: str = "url", most_rows: int = 4096, trees: int = 12, depth: int = 4) -> float:
+    """The area under the ROC curve of the trees' score on the labelled URLs of one fold, learned from the other folds."""
+    prepare(pages.sparkSession)
+    featured = with_suffixes(with_features(pages.select(url), url), url)
+    model = fitted(sampled(featured.where(_fold(url) > 0), url, most_rows), trees, depth)
+    rows = scored_by(model, featured.where((_fold(url) == 0) & F.col("__verdict").isNotNull()))
+    rows = rows.select(F.when(F.col("__verdict") == "block", 1.0).otherwise(0.0).alias("label"), F.col("block_score").cast("double").alias("rawPrediction"))
+    return BinaryClassificationEvaluator().evaluate(rows)
 
 
 def judge(pages: DataFrame, url: str = "url", most_rows: int = 4096, trees: int = 12, depth: int = 4) -> DataFrame:
     """pages' columns but for `url` kept as they are, with host, path, rule, verdict (allow or block) and block_score.
 
-    Where a rule fits, the longest decides; else boosted trees do, fitted on at most most_rows labelled URLs (those of
-    least hash, as many allowed as blocked where there are as many). Where the rules label no URL or all alike, the rest
-    takes that label, or allow. A null or empty URL has empty host and path and is judged by the trees; repeated
-    rows are judged alike; columns named as a result's are replaced; an empty table gives no rows.
+    Where a rule fits, the longest decides; else boosted trees do, fitted on at most most_rows labelled URLs. Where the rules label
+    no URL or all alike, the rest takes that label, or allow. A null or empty URL has empty host and path and is judged
+    by the trees; repeated rows are judged alike; columns named as a result's are replaced; an empty table gives no rows.
     """
     prepare(pages.sparkSession)
-    taken = {"host", "path", "rule", "verdict", "block_score", "__verdict", "__suffix", "__query", *FEATURES}
+    taken = {"host", "path", "rule", "verdict", "block_score", *FEATURES}
+    taken |= {f"__{c}" for c in ("verdict", "suffix", "query", "h", "blocked", "labelled", "features", "raw", "probability", "prediction")}
     columns = [c for c in pages.columns if c not in taken or c == url]
-    base = with_features(pages.select(*columns), url)
-    shares = stage(suffixes(base.select("__suffix", "__verdict")), "url-suffixes")  # of its own, so that a hot suffix's rows can be split
-    featured = base.join(shares, "__suffix", "left")
-    order = F.xxhash64(F.lit(1), F.coalesce(F.col(url), F.lit("")))
-    samples = [
-        featured.where(F.col("__verdict") == v).orderBy(order, url).limit(most_rows // 2).select(*FEATURES, F.lit(k).cast("double").alias("label"))
-        for v, k in (("allow", 0), ("block", 1))
-    ]
-    sample = samples[0].unionByName(samples[1])
-    rows = sample.groupBy("label").count().collect()  # two rows at most
-    assemble = VectorAssembler(inputCols=FEATURES, outputCol="__features")
-    if len(rows) == 2:
-        train = assemble.transform(sample).select(F.col("__features").alias("features"), "label").coalesce(2)
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, maxBins=32, seed=1, cacheNodeIds=False).fit(train)
-        model.setFeaturesCol("__features").setRawPredictionCol("__raw").setProbabilityCol("__probability").setPredictionCol("__prediction")
-        scored = model.transform(assemble.transform(featured)).withColumn("block_score", vector_to_array("__probability")[1])
-    else:
-        scored = featured.withColumn("block_score", F.lit(float(rows[0][0]) if rows else 0.0))
+    featured = with_suffixes(with_features(pages.select(*columns), url), url)
+    scored = scored_by(fitted(sampled(featured, url, most_rows), trees, depth), featured)
     verdict = F.coalesce("__verdict", F.when(F.col("block_score") > 0.5, "block").otherwise("allow"))
     return scored.select(*columns, "host", "path", "rule", verdict.alias("verdict"), "block_score")
