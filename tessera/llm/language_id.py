@@ -147,9 +147,10 @@ def pooled(model: BiGru, data: np.ndarray, off: np.ndarray, at_once: int = 4096)
     return total / np.maximum(n, 1)[:, None]
 
 
-def sample(docs: DataFrame, per_language: int, text: str) -> list[tuple[str, str]]:
-    """At most per_language (language, text) pairs of each language: of as many hash buckets of doc_id the row of least
-    hash. Only ids and languages are read for the choice, and the texts of the chosen."""
+def sample(docs: DataFrame, per_language: int, per_text: int, text: str) -> list[tuple[str, bytes]]:
+    """(language, chunk) pairs: at most per_language texts of each language, of as many hash buckets of doc_id the row of least hash, and
+    of each text per_text chunks of CHUNK bytes, spread evenly from its begin to its end. Only ids and languages are read for
+    the choice, and chunks are cut where the texts are."""
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(per_language))
     chosen = (
         docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col(text).isNotNull())
@@ -157,16 +158,21 @@ def sample(docs: DataFrame, per_language: int, text: str) -> list[tuple[str, str
     )
     # at most per_language rows for each language, a bounded table
     rows = docs.join(F.broadcast(chosen.select("id", F.col("lang").alias("l"))), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("l")))
-    return sorted((r[0], r[1]) for r in rows.select("lang", F.substring(text, 1, 2000)).collect())
+    raw, last = F.encode(F.col(text), "UTF-8"), F.greatest(F.octet_length(F.col(text)) - CHUNK, F.lit(0))
+    at = F.transform(F.sequence(F.lit(0), F.lit(per_text - 1)), lambda k: F.floor(k * last / max(per_text - 1, 1)).cast("int"))
+    cut = F.transform(F.array_distinct(at), lambda k: F.substring(raw, k + 1, F.lit(CHUNK)))
+    return sorted((r[0], bytes(r[1])) for r in rows.select("lang", F.explode(cut)).collect() if r[1])
 
 
-def train(docs: DataFrame, per_language: int = 128, hidden: int = 8, steps: int = 240, text: str = "text") -> tuple[BiGru, list[str]]:
-    """A network from at most per_language documents of each language (of each, chunks from its first 2,000 characters;
-    predictions read whole texts), and the languages in order."""
-    rows = sample(docs, per_language, text)
+def train(docs: DataFrame, per_language: int = 128, per_text: int = 40, hidden: int = 8, steps: int = 240, text: str = "text") -> tuple[BiGru, list[str]]:
+    """A network from at most per_language documents of each language and per_text chunks from all over each of them (predictions
+    read whole texts), and the languages in order."""
+    rows = sample(docs, per_language, per_text, text)
     names = sorted({lang for lang, _ in rows})
-    codes, doc = chunks(*tx.buffers(pa.array([t for _, t in rows], pa.string()))) if rows else (np.zeros((0, CHUNK), np.uint8), np.zeros(0, int))
-    target = np.array([names.index(lang) for lang, _ in rows], int)[doc] if rows else np.zeros(0, int)
+    codes = np.array([np.frombuffer(c.ljust(CHUNK, b"\0"), np.uint8) for _, c in rows], np.uint8).reshape(-1, CHUNK)
+    length = np.array([len(c) for _, c in rows], int)
+    codes = np.where(np.arange(CHUNK) < length[:, None], _FOLD[codes], 0)
+    target = np.array([names.index(lang) for lang, _ in rows], int)
     if len(names) > 1:  # as many chunks of every language
         rng = np.random.default_rng(3)
         most = max(np.bincount(target).max(), 1)
