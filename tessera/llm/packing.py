@@ -71,10 +71,12 @@ def _default_path() -> str:
 
 
 def queues(docs: DataFrame, mixture: dict[str, float] | None, source: str, most: int) -> list[str | None]:
-    """The sources that get a queue of their own: those of the mixture, or the `most` largest. All others share the
+    """The sources that get a queue of their own: those of the mixture, which has `most` at most, or the `most` largest. All others share the
     last queue, so the list's length is bounded whatever the data."""
     if mixture:
-        return sorted(mixture)[:most]
+        if len(mixture) > most:
+            raise ValueError(f"a mixture has {most} sources at most")
+        return sorted(mixture)
     rows = docs.groupBy(source).count().where(F.col(source).isNotNull()).orderBy(F.desc("count"), source).limit(most).collect()
     return sorted(r[0] for r in rows)
 
