@@ -2,15 +2,19 @@
 
 A rolling hash over SEED bytes triggers at positions where it is least within a window; the window is so long that every
 string of `length` bytes holds a trigger, and the same string holds the same one at the same place. Each trigger, with all the
-strings whose trigger it is, makes a phrase: the bytes those strings cover. Phrases of a document overlap, their
-sequence is its parse. The dictionary holds each phrase once with the first document that has it, sharded by trigger.
+strings whose trigger it is, makes a phrase: the bytes those strings cover. Phrases of a document overlap by more than a trigger, their
+sequence is its parse. The dictionary holds each phrase once, sharded by trigger; a phrase's owner is its first document.
 
-1. Within a task, equal phrases meet first: only a phrase of its first document is sent on (what later ones hold is removed).
-2. Between tasks, a phrase that an earlier document has is removed as a whole, all its strings at once.
-3. Phrases that share a trigger but differ, as at the ends of a passage, are cut into their suffixes; within a shard the
-   suffixes are sorted to `length` bytes, and equal neighbours in that order take the first document of their run. Only
-   one copy of each such phrase takes part.
+1. Parse: within a task, equal phrases meet first, and only a phrase of its first document is sent on (what later ones hold is
+   removed). Between tasks, a phrase that an earlier document has is removed as a whole, all its strings at once.
+2. Dictionary: phrases that share a trigger but differ, as at the ends of a passage, are sent to the trigger's shard as bytes. Their
+   suffixes of `length` bytes or more are sorted there, which is the shard's suffix array to that depth. No string lies in two
+   shards, and none reaches from one phrase into the next, for a phrase holds its strings whole: so the order of the parse
+   is needed only among equal suffixes, where it is the order of documents.
+3. Corpus order: suffixes in order of their bytes, then of document and place. Equal neighbours to `length` bytes make a run, and
+   all of a run but its first document's are removed.
 
+A trigger with very many phrases would be one large shard. Its phrases are cut into strings, each a shard of its own.
 The spans are then merged by document.
 """
 
@@ -95,9 +99,9 @@ def merge(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np
     return doc[first], a[first], reach[last] - doc[first] * far
 
 
-def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_column: str = "doc_id", crowd: int = 20_000) -> DataFrame:
     """(doc_id, begin, finish): byte ranges covered by strings of `length` bytes that also start in a document of smaller id;
-    ranges may overlap."""
+    ranges may overlap. A trigger with more than `crowd` phrases counts as crowded."""
     if not SEED < length < SEED + 128:
         raise ValueError(f"length is to lie between {SEED + 1} and {SEED + 127}")
     prepare(docs.sparkSession)
@@ -141,80 +145,96 @@ def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_colu
         .withColumn("owner", F.expr("min(doc_id) over (partition by trigger, phrase)"))
         .withColumn("low", F.expr("min(phrase) over (partition by trigger)"))
         .withColumn("high", F.expr("max(phrase) over (partition by trigger)"))
+        .withColumn("crowd", F.expr("count(*) over (partition by trigger)"))
         .withColumn("whole", F.expr("size < 0 or owner < doc_id"))
         .where("whole or low <> high")
-        .select("doc_id", "begin", F.abs("size").alias("size"), "whole")
+        .select("doc_id", "begin", F.abs("size").alias("size"), "whole", F.when(~F.col("whole"), F.col("trigger")).alias("trigger"), (F.col("crowd") > crowd).alias("crowded"))
     )
     shards = stage(shards, "suffix-shards")
-    open_ = shards.where("not whole").groupBy("doc_id").agg(F.collect_list(F.struct("begin", "size")).alias("cuts"))
+    open_ = shards.where("not whole").groupBy("doc_id").agg(F.collect_list(F.struct("begin", "size", "trigger", "crowded")).alias("cuts"))
     open_ = stage(open_, "suffix-open")
 
-    def suffixes(batches):
-        """The suffixes of a batch's open phrases in order, cut to `length` bytes: a row for each place of a string in its
-        first document, and settled ones (size below 0) for the others."""
+    def dictionary(batches):
+        """The open phrases' bytes with their shards; those of a crowded trigger as strings."""
         for b in batches:
             data, off = tx.buffers(b.column(1))
             ids = b.column(0).to_numpy(zero_copy_only=False)
             cuts = b.column(2)
             doc = np.repeat(np.arange(len(ids)), cuts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-            begin, size = (cuts.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            begin, size, trigger, crowded = (cuts.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(4))
             fits = begin + size <= np.diff(off)[doc]  # a repeated doc_id may bring another text
-            doc, begin, size = doc[fits], begin[fits], size[fits]
-            count = size - length + 1
-            owner = np.repeat(np.arange(len(doc)), count)
-            start = np.repeat(off[doc] + begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(owner))
-            if not len(start):
-                continue
-            text = np.lib.stride_tricks.sliding_window_view(data, length)[start]
-            strings = np.ascontiguousarray(text).view(f"S{length}").ravel()
-            who = ids[doc[owner]]
-            order = np.lexsort((who, strings))
-            new = np.r_[True, (text[order[1:]] != text[order[:-1]]).any(1)]
-            heads = order[new]
-            later = np.zeros(len(order), bool)
-            later[order] = who[order] > who[heads[np.cumsum(new) - 1]]
-            d, s, e = merge(doc[owner[later]], start[later] - off[doc[owner[later]]], start[later] + length - off[doc[owner[later]]])
-            kept = np.flatnonzero(~later)  # all places of a string in its first document
-            one, two = string_hashes(text[kept])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.r_[one, tx.mix(ids[d].astype(np.uint64) + tx.mix(s.astype(np.uint64)))].view(np.int64)),
-                    pa.array(np.r_[two.view(np.int64), np.zeros(len(d), np.int64)]),
-                    pa.array(np.r_[who[kept], ids[d]].astype(np.int64)),
-                    pa.array(np.r_[start[kept] - off[doc[owner[kept]]], s]),
-                    pa.array(np.r_[np.full(len(kept), length), s - e].astype(np.int32)),
-                ],
-                ["one", "two", "doc_id", "begin", "size"],
-            )
+            doc, begin, size, trigger, crowded = (x[fits] for x in (doc, begin, size, trigger, crowded))
+            strings = crowded.astype(bool)
+            if strings.any():
+                count = size[strings] - length + 1
+                owner = np.repeat(doc[strings], count)
+                start = np.repeat(begin[strings] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(owner))
+                one = Rolling(data).span(off[owner] + start, off[owner] + start + length).view(np.int64)
+                doc = np.concatenate([doc[~strings], owner])
+                begin = np.concatenate([begin[~strings], start])
+                size = np.concatenate([size[~strings], np.full(len(owner), length, size.dtype)])
+                trigger = np.concatenate([trigger[~strings], one])
+            at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            place = np.repeat(off[doc] + begin - at[:-1], size) + np.arange(at[-1])
+            raw = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data[place]))])
+            yield pa.RecordBatch.from_arrays([pa.array(trigger.astype(np.int64)), pa.array(ids[doc].astype(np.int64)), pa.array(begin.astype(np.int64)), raw], ["shard", "doc_id", "begin", "phrase"])
 
-    strings = source.join(open_, "doc_id").select("doc_id", "text", "cuts").mapInArrow(suffixes, "one long, two long, doc_id long, begin long, size int")
-    edges = (
-        strings.withColumn("first", F.expr("min(doc_id) over (partition by one, two)"))
-        .where("size < 0 or first < doc_id")
-        .select("doc_id", "begin", F.abs("size").alias("size"))
-    )
+    phrases_ = source.join(open_, "doc_id").select("doc_id", "text", "cuts").mapInArrow(dictionary, "shard long, doc_id long, begin long, phrase binary")
+
+    def suffixes(batches):
+        """Spans of the strings that an earlier document has, from the suffix arrays of the shards; rows come in order of shards."""
+        held: list = []
+        rows = 0
+        for b in batches:
+            held.append(b)
+            rows += b.num_rows
+            if rows >= 20_000:
+                t = pa.Table.from_batches(held).combine_chunks()
+                shard = t.column("shard").to_numpy()
+                cut = int(np.searchsorted(shard, shard[-1]))  # the last shard may go on
+                if cut:
+                    yield later_spans(t.slice(0, cut), length)
+                    held = t.slice(cut).to_batches()
+                    rows = len(t) - cut
+        if held:
+            yield later_spans(pa.Table.from_batches(held).combine_chunks(), length)
+
+    edges = phrases_.repartition("shard").sortWithinPartitions("shard").mapInArrow(suffixes, "doc_id long, begin long, size int")
     return shards.where("whole").select("doc_id", "begin", "size").unionByName(stage(edges, "suffix-edges"))
 
 
-def string_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit and a 40-bit hash of each row of bytes."""
-    one, two = np.zeros(len(text), np.uint64), np.zeros(len(text), np.uint64)
-    for k in range(text.shape[1]):
-        value = tx.BYTE_VALUE[text[:, k]]
-        one = one * np.uint64(0x9E3779B97F4A7C15) + value
-        two = (two ^ value) * np.uint64(0xC2B2AE3D27D4EB4F)
-        two ^= two >> np.uint64(29)
-    return tx.mix(one), tx.mix(two) >> np.uint64(24)
+def later_spans(t: pa.Table, length: int) -> pa.RecordBatch:
+    """(doc_id, begin, size): the bytes of the phrases of t covered by strings of `length` bytes that a phrase of the same shard and a
+    smaller doc_id has."""
+    column = t.column("phrase").combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    shard, ids, begin = (t.column(c).to_numpy() for c in ("shard", "doc_id", "begin"))
+    off = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)
+    count = np.diff(off) - length + 1
+    owner = np.repeat(np.arange(len(count)), count)
+    start = np.repeat(off[:-1] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(owner))
+    text = np.lib.stride_tricks.sliding_window_view(data, length)[start] if len(start) else np.zeros((0, length), np.uint8)
+    # numpy's byte strings end at their last byte other than NUL, so a byte is put behind them
+    ended = np.concatenate([text, np.ones((len(text), 1), np.uint8)], 1).view(f"S{length + 1}").ravel()
+    order = np.lexsort((ids[owner], ended, shard[owner]))
+    text, at = text[order], owner[order]
+    new = np.r_[True, (shard[at][1:] != shard[at][:-1]) | (text[1:] != text[:-1]).any(1)][: len(at)]
+    later = ids[at] > ids[at][np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+    # runs of strings in one phrase are one span
+    gone = order[later]
+    which, s, e = merge(owner[gone], start[gone], start[gone] + length)
+    return pa.RecordBatch.from_arrays([pa.array(ids[which]), pa.array(begin[which] + s - off[which]), pa.array((e - s).astype(np.int32))], ["doc_id", "begin", "size"])
 
 
-def dedup(docs: DataFrame, length: int = 50, text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, length: int = 50, text: str = "text", crowd: int = 20_000) -> DataFrame:
     """docs' doc_id with n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and kept, the bytes that remain
     (binary: a cut may part a character's bytes).
 
     A null text counts as empty. Rows without doc_id lose nothing and give nothing. Rows that share a doc_id count as
     copies of one document. An empty table gives no rows.
     """
-    spans = removed_spans(docs, length, text).groupBy("doc_id").agg(F.collect_list(F.struct("begin", "size")).alias("spans"))
+    spans = removed_spans(docs, length, text, crowd=crowd).groupBy("doc_id").agg(F.collect_list(F.struct("begin", "size")).alias("spans"))
     spans = stage(spans.withColumnRenamed("doc_id", "__id"), "suffix-spans")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     joined = rows.join(spans, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "spans")

@@ -155,6 +155,16 @@ def test_decontamination_on_awkward_rows(spark):
     assert decontamination.matches(helpers.empty(spark), b).count() == 0
 
 
+def test_repetitive_and_short_items(spark):
+    """Items of few kinds of q-grams have few entries, and short ones have their share of edits too."""
+    items = [(1, "a" * 1000), (2, "ab" * 300), (3, "wxyzwxyzvwxyzuvwxyzt"), (4, "q")]
+    index = decontamination.Items(items, 12, 0.05)
+    assert len(index.key) < 10
+    texts = ["a" * 8000, "b" + "ab" * 297 + "c", "-- wxyzwxyzvwxyzuvwyzt", "-- wxyzwxyzvxyzuvwyzt", "q"]
+    got = {(d, i + 1): e for d, i, e, *_ in index.find(*tx.buffers(pa.array(texts)))}
+    assert got == {(0, 1): 0, (1, 2): fewest_edits("ab" * 300, texts[1]), (2, 3): 1, (4, 4): 0}
+
+
 def without_earlier(docs, n):
     first: dict = {}
     for d, b in sorted(docs):
@@ -171,16 +181,27 @@ def without_earlier(docs, n):
     return sorted(out)
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_suffix_dedup(spark, seed):
+@pytest.mark.parametrize(("seed", "crowd"), [(0, 20_000), (1, 20_000), (2, 2)])
+def test_suffix_dedup(spark, seed, crowd):
     rng = random.Random(seed)
-    pool = ["".join(rng.choice("abcdefgh é") for _ in range(rng.randrange(20, 120))) for _ in range(12)]
+    pool = ["".join(rng.choice("abcdefgh é\0") for _ in range(rng.randrange(20, 120))) for _ in range(12)] + ["\0" * 57, "\0" * 49 + "z"]
     docs = [(i, "".join(rng.choice([*pool, "ab", "a" * 60, "abcabc" * 9, "xy"]) for _ in range(rng.randrange(0, 12)))) for i in range(150)]
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    got = sorted(tuple(r) for r in suffix_dedup.dedup(d).drop("kept").collect())
+    got = sorted(tuple(r) for r in suffix_dedup.dedup(d, crowd=crowd).drop("kept").collect())
     assert got == without_earlier([(i, t.encode()) for i, t in docs], 50)
 
 
+def test_suffix_arrays_of_many_batches(spark):
+    """More phrases than a task sorts at once, under one trigger and many."""
+    rng = random.Random(9)
+    head = "".join(rng.choice("abcdefgh") for _ in range(40))
+    docs = [(i, head + "".join(rng.choice("xyz") for _ in range(40)) + rng.choice(["", head])) for i in range(3000)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    for crowd in (10_000, 100):
+        got = sorted(tuple(r) for r in suffix_dedup.dedup(d, crowd=crowd).drop("kept").collect())
+        assert got == without_earlier([(i, t.encode()) for i, t in docs], 50)
+
+
 def test_suffix_dedup_on_awkward_rows(spark):
     d = helpers.awkward(spark).withColumn("spans", F.lit(1))
     rows = [(r.doc_id, (r.text or "").encode()) for r in d.collect()]
