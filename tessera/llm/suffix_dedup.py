@@ -99,7 +99,7 @@ def merge(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np
     return doc[first], a[first], reach[last] - doc[first] * far
 
 
-def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_column: str = "doc_id", crowd: int = 20_000) -> DataFrame:
+def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_column: str = "doc_id", crowd: int = 2_000) -> DataFrame:
     """(doc_id, begin, finish): byte ranges covered by strings of `length` bytes that also start in a document of smaller id;
     ranges may overlap. A trigger with more than `crowd` phrases counts as crowded."""
     if not SEED < length < SEED + 128:
@@ -165,21 +165,41 @@ def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_colu
             fits = begin + size <= np.diff(off)[doc]  # a repeated doc_id may bring another text
             doc, begin, size, trigger, crowded = (x[fits] for x in (doc, begin, size, trigger, crowded))
             strings = crowded.astype(bool)
+            gone = (np.zeros(0, np.int64),) * 3
             if strings.any():
                 count = size[strings] - length + 1
                 owner = np.repeat(doc[strings], count)
                 start = np.repeat(begin[strings] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(owner))
                 one = Rolling(data).span(off[owner] + start, off[owner] + start + length).view(np.int64)
-                doc = np.concatenate([doc[~strings], owner])
-                begin = np.concatenate([begin[~strings], start])
-                size = np.concatenate([size[~strings], np.full(len(owner), length, size.dtype)])
-                trigger = np.concatenate([trigger[~strings], one])
+                # equal strings meet in the batch first: those of later documents are settled, and only the first's are sent
+                order = np.lexsort((ids[owner], one))
+                rows = np.lib.stride_tricks.sliding_window_view(data, length)[(off[owner] + start)[order]]
+                new = np.r_[True, (one[order][1:] != one[order][:-1]) | (rows[1:] != rows[:-1]).any(1)]
+                head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+                later = np.zeros(len(order), bool)
+                later[order] = ids[owner[order]] > ids[owner[head]]
+                gone = merge(owner[later], start[later], start[later] + length)
+                keep = ~later
+                doc = np.concatenate([doc[~strings], owner[keep]])
+                begin = np.concatenate([begin[~strings], start[keep]])
+                size = np.concatenate([size[~strings], np.full(int(keep.sum()), length, size.dtype)])
+                trigger = np.concatenate([trigger[~strings], one[keep]])
             at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             place = np.repeat(off[doc] + begin - at[:-1], size) + np.arange(at[-1])
-            raw = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data[place]))])
-            yield pa.RecordBatch.from_arrays([pa.array(trigger.astype(np.int64)), pa.array(ids[doc].astype(np.int64)), pa.array(begin.astype(np.int64)), raw], ["shard", "doc_id", "begin", "phrase"])
+            # settled spans have no bytes, and no shard to share
+            at = np.concatenate([at, np.full(len(gone[0]), at[-1], np.int32)])
+            raw = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data[place]))])
+            alone = tx.mix(ids[gone[0]].astype(np.uint64) + tx.mix(gone[1].astype(np.uint64))).view(np.int64)
+            settled = np.concatenate([np.zeros(len(doc), np.int32), gone[2] - gone[1]]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([trigger, alone]).astype(np.int64)), pa.array(ids[np.concatenate([doc, gone[0]])].astype(np.int64)),
+                    pa.array(np.concatenate([begin, gone[1]]).astype(np.int64)), raw, pa.array(settled),
+                ],
+                ["shard", "doc_id", "begin", "phrase", "settled"],
+            )
 
-    phrases_ = source.join(open_, "doc_id").select("doc_id", "text", "cuts").mapInArrow(dictionary, "shard long, doc_id long, begin long, phrase binary")
+    phrases_ = source.join(open_, "doc_id").select("doc_id", "text", "cuts").mapInArrow(dictionary, "shard long, doc_id long, begin long, phrase binary, settled int")
 
     def suffixes(batches):
         """Spans of the strings that an earlier document has, from the suffix arrays of the shards; rows come in order of shards."""
@@ -205,13 +225,14 @@ def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_colu
 
 def later_spans(t: pa.Table, length: int) -> pa.RecordBatch:
     """(doc_id, begin, size): the bytes of the phrases of t covered by strings of `length` bytes that a phrase of the same shard and a
-    smaller doc_id has."""
+    smaller doc_id has, and the spans that are settled."""
+    settled = t.column("settled").to_numpy()
     column = t.column("phrase").combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
     shard, ids, begin = (t.column(c).to_numpy() for c in ("shard", "doc_id", "begin"))
     off = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2], np.uint8)
-    count = np.diff(off) - length + 1
+    count = np.maximum(np.diff(off) - length + 1, 0)
     owner = np.repeat(np.arange(len(count)), count)
     start = np.repeat(off[:-1] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(owner))
     text = np.lib.stride_tricks.sliding_window_view(data, length)[start] if len(start) else np.zeros((0, length), np.uint8)
@@ -224,10 +245,14 @@ def later_spans(t: pa.Table, length: int) -> pa.RecordBatch:
     # runs of strings in one phrase are one span
     gone = order[later]
     which, s, e = merge(owner[gone], start[gone], start[gone] + length)
-    return pa.RecordBatch.from_arrays([pa.array(ids[which]), pa.array(begin[which] + s - off[which]), pa.array((e - s).astype(np.int32))], ["doc_id", "begin", "size"])
+    own = np.flatnonzero(settled)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.r_[ids[which], ids[own]]), pa.array(np.r_[begin[which] + s - off[which], begin[own]]), pa.array(np.r_[e - s, settled[own]].astype(np.int32))],
+        ["doc_id", "begin", "size"],
+    )
 
 
-def dedup(docs: DataFrame, length: int = 50, text: str = "text", crowd: int = 20_000) -> DataFrame:
+def dedup(docs: DataFrame, length: int = 50, text: str = "text", crowd: int = 2_000) -> DataFrame:
     """docs' doc_id with n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and kept, the bytes that remain
     (binary: a cut may part a character's bytes).
 
