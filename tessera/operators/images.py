@@ -6,9 +6,13 @@ needs one shuffle and no join of ranges.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import kernels
+
 
 def stretch(v: DataFrame, keys: list[str], value: str, low: Column, high: Column, out_low: float = 0, out_high: float = 255, gamma: float = 1.0) -> Column:
     """A value between two bounds moved to an output range; beyond the bounds it takes the range's ends."""
@@ -84,24 +88,43 @@ def otsu(v: DataFrame, keys: list[str], value: str) -> DataFrame:
     return h.groupBy(*keys).agg(F.min(F.struct((-F.round(gain, 3)).alias("g"), "threshold"))["threshold"].alias("threshold"))
 
 
-def components(mask: DataFrame, keys: list[str], height: int, width: int, rounds: int | None = None) -> DataFrame:
-    """mask's pixels with the label of their component (eight neighbours): the least place, y * width + x, in it.
-
-    In each round a pixel takes the least label among its neighbours and then that label's own label, so that labels travel in jumps;
-    rounds end when no label changes. Every other round ends in a checkpoint.
-    """
-    lab = mask.select(*keys, "y", "x", (F.col("y") * width + F.col("x")).alias("label"))
-    for k in range(rounds or height * width):
-        near = window_agg(lab, keys, "label", box(1), height, width, F.min, "near")
-        new = lab.join(near, [*keys, "y", "x"]).select(*keys, "y", "x", "label", "near")
-        root = new.select(*keys, (F.col("y") * width + F.col("x")).alias("near"), F.col("near").alias("jump"))
-        new = new.join(root, [*keys, "near"]).select(*keys, "y", "x", "label", F.least("near", "jump").alias("next"))
-        new = new.checkpoint()
-        changed = new.where("next <> label").limit(1).count()
-        lab = new.select(*keys, "y", "x", F.col("next").alias("label"))
-        if not changed:
-            break
-    return lab
+def turned(quarters: Column, height: int, width: int) -> tuple[Column, Column]:
+    """Places (y, x) of the pixels of an image turned by so many quarters."""
+    y, x = F.col("y"), F.col("x")
+    by = [(y, x), (height - 1 - x, y), (height - 1 - y, width - 1 - x), (x, width - 1 - y)]
+    pick = lambda k: F.when(quarters == 0, by[0][k]).when(quarters == 1, by[1][k]).when(quarters == 2, by[2][k]).otherwise(by[3][k])
+    return pick(0), pick(1)
+
+
+def components(mask: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """mask's pixels (keys, y, x) with the label of their component (eight neighbours): the least place, y * width + x, in it. An image is a
+    group, labelled in one pass."""
+    schema = mask.select(*keys, "y", "x").schema.add("label", "long")
+
+    def run(t: pa.Table) -> pa.Table:
+        at = np.stack([t.column(c).to_numpy() for c in ("y", "x")], 1)
+        label = kernels.labels(at)
+        first = np.full(len(at), np.iinfo(np.int64).max)
+        np.minimum.at(first, label, at[:, 0] * width + at[:, 1])
+        return pa.table([*(t.column(c) for c in schema.names[:-1]), pa.array(first[label])], schema.names)
+
+    return mask.select(*keys, "y", "x").groupBy(*keys).applyInArrow(run, schema)
+
+
+def regional_maxima(v: DataFrame, keys: list[str], value: str, threshold: str) -> DataFrame:
+    """Spots in volumes (keys, z, y, x, value, threshold): keys, z, y, x, n_voxels and the value. A spot is a set of connected voxels (26
+    neighbours) of one value above the volume's threshold with no higher voxel next to any of them; its place is the centre, halves
+    rounded up. Volumes with none give no rows."""
+    schema = v.select(*keys).schema.add("z", "long").add("y", "long").add("x", "long").add("n_voxels", "long").add(value, v.schema[value].dataType)
+
+    def run(t: pa.Table) -> pa.Table:
+        at = np.stack([t.column(c).to_numpy() for c in "zyx"], 1)
+        spots = kernels.regional_maxima(at, t.column(value).to_numpy(), t.column(threshold).to_numpy())
+        centre = [np.array([s[k] for s in spots], np.int64) for k in range(4)]
+        row = pa.array(np.array([s[4] for s in spots], np.int64))
+        return pa.table([*(t.column(c).take(row) for c in keys), *map(pa.array, centre), t.column(value).take(row)], schema.names)
+
+    return v.select(*keys, "z", "y", "x", value, threshold).groupBy(*keys).applyInArrow(run, schema)
 
 
 def expand_labels(labels: DataFrame, keys: list[str], radius: int, height: int, width: int) -> DataFrame:

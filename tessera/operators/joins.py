@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def interval_join(left: DataFrame, right: DataFrame, point: str, start: str, end: str, how: str = "inner") -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, point: str, start: str, end: str, how: str = "inner", overlap: str = "all", order: str | None = None) -> DataFrame:
     """left with the rows of right whose inclusive integer interval holds left's point: an interval becomes one row for
-    each of its numbers."""
-    spread = right.withColumn("__at", F.explode(F.sequence(F.col(start).cast("long"), F.col(end).cast("long"))))
+    each of its numbers.
+
+    An interval with a null bound, or whose start lies after its end, holds nothing. Where intervals overlap, overlap says which count:
+    all (a row for each), or the first or last of them by the column `order`.
+    """
+    able = right.where(F.col(start).cast("long") <= F.col(end).cast("long"))
+    spread = able.withColumn("__at", F.explode(F.sequence(F.col(start).cast("long"), F.col(end).cast("long"))))
+    if overlap != "all":
+        agg = {"first": F.min_by, "last": F.max_by}[overlap]
+        row = agg(F.struct(*[F.col(c) for c in right.columns]), F.col(order)).alias("__r")
+        spread = spread.groupBy("__at").agg(row).select("__at", "__r.*")
     return left.join(spread, F.col(point).cast("long") == F.col("__at"), how).drop("__at")
 
 
@@ -73,3 +84,37 @@ def later_corner_anti(rows: DataFrame, tiles: DataFrame, keys: list[str], tile:
     for k in keys:
         claimed = claimed & (F.col(k) == F.col(f"__{k}"))
     return rows.join(t, claimed, "left_anti")
+
+
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """rows with their number from 0 in an order, over partitions by range: each counts from the sum of those before it, so that no task sees
+    all rows."""
+    part = rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
+    inner = part.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
+    sizes = inner.groupBy("__p").agg(F.count("*").alias("__n"))  # a row for each partition
+    before = sizes.withColumn("__b", F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).drop("__n")
+    return inner.join(F.broadcast(before), "__p").withColumn(name, (F.col("__i") - 1 + F.coalesce("__b", F.lit(0))).cast("long")).drop("__p", "__i", "__b")
+
+
+def neighbours(rows: DataFrame, keys: list[str], name: str, xy: tuple[str, str], radius: int) -> DataFrame:
+    """keys, name and near: how many other rows of the same keys lie within the radius of each. A grid cell as wide as the radius with all
+    rows of it and of the eight around it is a group, which counts by distances without making a row for each pair."""
+    x, y = (F.col(c) for c in xy)
+    schema = rows.select(*keys, name).schema.add("near", "long")
+    steps = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
+    sent = rows.select(*keys, name, x.alias("__x"), y.alias("__y"), F.floor(x / radius).alias("__gx"), F.floor(y / radius).alias("__gy"), steps.alias("__o"))
+    own = ((F.col("__o.a") == 0) & (F.col("__o.b") == 0)).alias("__own")
+    sent = sent.select(*keys, name, "__x", "__y", (F.col("__gx") + F.col("__o.a")).alias("__gx"), (F.col("__gy") + F.col("__o.b")).alias("__gy"), own)
+
+    def run(t: pa.Table) -> pa.Table:
+        x, y = (t.column(c).to_numpy() for c in ("__x", "__y"))
+        mine = np.flatnonzero(t.column("__own").to_numpy(zero_copy_only=False))
+        near = np.zeros(len(mine), np.int64)
+        step = max(1, (1 << 22) // max(len(x), 1))
+        for a in range(0, len(mine), step):
+            k = mine[a : a + step]
+            near[a : a + step] = ((x[k, None] - x) ** 2 + (y[k, None] - y) ** 2 <= radius * radius).sum(1) - 1
+        rows = pa.array(mine)
+        return pa.table([*(t.column(c).take(rows) for c in schema.names[:-1]), pa.array(near)], schema.names)
+
+    return sent.groupBy(*keys, "__gx", "__gy").applyInArrow(run, schema)

@@ -9,13 +9,69 @@ import numpy as np
 import pandas as pd
 
 
-def grid(p: pd.DataFrame, value: str = "v") -> np.ndarray:
-    """An image from its pixels, 0 where there is none."""
-    out = np.zeros((int(p.y.max()) + 1, int(p.x.max()) + 1))
+def grid(p: pd.DataFrame, value: str = "v", shape: tuple[int, int] | None = None) -> np.ndarray:
+    """An image from its pixels, 0 where there is none; of the given shape, or as large as its last pixel."""
+    out = np.zeros(shape or (int(p.y.max()) + 1, int(p.x.max()) + 1))
     out[p.y.to_numpy(int), p.x.to_numpy(int)] = p[value].to_numpy(float)
     return out
 
 
+def links(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (of row numbers) of places, distinct rows of integers, that differ by at most 1 in each coordinate."""
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = at - at.min(0) + 1
+    size = at.max(0) + 2
+    code = np.ravel_multi_index(tuple(at.T), tuple(size))
+    order = np.argsort(code)
+    code = code[order]
+    a, b = [], []
+    steps = np.indices((3,) * at.shape[1]).reshape(at.shape[1], -1).T - 1
+    for step in steps[len(steps) // 2 + 1 :]:  # each pair once
+        to = code + int(np.ravel_multi_index(tuple(step + 1), tuple(size)) - np.ravel_multi_index((1,) * at.shape[1], tuple(size)))
+        k = np.minimum(np.searchsorted(code, to), len(code) - 1)
+        found = code[k] == to
+        a.append(order[found])
+        b.append(order[k[found]])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def united(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n rows the least row it is connected to by the pairs."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        while (new[new] != new).any():
+            new = new[new]
+        new = new[root]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def labels(at: np.ndarray) -> np.ndarray:
+    """For each place the number of a place of its component, the same for all of it."""
+    return united(len(at), *links(at))
+
+
+def regional_maxima(at: np.ndarray, value: np.ndarray, threshold: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """(z, y, x, voxels, a row of it) of each set of connected voxels of one value above the threshold without a higher neighbour."""
+    a, b = links(at)
+    same = value[a] == value[b]
+    root = united(len(at), a[same], b[same])
+    lower = np.r_[a[value[a] < value[b]], b[value[b] < value[a]]]
+    top = value > threshold
+    top[np.isin(root, root[lower])] = False
+    out = []
+    for r in np.unique(root[top]).tolist():
+        rows = np.flatnonzero(root == r)
+        out.append((*(int(c) for c in np.floor(at[rows].mean(0) + 0.5)), len(rows), r))
+    return out
+
+
 def pixels(a: np.ndarray, name: str = "v") -> pd.DataFrame:
     y, x = np.indices(a.shape)
     return pd.DataFrame({"y": y.ravel(), "x": x.ravel(), name: a.ravel()})
@@ -32,6 +88,20 @@ def register(fixed: np.ndarray, moving: np.ndarray) -> tuple[int, int, float]:
     return wrap(dy, size.shape[0]), wrap(dx, size.shape[1]), float(np.angle(c[dy, dx]))
 
 
+def volume(p: pd.DataFrame, shape: tuple[int, int, int], value: str = "v") -> np.ndarray:
+    out = np.zeros(shape)
+    out[p.z.to_numpy(int), p.y.to_numpy(int), p.x.to_numpy(int)] = p[value].to_numpy(float)
+    return out
+
+
+def register_volumes(fixed: np.ndarray, moving: np.ndarray) -> tuple[int, ...]:
+    """The circular shift in each axis that brings moving onto fixed, at the largest absolute cross-correlation (the first in the axes'
+    order where there are ties)."""
+    c = np.fft.ifftn(np.fft.fftn(fixed) * np.conj(np.fft.fftn(moving)))
+    at = np.unravel_index(int(np.argmax(np.round(np.abs(c), 6))), c.shape)
+    return tuple(int(d if d < (n + 1) // 2 else d - n) for d, n in zip(at, c.shape))
+
+
 def _near(a: np.ndarray, offsets, fill: float, agg) -> np.ndarray:
     r = max(max(abs(i), abs(j)) for i, j in offsets)
     p = np.pad(a, r, constant_values=fill)
@@ -155,14 +225,9 @@ def hull(x: np.ndarray, y: np.ndarray) -> list[tuple[float, float]]:
     return sorted(corners, key=lambda p: (np.arctan2(p[1] - cy, p[0] - cx), p))
 
 
-def march_to_border(mask: np.ndarray, x: float, y: float, cx: float, cy: float, most: int = 1000) -> float:
-    """The distance from a point to a structure along the line to its centre, in steps of one pixel; -1 if it isn't met."""
-    d = np.hypot(cx - x, cy - y)
-    if d == 0:
-        return 0.0
-    ux, uy = (cx - x) / d, (cy - y) / d
-    for k in range(min(most, int(d) + 1) + 1):
-        a, b = int(round(y + k * uy)), int(round(x + k * ux))
-        if 0 <= a < mask.shape[0] and 0 <= b < mask.shape[1] and mask[a, b]:
-            return float(np.hypot(b - x, a - y))
-    return -1.0
+def median(a: np.ndarray, size: int) -> np.ndarray:
+    """The median of the size by size pixels around each pixel, with zeros beyond the edge; an even window reaches a pixel farther down
+    and to the right."""
+    before = (size - 1) // 2
+    p = np.pad(a, ((before, size - 1 - before),) * 2)
+    return np.median(np.lib.stride_tricks.sliding_window_view(p, (size, size)), axis=(2, 3))

@@ -26,3 +26,15 @@ def share(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
     """value as a percentage of its sum within `by`."""
     total = df.groupBy(*by).agg(F.sum(value).alias("__t"))
     return df.join(total, by).withColumn(name, F.try_divide(100.0 * F.col(value), F.col("__t"))).drop("__t")
+
+
+def march(x: Column, y: Column, cx: Column, cy: Column, inside, most: int) -> Column:
+    """The distance from (x, y) to the first pixel on the line to (cx, cy), in steps of one, for which inside(px, py) holds; -1 if there is
+    none in `most` steps or up to the centre."""
+    x, y = x.cast("double"), y.cast("double")
+    d = F.sqrt((cx - x) * (cx - x) + (cy - y) * (cy - y))
+    at = lambda k, a, c: F.floor(a + F.when(d > 0, k * (c - a) / d).otherwise(0.0) + 0.5)
+    steps = F.sequence(F.lit(0).cast("long"), F.least(F.lit(most).cast("long"), F.floor(d) + 1))
+    places = F.transform(steps, lambda k: F.struct(at(k, x, cx).alias("x"), at(k, y, cy).alias("y")))
+    met = F.get(F.filter(places, lambda p: inside(p["x"], p["y"])), F.lit(0))
+    return F.coalesce(F.sqrt((met["x"] - x) * (met["x"] - x) + (met["y"] - y) * (met["y"] - y)), F.lit(-1.0))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import barcodes as bc
 from tessera.operators import images as im
+from tessera.operators import kernels
 
 
 @dataclass(frozen=True)
@@ -41,20 +43,64 @@ class Dataset:
         p = self.images.groupBy(*keys, "y", "x").agg(F.max("v").alias("v"))
         return replace(self, images=p.withColumn("z", F.lit(0).cast("long")).select(*self.KEYS, "y", "x", "v"))
 
+    @classmethod
+    def load(cls, images: DataFrame, roles: dict[str, int] | None = None, quarters: int = 0, flip: bool = False, zrange: tuple[int, int] | None = None) -> Dataset:
+        """A dataset from stacks as read (fov, round, channel, z, y, x, v): channels chosen and numbered by roles, planes of a range, and all of
+        a field cut to its images' least depth, height and width, then turned by quarters and mirrored up and down."""
+        v = images
+        if roles:
+            names = F.create_map(*[F.lit(x) for r in roles.items() for x in r])
+            v = v.where(F.col("channel").isin(list(roles))).withColumn("channel", F.try_element_at(names, F.col("channel")).cast("long"))
+        if zrange:
+            v = v.where(F.col("z").between(*zrange)).withColumn("z", F.col("z") - zrange[0])
+        size = v.groupBy("fov", "round", "channel").agg(*[(F.max(c) + 1).alias(f"n{c}") for c in "zyx"])
+        size = size.groupBy("fov").agg(*[F.min(f"n{c}").alias(f"n{c}") for c in "zyx"])
+        v = v.join(size, "fov").where("z < nz and y < ny and x < nx")
+        y, x = im.turned(F.lit(quarters % 4), F.col("ny"), F.col("nx"))
+        height = F.col("nx") if quarters % 2 else F.col("ny")
+        y = height - 1 - y if flip else y
+        v = v.select(*cls.KEYS, y.alias("y"), x.alias("x"), "v")
+        far = v.agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w")).first()  # two numbers
+        return cls(v, far["h"] or 0, far["w"] or 0)
+
+    def shifts(self, ref_round: int, channel: int | None = None, scale: int = 1) -> DataFrame:
+        """fov, round, dz, dy, dx: the circular shift that brings each round's volume onto the reference round's, by Fourier transforms of one
+        channel, or of the channels' largest values; at 1 / scale of the size, the shift is scaled up again. A field and round is a group."""
+        v = self.images if channel is None else self.images.where(F.col("channel") == channel)
+        block = lambda c: F.floor(F.col(c) / scale).cast("long").alias(c)
+        v = v.groupBy("fov", "round", "z", block("y"), block("x")).agg((F.max("v") if channel is None else F.avg("v")).cast("double").alias("v"))
+        ref = v.where(F.col("round") == ref_round).drop("round")
+        shape = (-(-self.height // scale), -(-self.width // scale))
+
+        def run(p: pd.DataFrame) -> pd.DataFrame:
+            moving, fixed = p[~p.fixed], p[p.fixed]
+            if not len(moving) or not len(fixed):
+                return pd.DataFrame({"fov": [], "round": [], "dz": [], "dy": [], "dx": []})
+            depth = int(p.z.max()) + 1
+            d = kernels.register_volumes(kernels.volume(fixed, (depth, *shape)), kernels.volume(moving, (depth, *shape)))
+            return pd.DataFrame({"fov": [p.fov.iloc[0]], "round": [p["round"].iloc[0]], "dz": [d[0]], "dy": [d[1] * scale], "dx": [d[2] * scale]})
+
+        rounds = v.select("fov", "round").distinct()
+        both = v.withColumn("fixed", F.lit(False)).unionByName(ref.join(rounds, "fov").withColumn("fixed", F.lit(True)))
+        return both.groupBy("fov", "round").applyInPandas(run, "fov long, round long, dz long, dy long, dx long")
+
     def register(self, shifts: DataFrame) -> Dataset:
-        """Images moved by the shift of their field and round (fov, round, dy, dx)."""
+        """Images moved by the shift of their field and round (fov, round, dy, dx, and dz if it is there)."""
+        dz = F.col("dz") if "dz" in shifts.columns else F.lit(0)
         v = self.images.join(shifts, ["fov", "round"])
-        moved = v.select(*self.KEYS, (F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x"), "v")
-        return replace(self, images=moved.where(F.col("y").between(0, self.height - 1) & F.col("x").between(0, self.width - 1)))
+        depth = self.images.groupBy("fov").agg((F.max("z") + 1).alias("__nz"))
+        moved = v.join(depth, "fov").select("fov", "round", "channel", (F.col("z") + dz).alias("z"), (F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x"), "v", "__nz")
+        inside = F.col("y").between(0, self.height - 1) & F.col("x").between(0, self.width - 1) & (F.col("z") >= 0) & (F.col("z") < F.col("__nz"))
+        return replace(self, images=moved.where(inside).drop("__nz"))
 
     def find_spots(self, ref_round: int, threshold: float = 0.2, adaptive: bool = True) -> Dataset:
-        """Strict maxima of the reference round above a share of their channel's largest value, or of 255."""
+        """Regional maxima of the reference round's volumes above a share of their channel's largest value, or of 255; a plateau is one
+        spot at its centre."""
         ref = self.images.where(F.col("round") == ref_round)
-        top = ref.groupBy("fov", "channel").agg((F.max("v") * threshold).alias("t")) if adaptive else ref.select("fov", "channel").distinct().withColumn("t", F.lit(255 * threshold))
-        keys = ["fov", "channel", "z"]
-        m = im.local_maxima(ref.select(*keys, "y", "x", "v"), keys, "v", self.height, self.width).join(top, ["fov", "channel"]).where("v > t")
+        top = ref.groupBy("fov", "channel").agg((F.max("v") * threshold if adaptive else F.lit(255.0 * threshold)).cast("double").alias("t"))
+        m = im.regional_maxima(ref.select("fov", "channel", "z", "y", "x", "v").join(top, ["fov", "channel"]), ["fov", "channel"], "v", "t")
         spot = F.xxhash64("fov", "channel", "z", "y", "x").alias("spot_id")
-        return replace(self, spots=m.select(spot, *keys, "y", "x", "v"))
+        return replace(self, spots=m.select(spot, "fov", "channel", "z", "y", "x", "v"))
 
     def extract(self, dy: int = 1, dx: int = 1) -> Dataset:
         """The colour of every spot in every round, from the sums of the channels around it, and all of them as one string."""

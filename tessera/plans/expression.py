@@ -8,7 +8,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.operators import cells as cell_ops
 from tessera.operators import expression as ops
 from tessera.plans.registry import query
 from tessera.sources import fixtures as fx
@@ -89,11 +88,15 @@ def moments(spark: SparkSession, sf_dir: str):
 @query(f"""{SCALED}, c AS (SELECT DISTINCT seg_label FROM norm) SELECT c.seg_label, s.gene, round((coalesce(n.v, 0) - mean) / nullif(sd, 0), 4) + 0 AS z FROM c CROSS JOIN s LEFT JOIN norm n ON n.seg_label = c.seg_label AND n.gene = s.gene""")
 def scale_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every cell's value of every gene with mean 0 and deviation 1, those without a count too."""
+    return scaled(spark, sf_dir).select("seg_label", "gene", (F.round("z", 4) + 0).alias("z"))
+
+
+def scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, m = moments(spark, sf_dir)
     genes = m.agg(F.collect_list(F.struct("gene", "mean", "sd")).alias("genes"))  # the panel: one row
     dense = v.select("seg_label").distinct().crossJoin(F.broadcast(genes)).select("seg_label", F.explode("genes").alias("g")).select("seg_label", "g.*")
     z = F.try_divide(F.coalesce("v", F.lit(0.0)) - F.col("mean"), F.when(F.col("sd") != 0, F.col("sd")))
-    return dense.join(v, ["seg_label", "gene"], "left").select("seg_label", "gene", (F.round(z, 4) + 0).alias("z"))
+    return dense.join(v, ["seg_label", "gene"], "left").select("seg_label", "gene", z.alias("z"))
 
 
 TYPED = f"{E}, {fx.CELLS}, typed AS (SELECT cell_type, gene, n FROM expr JOIN cells USING (seg_label)), sizes AS (SELECT cell_type, count(*) AS m FROM cells WHERE seg_label IN (SELECT seg_label FROM expr) GROUP BY ALL)"
@@ -131,21 +134,13 @@ def cell_cycle_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("seg_label", F.round("s", 6).alias("s_score"), F.round("g", 6).alias("g2m_score"), phase.alias("phase"))
 
 
-@query("""WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS p FROM embeddings), q AS (SELECT * FROM e WHERE vec_id % 25 = 0),
+@query("""WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS p FROM embeddings), q AS (SELECT * FROM e WHERE vec_id % 100 = 0),
 d AS (SELECT q.vec_id AS q, e.vec_id AS b, round(sum((q.v - e.v) ** 2), 6) AS d FROM q JOIN e ON q.p = e.p AND q.vec_id <> e.vec_id GROUP BY ALL),
 k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d, b) AS k FROM d) SELECT q, b, d, k FROM k WHERE k <= 10""")
 def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten nearest of all vectors to each of a stated set of queries. Every vector keeps its distances to the queries in its own
-    partition, and only each partition's ten best for a query go on."""
+    """The ten nearest of all vectors to each of a stated set of queries, those whose id is divisible by 100."""
     e = fx.table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("v"))
-    qs = e.where("vec_id % 25 = 0").select(F.col("vec_id").alias("q"), F.col("v").alias("w"))
-    d = F.aggregate(F.zip_with("v", "w", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x)
-    # queries are a set of their own against all rows
-    pairs = e.join(qs, F.col("vec_id") != F.col("q")).select("q", F.col("vec_id").alias("b"), F.round(d, 6).alias("d"))
-    part = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(16)))
-    best = part.withColumn("k", F.row_number().over(Window.partitionBy("q", "part").orderBy("d", "b"))).where("k <= 10")
-    out = best.withColumn("k", F.row_number().over(Window.partitionBy("q").orderBy("d", "b"))).where("k <= 10")
-    return out.select("q", "b", "d", F.col("k").cast("long").alias("k"))
+    return ops.nearest_vectors(e, e.where("vec_id % 100 = 0"), "vec_id", "v", 10)
 
 
 @query(f"""{E}, {fx.CELLS}, b AS (SELECT seg_label, CASE WHEN x // 410 >= 4 THEN '40+' ELSE ((x // 410) + 1) * 10 || 'um' END AS band FROM cells), m AS (SELECT band, count(*) AS m FROM b GROUP BY band)
@@ -159,33 +154,67 @@ def band_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.join(m, "band").select("gene", "band", F.round(F.col("s") / F.col("m"), 6).alias("mean"))
 
 
-@query(f"""{E}, {fx.CELLS}, r AS (SELECT gene, x < 512 AS near, n FROM expr JOIN cells USING (seg_label)), k AS (SELECT gene, near, rank() OVER (PARTITION BY gene ORDER BY n) + (count(*) OVER (PARTITION BY gene, n) - 1) / 2 AS rk FROM r)
-SELECT gene, sum(rk) FILTER (WHERE near) - count(*) FILTER (WHERE near) * (count(*) FILTER (WHERE near) + 1) / 2 AS u, count(*) FILTER (WHERE near) AS n1, count(*) FILTER (WHERE NOT near) AS n2 FROM k GROUP BY gene""")
+RANKED = f"""{E}, {fx.CELLS}, g AS (SELECT DISTINCT gene FROM expr), d AS (SELECT g.gene, c.x < 512 AS near, coalesce(e.n, 0) AS n FROM cells c CROSS JOIN g LEFT JOIN expr e ON e.seg_label = c.seg_label AND e.gene = g.gene),
+k AS (SELECT gene, near, rank() OVER (PARTITION BY gene ORDER BY n) + (count(*) OVER (PARTITION BY gene, n) - 1) / 2 AS rk FROM d), t AS (SELECT gene, sum(c * c * c - c) AS ties FROM (SELECT gene, n, count(*)::DOUBLE AS c FROM d GROUP BY ALL) GROUP BY gene),
+u AS (SELECT gene, sum(rk) FILTER (WHERE near) - count(*) FILTER (WHERE near) * (count(*) FILTER (WHERE near) + 1) / 2 AS u, (count(*) FILTER (WHERE near))::DOUBLE AS n1, (count(*) FILTER (WHERE NOT near))::DOUBLE AS n2 FROM k GROUP BY gene),
+z AS (SELECT gene, u, n1, n2, (u - n1 * n2 / 2 - 0.5) / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM u JOIN t USING (gene))"""
+
+
+@query(f"{RANKED} SELECT gene, u, n1::BIGINT AS n1, n2::BIGINT AS n2, round(z, 6) AS z, round({ops.upper_tail_sql('z')}, 6) AS p FROM z")
 def rank_sum_u(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rank sum statistic of a band against the rest for each gene."""
+    """The rank sum statistic of a band's cells against the rest for each gene, over all cells, those without the gene too, and the
+    probability of a larger one (normal approximation with ties)."""
     c = fx.cells(spark, sf_dir).select("seg_label", (F.col("x") < 512).alias("near"))
-    r = ops.average_ranks(table(spark, sf_dir).join(c, "seg_label").select("gene", "near", "n"), ["gene"], "n")
-    n1 = F.count_if("near")
-    return r.groupBy("gene").agg((F.sum(F.when(F.col("near"), F.col("rank"))) - n1 * (n1 + 1) / 2).alias("u"), n1.alias("n1"), F.count_if(~F.col("near")).alias("n2"))
+    sizes = c.agg(F.count_if("near").alias("n1"), F.count_if(~F.col("near")).alias("n2")).first()  # two numbers
+    r = table(spark, sf_dir).join(c, "seg_label").select("gene", "near", "n")
+    out = ops.rank_sum(r, "gene", "n", "near", F.lit(sizes["n1"]), F.lit(sizes["n2"]))
+    return out.select("gene", "u", "n1", "n2", F.round("z", 6).alias("z"), F.round(ops.upper_tail(F.col("z")), 6).alias("p"))
 
 
-def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = fx.reads(spark, sf_dir).where("seg_label > 0").select("seg_label", "gene")
-    names = [f"Brand#{k}" for k in range(1, 26)]
-    m = cell_ops.count_matrix(r, "seg_label", "gene", names)
-    m = m.select("seg_label", *[F.col(f"`{c}`").cast("double").alias(f"g{k}") for k, c in enumerate(names)])
-    return VectorAssembler(inputCols=m.columns[1:], outputCol="features").transform(m).select("seg_label", "features")
+BANDS = f"""{E}, {fx.CELLS}, b AS (SELECT seg_label, least(x // 410, 4) AS band FROM cells), m AS (SELECT band, count(*) AS m FROM b GROUP BY band), g AS (SELECT DISTINCT gene FROM expr),
+e AS (SELECT gene, band, sum(n) AS s FROM expr JOIN b USING (seg_label) GROUP BY ALL), d AS (SELECT g.gene, m.band, coalesce(e.s, 0) / m.m AS mean FROM g CROSS JOIN m LEFT JOIN e ON e.gene = g.gene AND e.band = m.band)"""
 
 
-@query()
-def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first five principal components of the cells."""
-    v = vectors(spark, sf_dir)
-    return PCA(k=5, inputCol="features", outputCol="pc").fit(v).transform(v).select("seg_label", vector_to_array("pc").alias("pc"))
+def band_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gene, band, z: each gene's mean counts by band, of all the band's cells, with mean 0 and deviation 1 over the bands."""
+    b = fx.cells(spark, sf_dir).select("seg_label", F.least(F.expr("x div 410"), F.lit(4).cast("long")).alias("band"))
+    m = b.groupBy("band").agg(F.count("*").alias("m"))  # five bands
+    e = table(spark, sf_dir).join(b, "seg_label").groupBy("gene", "band").agg(F.sum("n").alias("s"))
+    mean = F.coalesce("s", F.lit(0)) / F.col("m")
+    d = e.select("gene").distinct().crossJoin(F.broadcast(m)).join(e, ["gene", "band"], "left").select("gene", "band", mean.alias("mean"))
+    w = Window.partitionBy("gene")
+    sd = F.stddev_samp("mean").over(w)
+    return d.select("gene", "band", F.try_divide(F.col("mean") - F.avg("mean").over(w), F.when(sd > 0, sd)).alias("z"))
+
+
+@query(f"{BANDS} SELECT gene, band, round((mean - avg(mean) OVER w) / nullif(stddev_samp(mean) OVER w, 0), 6) + 0 AS z FROM d WINDOW w AS (PARTITION BY gene)")
+def band_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of each gene in each band of distance."""
+    return band_scores(spark, sf_dir).select("gene", "band", (F.round("z", 6) + 0).alias("z"))
 
 
 @query()
 def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells in six clusters."""
-    v = vectors(spark, sf_dir)
-    return KMeans(k=6, seed=1, maxIter=10, featuresCol="features", predictionCol="cluster").fit(v).transform(v).select("seg_label", "cluster")
+    """Genes clustered by their scores over the bands: cluster, and the band, of the first four, in which the cluster's scores sum
+    highest (the nearer where there are ties)."""
+    wide = band_scores(spark, sf_dir).groupBy("gene").pivot("band", list(range(5))).agg(F.first("z")).na.fill(0.0)
+    v = VectorAssembler(inputCols=[str(k) for k in range(5)], outputCol="features").transform(wide)
+    best = None
+    for seed in range(5):  # of several starts the one of least cost
+        model = KMeans(k=6, seed=seed, maxIter=20, featuresCol="features", predictionCol="cluster").fit(v)
+        best = model if best is None or model.summary.trainingCost < best.summary.trainingCost else best
+    genes = best.transform(v).withColumn("cluster", F.col("cluster").cast("long"))
+    top = genes.groupBy("cluster").agg(*[F.sum(str(k)).alias(f"s{k}") for k in range(4)])
+    band = F.array_max(F.array(*[F.struct(F.col(f"s{k}").alias("s"), F.lit(-k).alias("k")) for k in range(4)]))["k"]
+    return genes.join(top, "cluster").select("gene", "cluster", (-band).cast("long").alias("band"))
+
+
+@query()
+def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten principal components of the cells with counts, from logarithms of normalised counts scaled by gene."""
+    panel = [r[0] for r in fx.codebook(spark, sf_dir).select("gene").orderBy("gene").collect()]  # a codebook's genes
+    z = scaled(spark, sf_dir).withColumn("z", F.coalesce("z", F.lit(0.0)))
+    wide = z.groupBy("seg_label").pivot("gene", panel).agg(F.first("z")).na.fill(0.0)
+    wide = wide.select("seg_label", *[F.col(f"`{g}`").alias(f"g{k}") for k, g in enumerate(panel)])
+    v = VectorAssembler(inputCols=wide.columns[1:], outputCol="features").transform(wide).select("seg_label", "features")
+    return PCA(k=min(10, len(panel)), inputCol="features", outputCol="pc").fit(v).transform(v).select("seg_label", vector_to_array("pc").alias("pc"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import images as im
+from tessera.operators import kernels as k
 from tessera.plans.registry import query
 from tessera.sources import fixtures as fx
 
@@ -113,19 +114,23 @@ def apply_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return im.shift(vox(spark, sf_dir).select("img", "y", "x", "v"), ["img"], "v", F.col("img") % 5 - 2, F.col("img") % 3 - 1, 8, 8)
 
 
-@query(f"""{V}, a AS (SELECT img, y, x, v FROM voxels WHERE img % 4 = 0 AND img < 400), b AS (SELECT img - 1 AS img, y, x, v FROM voxels WHERE img % 4 = 1 AND img < 401),
+@query(f"""{V}, a AS (SELECT img, y, x, v FROM voxels WHERE img % 4 = 0), b AS (SELECT img - 1 AS img, y, x, v FROM voxels WHERE img % 4 = 1),
 c AS (SELECT a.img, (a.y - b.y + 8) % 8 AS dy, (a.x - b.x + 8) % 8 AS dx, abs(sum(a.v * b.v))::BIGINT AS s FROM a JOIN b USING (img) GROUP BY ALL),
 r AS (SELECT img, dy, dx, s, row_number() OVER (PARTITION BY img ORDER BY s DESC, dx, dy) AS k FROM c)
 SELECT img, CASE WHEN dy < 4 THEN dy ELSE dy - 8 END AS dy, CASE WHEN dx < 4 THEN dx ELSE dx - 8 END AS dx, s FROM r WHERE k = 1""")
 def xcorr_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The circular shift that brings the second channel of a field onto the first, by the largest cross-correlation."""
-    v = vox(spark, sf_dir)
-    a = v.where("img % 4 = 0 and img < 400").select("img", "y", "x", "v")
-    b = v.where("img % 4 = 1 and img < 401").select((F.col("img") - 1).alias("img"), F.col("y").alias("by"), F.col("x").alias("bx"), F.col("v").alias("bv"))
-    c = a.join(b, "img").groupBy("img", ((F.col("y") - F.col("by") + 8) % 8).alias("dy"), ((F.col("x") - F.col("bx") + 8) % 8).alias("dx")).agg(F.abs(F.sum(F.col("v") * F.col("bv"))).alias("s"))
-    best = c.groupBy("img").agg(F.min(F.struct((-F.col("s")).alias("s"), "dx", "dy")).alias("b"))
-    wrap = lambda d: F.when(d < 4, d).otherwise(d - 8)
-    return best.select("img", wrap(F.col("b.dy")).alias("dy"), wrap(F.col("b.dx")).alias("dx"), (-F.col("b.s")).alias("s"))
+    """The circular shift that brings the second channel of a field onto the first, with the largest cross-correlation; by Fourier
+    transforms, a field at a time."""
+    v = vox(spark, sf_dir).where("img % 4 < 2").select((F.col("img") - F.col("img") % 4).alias("img"), (F.col("img") % 4).alias("channel"), "y", "x", "v")
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        a, b = (k.grid(p[p.channel == c], shape=(8, 8)) for c in (0, 1))
+        if not (p.channel == 1).any() or not (p.channel == 0).any():
+            return pd.DataFrame({"img": [], "dy": [], "dx": [], "s": []})
+        dy, dx, _ = k.register(a, b)
+        return pd.DataFrame({"img": [int(p.img.iloc[0])], "dy": [dy], "dx": [dx], "s": [int(round(float((a * np.roll(b, (dy, dx), (0, 1))).sum())))]})
+
+    return v.groupBy("img").applyInPandas(run, "img long, dy long, dx long, s long")
 
 
 @query(f"{V} SELECT a.img, a.y, a.x, a.v FROM voxels a WHERE a.v > 200 AND NOT EXISTS (SELECT 1 FROM voxels b WHERE b.img = a.img AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND (a.y <> b.y OR a.x <> b.x) AND b.v >= a.v)")
@@ -148,9 +153,7 @@ lab AS (SELECT img, y, x, min(label) AS label FROM r GROUP BY ALL)"""
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or os.path.join("/tmp", "checkpoints"))
-    return im.components(mask(spark, sf_dir), ["img"], 8, 8)
+    return im.components(mask(spark, sf_dir), ["img"], 8)
 
 
 @query(f"{COMPONENTS} SELECT img, y, x, label FROM lab")
@@ -220,10 +223,12 @@ def mask_set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
-@query(f"{V} SELECT img, 7 - x AS y, y AS x, v FROM voxels WHERE img % 2 = 0")
+@query(f"""{V} SELECT img, CASE img % 4 WHEN 0 THEN y WHEN 1 THEN 7 - x WHEN 2 THEN 7 - y ELSE x END AS y, CASE img % 4 WHEN 0 THEN x WHEN 1 THEN y WHEN 2 THEN 7 - x ELSE 7 - y END AS x, v FROM voxels""")
 def rotate90(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Images turned by a quarter."""
-    return vox(spark, sf_dir).where("img % 2 = 0").select("img", (7 - F.col("x")).alias("y"), F.col("y").alias("x"), "v")
+    """Images turned by no, one, two or three quarters, in turn."""
+    v = vox(spark, sf_dir)
+    y, x = im.turned(F.col("img") % 4, 8, 8)
+    return v.select("img", y.alias("y"), x.alias("x"), "v")
 
 
 @query(f"{V} SELECT img, 7 - y AS y, CASE WHEN img % 3 = 0 THEN 7 - x ELSE x END AS x, v FROM voxels")

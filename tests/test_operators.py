@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import cells, expression, joins, kernels, stitch
 from tessera.operators import images as im
-from tessera.operators import joins, kernels, stitch
 
 
 def test_subtiles(spark):
@@ -75,13 +75,99 @@ def test_kernels():
     w = kernels.watershed(np.abs(np.arange(9) - 4.0) * -1 + a, markers, np.ones((5, 9), bool))
     assert set(np.unique(w)) == {0, 1, 2} and (w == 1).any(0)[0] and (w == 2).any(0)[8]
     assert kernels.hull(np.array([0, 2, 2, 0, 1]), np.array([0, 0, 2, 2, 1])) == [(0, 0), (2, 0), (2, 2), (0, 2)]
-    assert kernels.march_to_border(m, 0, 3, 3, 3) == 1.0
     assert (kernels.reconstruct(np.array([[0.0, 3, 0]]), np.array([[5.0, 5, 1]])) == [[3, 3, 1]]).all()
     assert np.abs(kernels.demons(np.eye(8), np.eye(8))).max() == 0
 
 
+def test_regional_maxima_and_labels():
+    """Against a flood from every voxel, plateaus at edges and beside higher voxels included."""
+    rng = np.random.default_rng(3)
+    steps = [s for s in np.ndindex(3, 3, 3) if s != (1, 1, 1)]
+    for _ in range(40):
+        a = rng.integers(0, 4, rng.integers(1, 5, 3))
+        at = np.argwhere(np.ones_like(a))
+        inside = lambda p: all(0 <= c < n for c, n in zip(p, a.shape))
+        want, done = [], set()
+        for p in map(tuple, at):
+            if p in done:
+                continue
+            todo, region, higher = [p], {p}, False
+            while todo:
+                q = todo.pop()
+                for s in steps:
+                    r = tuple(int(c) + d - 1 for c, d in zip(q, s))
+                    if inside(r):
+                        higher |= a[r] > a[q]
+                        if a[r] == a[q] and r not in region:
+                            region.add(r)
+                            todo.append(r)
+            done |= region
+            if not higher and a[p] > 1:
+                want.append((*np.floor(np.mean(sorted(region), 0) + 0.5).astype(int).tolist(), len(region)))
+        order = rng.permutation(len(at))
+        got = kernels.regional_maxima(at[order], a.ravel()[order], np.full(len(at), 1.0))
+        assert sorted(g[:4] for g in got) == sorted(want)
+    far = np.array([[0, 0], [0, 1], [5, 5], [1, 2], [9, 0]])
+    lab = kernels.labels(far)
+    assert lab[0] == lab[1] == lab[3] and len({lab[0], lab[2], lab[4]}) == 3
+
+
+def test_volumes_are_registered():
+    a = np.random.default_rng(1).random((4, 6, 5))
+    for s in ((1, -2, 2), (0, 0, 0), (-1, 2, -1)):
+        assert kernels.register_volumes(np.roll(a, s, (0, 1, 2)), a) == s
+
+
+def test_density_peaks_and_neighbours(spark):
+    rng = random.Random(8)
+    pts = [(1, k, rng.randrange(300), rng.randrange(300)) for k in range(200)]
+    d = spark.createDataFrame(pts, "w long, id long, x long, y long")
+    near = {i: sum((x - a) ** 2 + (y - b) ** 2 <= 900 for _, _, a, b in pts) - 1 for _, i, x, y in pts}
+    assert {r.id: r.near for r in joins.neighbours(d, ["w"], "id", ("x", "y"), 30).collect()} == near
+    up = {}
+    for _, i, x, y in pts:
+        denser = [((x - a) ** 2 + (y - b) ** 2, j) for _, j, a, b in pts if (near[j] > near[i] or near[j] == near[i] and j < i) and (x - a) ** 2 + (y - b) ** 2 <= 900]
+        up[i] = min(denser)[1] if denser else i
+
+    def peak(i):
+        return i if up[i] == i else peak(up[i])
+
+    assert {r.id: r.cell for r in cells.density_peaks(d, ["w"], "id", ("x", "y"), 30).collect()} == {i: peak(i) for i in up}
+
+
+def test_nearest_vectors(spark):
+    rng = np.random.default_rng(2)
+    v = rng.integers(0, 3, (300, 4)).astype(float)
+    d = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "id long, v array<double>").repartition(3)
+    got = {(r.q, r.k): (r.d, r.b) for r in expression.nearest_vectors(d, d.where("id % 100 = 0"), "id", "v", 5, at_once=2).collect()}
+    for q in (0, 100, 200):
+        want = sorted((float(((v[q] - v[b]) ** 2).sum()), b) for b in range(300) if b != q)[:5]
+        assert [got[q, k + 1] for k in range(5)] == want
+
+
+def test_numbered_and_overlapping_intervals(spark):
+    d = spark.createDataFrame([(k * 7 % 50,) for k in range(50)], "v long")
+    assert {r.v: r.i for r in joins.numbered(d, ["v"], "i").collect()} == {k: k for k in range(50)}
+    r = spark.createDataFrame([("a", 1, 1, 5), ("b", 2, 4, 8), ("c", 3, 9, 2), ("d", 4, None, 3)], "s string, k long, lo long, hi long")
+    p = spark.createDataFrame([(k,) for k in range(10)], "p long")
+    of = lambda how: {x.p: x.s for x in joins.interval_join(p, r, "p", "lo", "hi", "left", how, "k").collect()}
+    assert of("first") == {**dict.fromkeys((0, 9)), **dict.fromkeys(range(1, 6), "a"), **dict.fromkeys((6, 7, 8), "b")}
+    assert of("last") == {**dict.fromkeys((0, 9)), **dict.fromkeys(range(1, 4), "a"), **dict.fromkeys(range(4, 9), "b")}
+    assert joins.interval_join(p, r, "p", "lo", "hi").count() == 10
+
+
+def test_rank_sum_equals_dense_ranks(spark):
+    rng = random.Random(6)
+    values = [(g, i, i < 12, max(rng.randrange(-3, 4), 0)) for g in "ab" for i in range(40)]
+    rows = spark.createDataFrame([v for v in values if v[3]], "g string, i long, near boolean, n long")
+    for r in expression.rank_sum(rows, "g", "n", "near", F.lit(12), F.lit(28)).collect():
+        v = [(n, near) for g, _, near, n in values if g == r.g]
+        u = sum((a > b) + (a == b) / 2 for a, x in v if x for b, y in v if not y)
+        assert r.u == u and (r.n1, r.n2) == (12, 28)
+
+
 def test_empty_tables_keep_their_schema(spark):
     e = spark.createDataFrame([], "img long, y long, x long, v long")
     assert im.local_maxima(e, ["img"], "v", 8, 8).columns == ["img", "y", "x", "v"]
-    assert im.components(e, ["img"], 8, 8).count() == 0
+    assert im.components(e, ["img"], 8).count() == 0
     assert im.otsu(e, ["img"], "v").count() == 0

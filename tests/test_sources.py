@@ -76,6 +76,8 @@ def test_dataset(spark):
     v = spark.createDataFrame(rows, "fov long, round long, channel long, z long, y long, x long, v long")
     shifts = spark.createDataFrame([(1, r, -r, 0) for r in range(3)], "fov long, round long, dy long, dx long")
     book = spark.createDataFrame([("G", "AAGT"), ("H", "CCCC")], "gene string, barcode string")
+    found = Dataset(v, 8, 8).shifts(0)
+    assert {(r.fov, r.round): (r.dz, r.dy, r.dx) for r in found.collect()} == {(1, r): (0, -r, 0) for r in range(3)}
     d = Dataset(v, 8, 8).register(shifts).find_spots(0, 0.5).extract().load_codebook(book.unionByName(spark.createDataFrame([("T", "TACA")], "gene string, barcode string")), reverse=False)
     found = {(r.y, r.x): r.color_seq for r in d.calls.collect()}
     assert found[3, 4] == colors
