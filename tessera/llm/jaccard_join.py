@@ -241,8 +241,9 @@ class PrefixTree:
         node[5] = name
 
 
-def link_sets(sets: list[np.ndarray], percent: int) -> list[int]:
-    """For each set (distinct hashes), the first set it is linked to directly or through others."""
+def link_sets(sets: list[np.ndarray], percent: int, silent: int = 0) -> list[int]:
+    """For each set (distinct hashes), the first set it is linked to directly or through others. The first `silent` sets aren't compared
+    with each other."""
     if not sets:
         return []
     values, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -253,11 +254,25 @@ def link_sets(sets: list[np.ndarray], percent: int) -> list[int]:
     tree.parent = list(range(len(sets)))
     for k, (a, b) in enumerate(pairwise(at)):
         s = tuple(np.sort(coded[a:b]).tolist())
-        tree.probe(s, k)
+        if k >= silent:
+            tree.probe(s, k)
         tree.insert(s, k)
     return [tree.find(k) for k in range(len(sets))]
 
 
+def star_links(key: np.ndarray, at: np.ndarray, pivots: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """(set, pivot) for all sets that are similar to one of the few pivots among them."""
+    out, sizes = [], np.diff(at)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    for p in pivots.tolist():
+        own = key[at[p] : at[p + 1]]  # in ascending order
+        place = np.minimum(np.searchsorted(own, key), max(len(own) - 1, 0))
+        both = np.bincount(owner[own[place] == key], minlength=len(sizes)) if len(own) else np.zeros(len(sizes), np.int64)
+        linked = (both > 0) & ((100 + percent) * both >= percent * (sizes + len(own)))
+        out += [(k, p) for k in np.flatnonzero(linked).tolist() if k != p]
+    return out
+
+
 #: Bits by which frequent n-grams are told, and how many of them at most: both bound what is broadcast.
 FREQUENT_BITS, MOST_FREQUENT = 24, 1 << 20
 
@@ -300,13 +315,16 @@ def cluster(
     percent: int = 90,
     text: str = "text",
     most_shingles: int = 1 << 31,
-    block_shingles: int = 1_000_000,
+    block_shingles: int = 50_000,
+    pivots: int = 8,
     leave_out_frequent: bool | None = None,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of every document: the smallest doc_id reachable by links, itself included.
 
     Documents link when 100 * intersection >= percent * union of their sets of `words`-word n-grams (A-Z lower-cased).
-    Blocks of more than block_shingles elements are split; every pair of the parts is joined in a task of its own.
+    Blocks of more than block_shingles elements are split. First all sets of such a block are compared with a few `pivots` of it, which
+    takes tasks in proportion to its size. What that joins to the largest component is most of a group of near copies and needs
+    no comparison within itself; the sets outside are compared with all of the block, each pair of parts in a task of its own.
     leave_out_frequent: cut runs from the less frequent n-grams only, which takes a pass more; by default below 90 percent, where runs
     are so short that documents with a passage in common would share some.
 
@@ -364,37 +382,65 @@ def cluster(
 
     weight = picked.groupBy("block").agg(F.sum("n").alias("w")).where(F.col("w") > block_shingles)
     large = stage(weight.select("block", F.ceil(F.col("w") / (block_shingles / 2)).cast("int").alias("parts")), "jaccard-large")
-    split = not large.isEmpty()
-    dealt = picked.withColumn("cell", F.lit(0))
-    if split:
-        # a part meets each of the parts, so a set is sent to as many tasks as its block has parts
-        dealt = (
-            picked.join(large, "block", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-            .withColumn("mine", F.pmod(F.xxhash64("f2", "f1"), F.col("parts")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .where("parts = 1 or mine <> other")
-            .withColumn("cell", F.greatest("mine", "other") * F.col("parts") + F.least("mine", "other"))
-        )
-    # a sort-merge join at every size: the picked sets are a share of all documents, so they outgrow any broadcast
-    rows = dealt.select("block", "cell", "f1", "f2", "rep").hint("merge").join(
-        source.withColumnRenamed("doc_id", "rep").select("rep", "text"), "rep"
-    )
 
-    def join(t: pa.Table) -> pa.Table:
+    def sets_of(t: pa.Table, flag: str):
+        """(n-grams, bounds, rep, flag) of the distinct sets in t, flagged ones last, else in order of size."""
         key, at = shingles(*tx.buffers(t.column("text")), words)
         f1, f2 = prints(key, at)
-        rep = t.column("rep").to_numpy()
+        rep, marked = t.column("rep").to_numpy(), t.column(flag).to_numpy(zero_copy_only=False).astype(bool)
         right = (f1.view(np.int64) == t.column("f1").to_numpy()) & (f2.view(np.int64) == t.column("f2").to_numpy())
         use = np.flatnonzero(right)  # a repeated doc_id may bring another text
-        _, once = np.unique(np.stack([f1[use], f2[use]]), axis=1, return_index=True)
-        use = use[once]
-        use = use[np.lexsort((rep[use], np.diff(at)[use]))]
-        first = link_sets([key[at[k] : at[k + 1]] for k in use], percent)
-        a = rep[use]
-        return pa.table({"a": pa.array(a), "b": pa.array(a[np.array(first, np.int64)] if len(use) else a)})
+        use = use[np.lexsort((~marked[use], f2[use], f1[use]))]
+        use = use[np.r_[True, (f1[use][1:] != f1[use][:-1]) | (f2[use][1:] != f2[use][:-1])][: len(use)]]
+        use = use[np.lexsort((rep[use], np.diff(at)[use], marked[use]))]
+        return [key[at[k] : at[k + 1]] for k in use], rep[use], marked[use]
 
+    def with_texts(dealt: DataFrame) -> DataFrame:
+        # a sort-merge join at every size: the picked sets are a share of all documents, so they outgrow any broadcast
+        return dealt.hint("merge").join(source.withColumnRenamed("doc_id", "rep").select("rep", "text"), "rep")
+
+    def star(t: pa.Table) -> pa.Table:
+        sets, rep, pivot = sets_of(t, "pivot")
+        bounds = np.cumsum([0, *map(len, sets)])
+        found = star_links(np.concatenate(sets), bounds, np.flatnonzero(pivot), percent) if sets else []
+        return pa.table({"a": pa.array([rep[k] for k, _ in found], pa.int64()), "b": pa.array([rep[p] for _, p in found], pa.int64())})
+
+    def join(t: pa.Table) -> pa.Table:
+        sets, rep, probing = sets_of(t, "probing")
+        first = link_sets(sets, percent, int((~probing).sum()))
+        return pa.table({"a": pa.array(rep), "b": pa.array(rep[np.array(first, np.int64)] if len(sets) else rep)})
+
+    columns = ["block", "cell", "f1", "f2", "rep"]
+    dealt = picked.join(large, "block", "left_anti").withColumn("cell", F.lit(0)).select(*columns, F.lit(True).alias("probing"))
+    near = None
+    if not large.isEmpty():
+        h = F.xxhash64("f2", "f1")
+        crowd = stage(picked.join(large, "block"), "jaccard-crowd")
+        # the set of the smallest document and others by hash, found by minima in each task
+        order = F.struct(F.pmod(h, F.lit(pivots - 1)).alias("slot"), h.alias("h"))
+        chosen = crowd.groupBy("block", order["slot"].alias("slot")).agg(F.min(F.struct(h.alias("h"), "f1", "f2", "rep", "parts")).alias("p"))
+        chosen = chosen.unionByName(crowd.groupBy("block").agg(F.min(F.struct("rep", "f1", "f2", "parts")).alias("p")).select("block", F.lit(-1).cast("long").alias("slot"), F.struct(F.lit(0).cast("long").alias("h"), "p.f1", "p.f2", "p.rep", "p.parts").alias("p")))
+        chosen = chosen.select("block", "p.f1", "p.f2", "p.rep", "p.parts").distinct()
+        to_all = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell")
+        one = F.pmod(h, F.col("parts")).cast("int").alias("cell")
+        stars = chosen.select("block", to_all, "f1", "f2", "rep", F.lit(True).alias("pivot")).unionByName(crowd.select("block", one, "f1", "f2", "rep", F.lit(False).alias("pivot")))
+        near = stage(with_texts(stars).groupBy("block", "cell").applyInArrow(star, "a long, b long").distinct(), "jaccard-stars")
+        joined = stage(components(near), "jaccard-joined")
+        crowd = crowd.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
+        crowd = stage(crowd, "jaccard-crowd")
+        hubs = crowd.groupBy("block", "c").agg(F.count("*").alias("k")).groupBy("block").agg(F.max(F.struct("k", "c"))["c"].alias("hub"))
+        rest = crowd.join(hubs, "block").where("c <> hub")
+        parts = rest.groupBy("block").agg(F.ceil(F.sum("n") / (block_shingles / 2)).cast("int").alias("own"))
+        rest = rest.join(parts, "block")
+        every = crowd.join(parts, "block")
+        mine, other = F.pmod(h, F.col("own")).cast("int"), F.pmod(F.xxhash64("f1", "f2"), F.col("parts")).cast("int")
+        cell = lambda i, j: (i * F.col("parts") + j).alias("cell")
+        rest = rest.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("block", cell(mine, F.col("j")), "f1", "f2", "rep", F.lit(True).alias("probing"))
+        every = every.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("own") - 1))).select("block", cell(F.col("i"), other), "f1", "f2", "rep", F.lit(False).alias("probing"))
+        dealt = dealt.unionByName(rest).unionByName(every)
+    rows = with_texts(dealt)
     edges = stage(rows.groupBy("block", "cell").applyInArrow(join, "a long, b long"), "jaccard-links")
-    found = components(edges)
+    found = components(edges if near is None else edges.unionByName(near))
     named = sets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component_id"))
     named = stage(named, "jaccard-named")
     out = marks.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left")

@@ -103,6 +103,26 @@ def test_cluster(spark, percent, words, limit):
     assert {r.doc_id for r in kept.collect()} == {w[2] for w in want} | {None} and kept.columns == d.columns
 
 
+def test_large_blocks_are_split(spark):
+    """A large group around one text, with copies that are linked through others only, and other groups that share its passage."""
+    rng = random.Random(11)
+    base = helpers.text(rng, 120).split(" ")
+    docs = []
+    for k in range(150):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 6, 12])):
+            w[rng.randrange(len(w))] = "new%d" % rng.randrange(99)
+        docs.append((1000 + k, " ".join(w[: rng.choice([120, 120, 60])]), "en", "s", 0))
+    d = spark.createDataFrame(docs, helpers.SCHEMA).repartition(4)
+    rows = sorted((r.doc_id, shingle_set(r.text, 3)) for r in d.collect())
+    for percent in (90, 80):
+        links = [(i, j) for i, (_, a) in enumerate(rows) for j, (_, b) in enumerate(rows[:i]) if 100 * len(a & b) >= percent * len(a | b)]
+        want = {rows[i][0]: rows[c][0] for i, c in enumerate(classes_of(len(rows), links))}
+        for limit in (400, 2000, 10**6):
+            got = jaccard_join.cluster(d, words=3, percent=percent, block_shingles=limit)
+            assert {r.doc_id: r.component_id for r in got.collect()} == want
+
+
 def test_cluster_of_nothing(spark):
     assert jaccard_join.cluster(helpers.empty(spark)).count() == 0
 
