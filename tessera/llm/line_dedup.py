@@ -1,8 +1,9 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-A line goes if an earlier line of the corpus (smaller doc_id, then smaller line number) is equal to it or within `edits`
-character edits of it; lines are judged on the input, not on what is left. Equal lines are grouped by 128-bit hash.
-For the others, a line cut into edits + 1 segments keeps one segment unharmed by so many edits: every distinct line puts
+A line goes if an earlier line of the corpus (smaller doc_id, then smaller line number) is equal to it or within its budget of
+character edits: one for every `per_edit` characters of the shorter line, `edits` at most. Lines are judged on the input, not on what
+is left. Equal lines are grouped by 128-bit hash.
+For the others, a line cut into budget + 1 segments keeps one segment unharmed by so many edits: every distinct line puts
 its segments into an index under its length, and probes the index of each length it can be near to with the substrings
 that the segment can have moved to. Candidates are verified by a banded edit distance, bit-parallel over the band.
 """
@@ -29,16 +30,20 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     ]
 
 
-def keyed(lines: DataFrame, edits: int) -> DataFrame:
-    """(id, key, probing) for each line's segments and probes; key is null where a substring would lie outside its line."""
-    parts = edits + 1
-    cuts = [(0, k, 0, False) for k in range(parts)] + [(*p, True) for p in probes(edits)]
-    names = ("gap", "k", "shift", "probing")
-    each = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, c)]) for c in cuts]))
-    rows = lines.select("id", "line", F.char_length("line").alias("length"), each.alias("c")).select("id", "line", "length", "c.*")
-    rows = rows.withColumn("shorter", F.col("length") - F.col("gap"))
-    rows = rows.withColumn("short", F.expr(f"shorter div {parts}").cast("int")).withColumn("longer", F.expr(f"shorter % {parts} - {parts} + k"))
-    # the last shorter % parts segments are one character longer
+def keyed(lines: DataFrame, edits: int, per_edit: int) -> DataFrame:
+    """(id, key, probing) for each line's segments and probes of each budget that it can have with another; key is null where a
+    substring would lie outside its line, or where the shorter line's length is of another budget."""
+    names = ("budget", "least", "most", "gap", "k", "shift", "probing")
+    length, none = F.char_length("line"), F.array().cast("array<struct<budget:int,least:int,most:int,gap:int,k:int,shift:int,probing:boolean>>")
+    parts = []
+    for e in range(1, edits + 1):
+        least, most = e * per_edit, (e + 1) * per_edit - 1 if e < edits else (1 << 31) - 1 - edits
+        cuts = [(e, least, most, 0, k, 0, False) for k in range(e + 1)] + [(e, least, most, *p, True) for p in probes(e)]
+        parts.append(F.when(length.between(least, most + e), F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, c)]) for c in cuts])).otherwise(none))
+    rows = lines.select("id", "line", length.alias("length"), F.explode(F.concat(*parts)).alias("c")).select("id", "line", "length", "c.*")
+    rows = rows.withColumn("shorter", F.col("length") - F.col("gap")).where("shorter between least and most")
+    rows = rows.withColumn("short", F.expr("shorter div (budget + 1)").cast("int")).withColumn("longer", F.expr("shorter % (budget + 1) - (budget + 1) + k"))
+    # the last shorter % (budget + 1) segments are one character longer
     rows = rows.withColumn("start", F.expr("short * k + greatest(longer, 0) + 1 + shift")).withColumn("n", F.expr("short + if(longer >= 0, 1, 0)"))
     key = F.when((F.col("start") >= 1) & (F.col("start") + F.col("n") - 1 <= F.col("length")), F.xxhash64("shorter", "k", F.substring("line", F.col("start"), F.col("n"))))
     return rows.select("id", key.alias("key"), "probing")
@@ -64,8 +69,8 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def within(a: Column, b: Column, edits: int) -> Column:
-    """Whether a and b are within `edits` edits: Wu and Manber's automaton along b, one word for each number of errors, whose
+def within(a: Column, b: Column, edits: int, budget: Column | None = None) -> Column:
+    """Whether a and b are within `edits` edits, or within a budget of no more: Wu and Manber's automaton along b, one word for each number of errors, whose
     bits are the 2 * edits + 1 diagonals of the band. A fold over b's characters; a's are looked up by position."""
     wide = 2 * edits + 1
     # before any character of b, d errors reach the diagonals of up to d deletions
@@ -93,7 +98,10 @@ def within(a: Column, b: Column, edits: int) -> Column:
     end = _let(F.split(a, ""), lambda x: F.aggregate(F.split(b, ""), start, lambda s, ch: _let(mask(x, s["j"], ch), lambda m: words(s, m))))
     gap = F.char_length(a) - F.char_length(b)
     bit = F.get(F.array(*[F.lit(1 << k) for k in range(wide)]), gap + edits)  # null beyond the band
-    return F.coalesce(end[f"r{edits}"].bitwiseAND(bit) > 0, F.lit(False))
+    word = end[f"r{edits}"]
+    if budget is not None:
+        word = _let(end, lambda w: F.get(F.array(*[w[f"r{d}"] for d in range(edits + 1)]), budget))
+    return F.coalesce(word.bitwiseAND(bit) > 0, F.lit(False))
 
 
 def lines_of(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
@@ -102,25 +110,25 @@ def lines_of(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
     return lines.where((F.char_length("line") >= min_chars) & F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
 
 
-def removed_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: str = "text", exact_chars: int | None = None) -> DataFrame:
+def removed_lines(docs: DataFrame, edits: int = 2, per_edit: int = 10, text: str = "text", exact_chars: int = 1) -> DataFrame:
     """doc_id, no, exact: the lines to remove, as numbers from 0 in their documents. Exact copies are found among lines of exact_chars
-    characters or more (min_chars if not given), near copies among those of min_chars or more."""
+    characters or more."""
     prepare(docs.sparkSession)
-    least = min_chars if exact_chars is None else min(exact_chars, min_chars)
-    marks = lines_of(docs, text, least).select(
-        "doc_id", "no", (F.char_length("line") >= min_chars).alias("long"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", F.char_length("line")).alias("h2")
+    marks = lines_of(docs, text, min(exact_chars, per_edit)).select(
+        "doc_id", "no", (F.char_length("line") >= per_edit).alias("long"), (F.char_length("line") >= exact_chars).alias("whole"),
+        F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", F.char_length("line")).alias("h2"),
     )
     marks = stage(marks, "line-marks")
     distinct = stage(marks.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "no")).alias("first"), F.count("*").alias("n"), F.first("long").alias("long")), "line-distinct")
     copies = (
-        marks.join(distinct.where("n > 1").select("h1", "h2", "first"), ["h1", "h2"])
+        marks.where("whole").join(distinct.where("n > 1").select("h1", "h2", "first"), ["h1", "h2"])
         .where(F.struct("doc_id", "no") > F.col("first"))
         .select("doc_id", "no", F.lit(True).alias("exact"))
     )
 
     # the distinct lines that meet under a key, as index or as probe
     firsts = distinct.where("long").groupBy("first.doc_id").agg(F.collect_list("first.no").alias("nos"))
-    keys = keyed(_chosen_lines(docs, stage(firsts, "line-firsts"), text), edits)
+    keys = keyed(_chosen_lines(docs, stage(firsts, "line-firsts"), text), edits, per_edit)
     met = (
         keys.where("key is not null")
         .withColumn("low", F.expr("min(id) over (partition by key)")).withColumn("high", F.expr("max(id) over (partition by key)"))
@@ -139,12 +147,12 @@ def removed_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: st
     least = stage(met.groupBy("key", (~F.col("probing")).alias("probing")).agg(other, F.count("*").alias("n")).select("key", "probing", "n", "o.*"), "line-least")
     near_to = (F.col("other") < F.col("id")) & near_counts(F.col("c"), F.col("d"), edits)
     tries = stage(met.join(least, ["key", "probing"]).where(near_to).select("id", "other").distinct(), "line-tries")
-    near = stage(_verified(tries, lines, edits).select("id").distinct(), "line-near")
+    near = stage(_verified(tries, lines, edits, per_edit).select("id").distinct(), "line-near")
     rest = met.join(least.where("n > 1").select("key", "probing"), ["key", "probing"], "left_semi").join(near, "id", "left_anti")
     others = met.select(F.col("key").alias("key2"), F.col("probing").alias("probing2"), F.col("id").alias("other"), F.col("c").alias("d"))
     rest = rest.join(others, (F.col("key") == F.col("key2")) & (F.col("probing") != F.col("probing2")) & near_to).select("id", "other").distinct()
     rest = stage(rest.join(tries, ["id", "other"], "left_anti"), "line-rest")
-    near = near.unionByName(_verified(rest, lines, edits).select("id").distinct())
+    near = near.unionByName(_verified(rest, lines, edits, per_edit).select("id").distinct())
     # the copies of a removed line come after it and are exact copies already
     return copies.unionByName(near.select("id.doc_id", "id.no", F.lit(False).alias("exact")))
 
@@ -157,22 +165,23 @@ def _chosen_lines(docs: DataFrame, chosen: DataFrame, text: str) -> DataFrame:
     return rows.where(F.array_contains("nos", F.col("no"))).select(F.struct("doc_id", "no").alias("id"), "line")
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
-    """The pairs (id, other) of lines within the edits."""
+def _verified(pairs: DataFrame, lines: DataFrame, edits: int, per_edit: int) -> DataFrame:
+    """The pairs (id, other) of lines within their budget of edits."""
     both = pairs.join(lines.select("id", "line"), "id").join(lines.select(F.col("id").alias("other"), F.col("line").alias("line2")), "other")
-    return both.where(within(F.col("line"), F.col("line2"), edits)).select("id", "other")
+    budget = F.least(F.lit(edits), F.floor(F.least(F.char_length("line"), F.char_length("line2")) / per_edit).cast("int"))
+    return both.where(within(F.col("line"), F.col("line2"), edits, budget)).select("id", "other")
 
 
-def dedup(docs: DataFrame, edits: int = 2, min_chars: int = 20, text: str = "text", exact_chars: int | None = None) -> DataFrame:
+def dedup(docs: DataFrame, edits: int = 2, per_edit: int = 10, text: str = "text", exact_chars: int = 1) -> DataFrame:
     """docs with the lines removed from the text and columns n_lines, n_copies, n_near (lines of the input, those removed as
     copies, those removed as near copies); columns of these names are replaced.
 
-    Lines are parted by \\n; lines of fewer than min_chars characters or without a word stay, but for exact copies of exact_chars or more. Null texts stay null with
+    Lines are parted by \\n; lines without a word stay, and lines of fewer than per_edit characters have exact copies only. Null texts stay null with
     no lines, and rows without doc_id stay as they are. Of repeated rows with one doc_id all lose the lines that any loses by number.
     An empty table gives no rows.
     """
     columns = [c for c in docs.columns if c not in {"n_lines", "n_copies", "n_near"}]
-    gone = removed_lines(docs, edits, min_chars, text, exact_chars).groupBy("doc_id").agg(
+    gone = removed_lines(docs, edits, per_edit, text, exact_chars).groupBy("doc_id").agg(
         F.collect_set(F.when(F.col("exact"), F.col("no"))).alias("__copies"), F.collect_set(F.when(~F.col("exact"), F.col("no"))).alias("__near")
     )
     gone = stage(gone.withColumnRenamed("doc_id", "__id"), "line-gone")

@@ -84,13 +84,77 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document without the lines that are equal or within two edits to an earlier one of the corpus."""
-    return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2, exact_chars=1)
+    """Each document without the lines that are equal or within an edit for each ten characters, two at most, to an earlier one of the corpus."""
+    return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2)
+
+
+WORD = r"[^\x20\x09-\x0D]"
+
+
+def rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality rules' statistics alone, which SQL can express."""
+    stats = quality_rules.with_statistics(table(spark, sf_dir, "documents"), ["doc_id"])
+    return stats.select("doc_id", *quality_rules.COUNTS, "base_failed")
+
+
+RULE_COUNTS_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS ws FROM documents),
+g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 1))) AS i FROM d WHERE len(ws) >= 3)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM twice, (SELECT unnest(range(3)) AS o) GROUP BY doc_id),
+l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{WORD}')),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l GROUP BY doc_id),
+c AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[ 	-]', '', 'g'))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c
+"""
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and rule of each page's URL, and the rule's verdict (none where none fits)."""
+    out = url_filters.with_features(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return out.select("page_id", "host", "path", "rule", F.coalesce("__verdict", F.lit("none")).alias("by_rule"))
+
+
+URL_RULES_SQL = r"""
+WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r(verdict, rh, rp) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+f AS (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS verdict FROM h JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
+SELECT h.page_id, host, path, f.rule, coalesce(f.verdict, 'none') AS by_rule FROM h LEFT JOIN f USING (page_id)
+"""
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents WHERE doc_id IS NOT NULL),
+p AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(greatest(length(h) // 2 - 49, 0))) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS owner FROM p GROUP BY s HAVING min(doc_id) < max(doc_id)),
+x AS (SELECT p.doc_id, p.i FROM p JOIN f USING (s) WHERE f.owner < p.doc_id),
+n AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM x),
+g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM n),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS e FROM g GROUP BY doc_id, g),
+k AS (SELECT r.doc_id, a, e, substr(h, 2 * coalesce(lag(e) OVER w, 0) + 1, 2 * (a - coalesce(lag(e) OVER w, 0))) AS piece FROM r JOIN d USING (doc_id) WINDOW w AS (PARTITION BY r.doc_id ORDER BY a)),
+m AS (SELECT doc_id, sum(e - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(piece, '' ORDER BY a) AS head, max(e) AS last FROM k GROUP BY doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN m USING (doc_id)
+"""
+
+
+def line_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of each document and how many of them are copies of an earlier one, which SQL can express."""
+    out = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2)
+    return out.select("doc_id", "n_lines", "n_copies")
+
+
+LINE_COPIES_SQL = rf"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+c AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, row_number() OVER (PARTITION BY line ORDER BY doc_id, no) AS k FROM l WHERE regexp_matches(line, '{WORD}')) WHERE k > 1 GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END::BIGINT AS n_lines, coalesce(c.n, 0) AS n_copies FROM documents d LEFT JOIN c USING (doc_id)
+"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op7_url_filters, op8_suffix_dedup, op9_pii, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op7_url_filters, op8_suffix_dedup, op9_pii, op10_line_dedup, rule_counts, url_rules, line_copies)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": OP4_SQL}
+    return {"op4_jaccard_join": OP4_SQL, "op8_suffix_dedup": OP8_SQL, "rule_counts": RULE_COUNTS_SQL, "url_rules": URL_RULES_SQL, "line_copies": LINE_COPIES_SQL}

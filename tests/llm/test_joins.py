@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -254,15 +255,16 @@ def change(rng, line):
     return "".join(x)
 
 
-def earlier_lines(docs, edits=2, least=20):
+def earlier_lines(docs, edits=2, per_edit=10):
     want, seen = set(), []
     for d, t in sorted((d, t) for d, t in docs if d is not None and t is not None):
         for n, line in enumerate(t.split("\n")):
-            if len(line) < least or not line.strip():
+            if not re.search(r"[^\x20\x09-\x0D]", line):
                 continue
+            near = lambda m: abs(len(m) - len(line)) <= min(edits, min(len(m), len(line)) // per_edit) and distance(m, line) <= min(edits, min(len(m), len(line)) // per_edit)  # noqa: B023, E731
             if line in seen:
                 want.add((d, n, True))
-            elif any(abs(len(m) - len(line)) <= edits and distance(m, line) <= edits for m in seen):
+            elif any(map(near, seen)):
                 want.add((d, n, False))
             seen.append(line)
     return want
@@ -271,7 +273,7 @@ def earlier_lines(docs, edits=2, least=20):
 @pytest.mark.parametrize("edits", [1, 2])
 def test_line_dedup(spark, edits):
     rng = random.Random(edits)
-    base = ["".join(rng.choice("ab é") for _ in range(rng.randrange(18, 40))) for _ in range(20)]
+    base = ["".join(rng.choice("ab é") for _ in range(rng.choice([rng.randrange(18, 40), rng.randrange(8, 24)]))) for _ in range(24)]
     docs = [(i, "\n".join(change(rng, rng.choice(base)) if rng.random() < 0.9 else rng.choice(["", "  ", "short"]) for _ in range(rng.randrange(1, 6)))) for i in range(100)]
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     want = earlier_lines(docs, edits)
@@ -290,6 +292,8 @@ def test_banded_distance(spark):
     for edits in (1, 2, 3):
         got = [r[0] for r in d.select(line_dedup.within(F.col("a"), F.col("b"), edits)).collect()]
         assert got == [distance(a, b) <= edits for a, b in pairs]
+        got = [r[0] for r in d.select(line_dedup.within(F.col("a"), F.col("b"), edits, F.lit(edits - 1))).collect()]
+        assert got == [distance(a, b) <= edits - 1 for a, b in pairs]
 
 
 def test_line_dedup_on_awkward_rows(spark):
@@ -302,7 +306,7 @@ def test_line_dedup_on_awkward_rows(spark):
 
 
 def test_short_lines_lose_their_exact_copies(spark, tmp_path):
-    """In the query and the pipeline's stage; near copies of short lines stay."""
+    """In the query and the pipeline's stage; near copies of lines under ten characters stay."""
     docs = [(2, "Les.\na\n\nabd\n \n" + "x" * 30), (1, "Les.\nabc\nLes.\n\n" + "x" * 30), (3, "a\nabc\nnew")]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     want = {1: "Les.\nabc\n\n" + "x" * 30, 2: "a\n\nabd\n ", 3: "new"}
