@@ -3,13 +3,15 @@
 Each value found is taken apart into small numbers, each below a size that its format sets (a digit 10, an octet 256, a letter 26,
 a date's day two numbers), permuted by a keyed Feistel network over these numbers, and put together in the same format.
 The permutation depends on the key, the kind and the sizes alone: equal values get equal pseudonyms in every document,
-different ones of a format different ones, and whoever has the key can go back. Card numbers keep a valid check digit and dates
+different ones of a format different ones, and whoever has the key can go back. Card and account numbers keep valid check digits and dates
 stay dates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import prepare
@@ -26,6 +28,8 @@ PATTERNS = {
     "hex": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{40}(?![0-9A-Za-z])",
     "phone": r"(?:\+\d{1,3}[ .-]?)?(?<!\d)\(\d{3}\)[ -]?\d{3}-\d{4}(?!\d)|(?<![\d.+-])(?:\+\d{1,3}[ .-]?)?(?:\d{3}-\d{3}-\d{4}|[2-9]\d{2}(?:\.[2-9]\d{2}\.| [2-9]\d{2} )\d{4})(?![\d-])"
     r"|(?<![\d+])\+(?:\d{8,15}|(?=(?:[ .-]?\d){8,15}(?!\d))\d{1,3}(?:[ .-]\d{2,9}){1,4})(?!\d)",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "ipv6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[A-Fa-f:]{0,39}[0-9])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "date": r"(?<![A-Za-z])(?:January|February|March|April|May|June|July|August|September|October|November|December) [1-9]\d?, \d{4}(?!\d)|(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d./])\d{2}/\d{2}/\d{4}(?![\d/])|(?<![\d./])\d{2}\.\d{2}\.\d{4}(?!\.?\d)",
     "number": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -45,7 +49,7 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def feistel(values: Column, sizes: Column, tweak: Column, key: str, back: bool = False) -> Column:
+def feistel(values: Column, sizes: Column, tweak: Column, key: Column | str, back: bool = False) -> Column:
     """A permutation of arrays of integers with 0 <= values[i] < sizes[i], or its inverse. In turn, each half is shifted
     by a keyed hash of the other half."""
 
@@ -53,7 +57,7 @@ def feistel(values: Column, sizes: Column, tweak: Column, key: str, back: bool =
         half = (F.size(acc) / 2).cast("int")
         left = (r % 2) == 0
         other = F.filter(acc, lambda x, i: (i < half) != left)
-        source = F.concat_ws("|", F.lit(key), tweak, r.cast("string"), F.concat_ws(",", F.transform(other, lambda x: x.cast("string"))))
+        source = F.concat_ws("|", key if isinstance(key, Column) else F.lit(key), tweak, r.cast("string"), F.concat_ws(",", F.transform(other, lambda x: x.cast("string"))))
         move = lambda s, i, x: F.pmod(x + (-1 if back else 1) * F.pmod(F.xxhash64(s, i), F.get(sizes, i)), F.get(sizes, i)).cast("int")
         return _let(
             F.sha2(source.cast("binary"), 256),
@@ -64,7 +68,7 @@ def feistel(values: Column, sizes: Column, tweak: Column, key: str, back: bool =
     return F.aggregate(rounds, values, shifted)
 
 
-def _characters(s: Column, tweak: str, key: str, back: bool, hexadecimal: bool = False, letters: int = 26) -> Column:
+def _characters(s: Column, tweak: str, key: Column | str, back: bool, hexadecimal: bool = False, letters: int = 26) -> Column:
     """s with each digit, lower- and upper-case letter (of the first `letters`) replaced by one of its class; all else stays in place.
     Hexadecimal digits are one class, shown in the case of s."""
     code = lambda c: F.ascii(c)
@@ -107,7 +111,7 @@ def _into(s: Column, digits: Column) -> Column:
     )["out"]
 
 
-def _card(s: Column, key: str, back: bool) -> Column:
+def _card(s: Column, key: Column | str, back: bool) -> Column:
     """All digits but the last are permuted, the last is set to their check digit; null unless the check digit is right."""
 
     def of(d: Column) -> Column:
@@ -119,7 +123,7 @@ def _card(s: Column, key: str, back: bool) -> Column:
     return _let(_digits(s), of)
 
 
-def _ip(s: Column, key: str, back: bool) -> Column:
+def _ip(s: Column, key: Column | str, back: bool) -> Column:
     parts = lambda x: F.transform(F.split(x, "\\."), lambda p: p.cast("int"))
     valid = s.rlike(r"^(?:0|[1-9]\d{0,2})(?:\.(?:0|[1-9]\d{0,2})){3}$")
 
@@ -130,7 +134,48 @@ def _ip(s: Column, key: str, back: bool) -> Column:
     return F.when(valid, _let(parts(s), of))
 
 
-def _date(s: Column, key: str, back: bool) -> Column:
+def _remainder(s: Column) -> Column:
+    """What is left of an account number divided by 97, letters counting from 10 and the first four characters last."""
+    of = lambda c: F.when(c.rlike("[0-9]"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+    moved = F.concat(F.substring(s, 5, 40), F.substring(s, 1, 4))
+    return F.aggregate(F.split(moved, ""), F.lit(0), lambda a, c: F.pmod(a * F.when(c.rlike("[0-9]"), 10).otherwise(100) + of(c), F.lit(97)))
+
+
+def _iban(s: Column, key: Column | str, back: bool) -> Column:
+    """The account is permuted in place, the country stays and the check digits are set; null unless they are right."""
+
+    def of(plain: Column) -> Column:
+        account = _characters(F.substring(plain, 5, 40), "iban", key, back)
+        country = F.substring(plain, 1, 2)
+        check = lambda a: F.lpad((98 - _remainder(F.concat(country, F.lit("00"), a))).cast("string"), 2, "0")
+        return F.when(_remainder(plain) == 1, _let(account, lambda a: F.concat(country, check(a), a)))
+
+    def spaced(new: Column) -> Column:
+        places = F.split(s, "")
+        start = F.struct(F.lit("").alias("out"), F.lit(1).alias("k"))
+        step = lambda a, c: F.struct(F.concat(a["out"], F.when(c == " ", c).otherwise(F.substring(new, a["k"], F.lit(1)))).alias("out"), (a["k"] + F.when(c == " ", 0).otherwise(1)).alias("k"))
+        return F.when(new.isNotNull(), F.aggregate(places, start, step)["out"])
+
+    return _let(_let(F.replace(s, F.lit(" "), F.lit("")), of), spaced)
+
+
+def _number(s: Column, key: Column | str, back: bool) -> Column:
+    """Area, group and serial are permuted among those that exist: areas 1 to 899 but 666, and those from 900 on among themselves, groups and
+    serials from 1; null for a number that doesn't exist."""
+
+    def of(p: Column) -> Column:
+        late = p[0] >= 900
+        rank = F.when(late, p[0] - 900).otherwise(p[0] - F.when(p[0] > 666, 2).otherwise(1))
+        sizes = F.array(F.when(late, 100).otherwise(898), F.lit(99), F.lit(9999))
+        new = feistel(F.array(rank, p[1] - 1, p[2] - 1), sizes, F.when(late, "number9").otherwise("number"), key, back)
+        area = lambda n: F.when(late, n + 900).otherwise(n + F.when(n >= 665, 2).otherwise(1))
+        shown = _let(new, lambda n: F.concat_ws("-", *[F.lpad(x.cast("string"), w, "0") for x, w in ((area(n[0]), 3), (n[1] + 1, 2), (n[2] + 1, 4))]))
+        return F.when((p[0] > 0) & (p[0] != 666) & (p[1] > 0) & (p[2] > 0), shown)
+
+    return _let(F.transform(F.split(s, "-"), lambda x: x.cast("int")), of)
+
+
+def _date(s: Column, key: Column | str, back: bool) -> Column:
     """A slashed date is read day first, or month first where only that can be; it stays one of its reading."""
 
     def permuted(n: Column, sizes: tuple[int, int], tweak: str) -> Column:
@@ -177,7 +222,7 @@ def _with(f, second):
     return lambda x: f(x, second)
 
 
-def _phone(s: Column, key: str, back: bool) -> Column:
+def _phone(s: Column, key: Column | str, back: bool) -> Column:
     """A country code stays (of digits in one run the first two, or a 1 or 7); area and exchange codes that begin with 2 to 9 go on
     to do so. A number has the same pseudonym in each layout."""
     code = F.regexp_extract(s, r"^(?:\+(?:[17](?=\d{7,}$)|\d{2}(?=\d{6,}$)|\d{1,3}(?=[ .(-]|\d{3}-\d{3}-|\d{3}[. ]\d{3}[. ]\d{4}$))[ .-]?)?", 0)
@@ -202,8 +247,8 @@ def kind_of(value: Column) -> Column:
     return out
 
 
-def pseudonym(value: Column, kind: Column, key: str, back: bool = False) -> Column:
-    """The pseudonym of a value of a kind, or the value itself where it isn't valid (a wrong check digit, no such date)."""
+def pseudonym(value: Column, kind: Column, key: Column | str, back: bool = False) -> Column:
+    """The pseudonym of a value of a kind, or the value itself where it isn't valid (a wrong check digit, no such date or number)."""
     name, domain = F.substring_index(value, "@", 1), F.concat(F.lit("@"), F.substring_index(value, "@", -1))
     head = F.regexp_extract(value, f"^(?:AKIA|{_NAMED})", 0)
     tail = F.substring(value, F.char_length(head) + 1, F.char_length(value))
@@ -215,12 +260,24 @@ def pseudonym(value: Column, kind: Column, key: str, back: bool = False) -> Colu
         .when(kind == "phone", _phone(value, key, back))
         .when(kind == "ip", _ip(value, key, back))
         .when(kind == "date", _date(value, key, back))
-        .when(kind == "number", _characters(value, "number", key, back))
+        .when(kind == "number", _number(value, key, back))
+        .when(kind == "iban", _iban(value, key, back))
+        .when(kind == "ipv6", _characters(value, "ipv6", key, back, letters=6))
         .when(kind == "card", _card(value, key, back))
     )
     return F.coalesce(new, value)
 
 
+def session_key(spark: SparkSession) -> str:
+    """The setting tessera.pii.secret_key, a name that Spark's redaction hides in logs; where it is unset, a random key that lives as
+    long as the application, so that its pseudonyms link within it only."""
+    given = spark.conf.get("tessera.pii.secret_key", None)
+    return given or _KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
+
+
+_KEYS: dict[str, str] = {}
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = False) -> DataFrame:
     """docs with pseudonyms in the text and a column pii, a map from kind to the number of values replaced (kinds that occur; empty
     for null texts, which stay null). back undoes it with the same key; texts without personal data are left as they are.
@@ -230,8 +287,11 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
     """
     prepare(docs.sparkSession)
     columns = [c for c in docs.columns if c != "pii"]
+    # the key comes as a table's one value, so that no plan and no event log shows it
+    docs = docs.withColumn("__pii_key", docs.sparkSession.createDataFrame([(key,)], "k string").scalar())
+    key = F.col("__pii_key")
     found = F.regexp_extract_all(F.col(text), F.lit(_ANY), F.lit(0))
-    has = docs.select(*columns, F.coalesce(found, F.array().cast("array<string>")).alias("__found"))
+    has = docs.select(*columns, "__pii_key", F.coalesce(found, F.array().cast("array<string>")).alias("__found"))
     matches = F.transform("__found", lambda v: F.struct(v.alias("v"), kind_of(v).alias("k")))
     # one row's matches are few; a text is only split where there are any
     has = has.withColumn("__new", F.when(F.size("__found") > 0, F.transform(matches, lambda m: F.struct(m["k"].alias("k"), m["v"].alias("v"), pseudonym(m["v"], m["k"], key, back).alias("p")))))

@@ -78,8 +78,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with pseudonyms for its personal data, and how many values of each kind were replaced."""
-    key = spark.conf.get("tessera.pii.key", "a key for tests")
-    out = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    out = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
     return out.select("doc_id", "text", *[F.coalesce(F.try_element_at("pii", F.lit(k)), F.lit(0)).cast("long").alias(f"n_{k}") for k in pii.PATTERNS])
 
 
@@ -104,7 +103,8 @@ twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY d
 rep AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM twice, (SELECT unnest(range(3)) AS o) GROUP BY doc_id),
 l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{WORD}')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l GROUP BY doc_id),
-c AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[ 	-]', '', 'g'))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+c AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[ 	-
+]', '', 'g'))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
   coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id))
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c
 """

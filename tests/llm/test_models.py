@@ -182,3 +182,44 @@ def test_month_first_dates_are_permuted(spark):
     out = pii.pseudonymise(days, "key").cache()
     assert out.where("pii['date'] = 1").count() >= days.count() - 2 and out.select("text").distinct().count() == days.count()
     assert pii.pseudonymise(out.select("text"), "key", back=True).select("text").exceptAll(days).count() == 0
+
+
+NUMBERS = [
+    "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "DE89370400440532013000", "DE88370400440532013000", "fe80::1ff:fe23:4567:890a", "2001:0DB8:0:0:8:800:200C:417A", "std::vector", "12:34:56",
+    "000-12-3456", "666-12-3456", "123-00-4567", "123-45-0000", "912-34-5678", "123-45-6789", "899-99-9999",
+]
+
+
+def iban_is_valid(s):
+    s = s.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
+def test_numbers_that_exist(spark):
+    d = spark.createDataFrame(list(enumerate(NUMBERS)), "doc_id long, text string")
+    new = pii.pseudonymise(d, "a-key-not-to-be-shown")
+    out = {r.doc_id: r.text for r in new.collect()}
+    assert {i for i in out if out[i] == NUMBERS[i]} == {3, 6, 7, 8, 9, 10, 11}
+    assert all(iban_is_valid(out[i]) for i in (0, 1, 2)) and out[0].replace(" ", "") == out[1] and [len(w) for w in out[0].split(" ")] == [4, 4, 4, 4, 4, 2]
+    assert re.fullmatch(r"9\d\d-\d\d-\d{4}", out[12]) and out[12][4:6] != "00"
+    for i in (13, 14):
+        area, group, serial = map(int, out[i].split("-"))
+        assert 0 < area < 900 and area != 666 and group and serial
+    assert {r.doc_id: r.text for r in pii.pseudonymise(new, "a-key-not-to-be-shown", back=True).collect()} == dict(enumerate(NUMBERS))
+    assert "a-key-not-to-be-shown" not in new._jdf.queryExecution().toString()
+
+
+def test_numbers_are_permuted(spark):
+    d = spark.range(898 * 3).select(F.format_string("%03d-%02d-%04d", F.expr("1 + id div 3 + if(id div 3 >= 665, 1, 0)"), F.col("id") % 99 + 1, F.col("id") * 37 % 9999 + 1).alias("text"))
+    out = pii.pseudonymise(d, "k").cache()
+    assert out.where("pii['number'] = 1").count() >= d.count() - 1 and out.select("text").distinct().count() == d.count()
+    assert pii.pseudonymise(out.select("text"), "k", back=True).select("text").exceptAll(d).count() == 0
+
+
+def test_suffix_shares_leave_out_the_own_fold(spark):
+    """A suffix with one labelled URL has no label in that URL's own features, and labels that hosts tell apart are learned."""
+    urls = [f"http://a{k}.blocked{k % 7}.net/{lang}/x{k}" for k in range(200) for lang in ("es", "fr")] + [f"http://b{k}.fine{k % 7}.com/p/{k}" for k in range(400)] + ["http://once.only.net/es/"]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    shares = {r.url: r.suffix_share for r in url_filters.with_suffixes(url_filters.with_features(pages), "url").collect()}
+    assert shares["http://once.only.net/es/"] == 0.5
+    assert url_filters.held_out_auc(pages) > 0.95
