@@ -57,3 +57,54 @@ def stacks(pixels: DataFrame, keys: list[str]) -> DataFrame:
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pixels.select(*keys).schema) + ", tiff binary"
     return pixels.groupBy(*keys).applyInPandas(run, schema)
+
+
+def write_shifts(shifts: DataFrame, path: str, suffix: str = "") -> None:
+    """The log of shifts (fov_id, round, row, col, z) as CSV, added to what is there."""
+    shifts.select("fov_id", "round", "row", "col", "z").write.mode("append").csv(path + suffix, header=True)
+
+
+def write_scores(scores: DataFrame, path: str) -> None:
+    """The table of the filtering's scores as CSV with empty fields for nulls, added to what is there."""
+    scores.write.mode("append").csv(path, header=True, nullValue="")
+
+
+def write_stacks(pixels: DataFrame, keys: list[str], path: str, name: str, height: int, width: int) -> None:
+    """Each stack of pixels (keys, z, y, x, v) as a TIFF file under a folder that executors share, its name formatted from the keys; what is
+    there is written over. A stack is a group, and its file is complete before it gets its name, so that a task may run twice."""
+
+    def run(p):
+        import os
+
+        import pandas as pd
+
+        pages = []
+        for _, g in sorted(p.groupby("z")):
+            a = np.zeros((height, width), np.uint16)
+            a[g.y.to_numpy(int), g.x.to_numpy(int)] = g.v.to_numpy(int)
+            pages.append(a)
+        file = os.path.join(path, name.format(**{k: p[k].iloc[0] for k in keys}))
+        os.makedirs(os.path.dirname(file), exist_ok=True)
+        part = f"{file}.{os.getpid()}"
+        with open(part, "wb") as f:
+            f.write(tiff_bytes(pages))
+        os.replace(part, file)
+        return pd.DataFrame({"file": [file]})
+
+    pixels.groupBy(*keys).applyInPandas(run, "file string").write.format("noop").mode("overwrite").save()
+
+
+def write_positions(positions: DataFrame, path: str) -> None:
+    """Stage positions (sample_id, name, sx, sy, sections) as XML, a folder for each sample."""
+    t = positions.select("sample_id", F.col("sx").alias("_StageXPos"), F.col("sy").alias("_StageYPos"), F.col("name").alias("_PositionID"), F.col("sections").alias("_Sections"))
+    t.write.format("xml").option("rootTag", "StagePositions").option("rowTag", "XYZStagePointDefinition").partitionBy("sample_id").mode("overwrite").save(path)
+
+
+def write_flags(spark, path: str, steps: list[str]) -> None:
+    """A mark for each finished step of a run."""
+    spark.createDataFrame([(s,) for s in steps], "step string").select("step", F.current_timestamp().alias("at")).write.mode("append").parquet(path)
+
+
+def finished(spark, path: str) -> list[str]:
+    """The finished steps, each once."""
+    return sorted(r[0] for r in spark.read.parquet(path).select("step").distinct().collect())

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import cells, expression, joins, kernels, stitch
 from tessera.operators import images as im
+from tessera.sources import readers, sinks
 
 
 def test_subtiles(spark):
@@ -171,3 +172,79 @@ def test_empty_tables_keep_their_schema(spark):
     assert im.local_maxima(e, ["img"], "v", 8, 8).columns == ["img", "y", "x", "v"]
     assert im.components(e, ["img"], 8).count() == 0
     assert im.otsu(e, ["img"], "v").count() == 0
+
+
+def test_kernels_against_plain_versions():
+    """Reconstruction, holes, watershed and hulls on random images."""
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        h, w = rng.integers(2, 9, 2)
+        a = rng.integers(0, 6, (h, w)).astype(float)
+        near = lambda p, four=False: [(p[0] + i, p[1] + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0) and (not four or 0 in (i, j)) and 0 <= p[0] + i < h and 0 <= p[1] + j < w]  # noqa: B023, E731
+        seed = np.minimum(rng.integers(0, 6, (h, w)), a)
+        # a place reaches as high as the best path's lowest place, starting from any seed
+        want = np.zeros((h, w))
+        for start in np.ndindex(h, w):
+            for level in range(int(seed[start]), 0, -1):
+                todo, seen = [start], {start}
+                while todo:
+                    for q in near(todo.pop()):
+                        if q not in seen and a[q] >= level:
+                            seen.add(q)
+                            todo.append(q)
+                for q in seen:
+                    want[q] = max(want[q], level)
+        assert (kernels.reconstruct(seed, a) == want).all()
+        mask = a > 2
+        todo = [p for p in np.ndindex(h, w) if not mask[p] and (p[0] in (0, h - 1) or p[1] in (0, w - 1))]
+        outside = set(todo)
+        while todo:
+            for q in near(todo.pop(), True):
+                if q not in outside and not mask[q]:
+                    outside.add(q)
+                    todo.append(q)
+        assert {tuple(p) for p in np.argwhere(~kernels.fill_holes(mask))} == outside
+        markers = np.where(rng.random((h, w)) < 0.1, np.arange(h * w).reshape(h, w) + 1, 0)
+        out = kernels.watershed(a, markers, mask | (markers > 0))
+        assert (out[markers > 0] == markers[markers > 0]).all() and not out[~mask & (markers == 0)].any()
+        for p in map(tuple, np.argwhere(out > 0)):  # every label hangs together with its marker, and no two touch
+            todo, seen = [p], {p}
+            while todo:
+                for q in near(todo.pop(), True):
+                    if q not in seen and out[q] == out[p]:
+                        seen.add(q)
+                        todo.append(q)
+            assert any(markers[q] == out[p] for q in seen)
+            assert all(out[q] in (0, out[p]) or markers[p] or markers[q] for q in near(p, True))
+        x, y = rng.integers(0, 6, 12), rng.integers(0, 6, 12)
+        corners = kernels.hull(x, y)
+        pts = set(zip(x.tolist(), y.tolist()))
+        cross = lambda o, b, c: (b[0] - o[0]) * (c[1] - o[1]) - (b[1] - o[1]) * (c[0] - o[0])
+        edges = [(o, b) for o in pts for b in pts if o != b and all(cross(o, b, c) > 0 or cross(o, b, c) == 0 and (c[0] - o[0]) * (b[0] - o[0]) + (c[1] - o[1]) * (b[1] - o[1]) >= 0 and (c[0] - o[0]) ** 2 + (c[1] - o[1]) ** 2 <= (b[0] - o[0]) ** 2 + (b[1] - o[1]) ** 2 for c in pts)]
+        assert set(corners) == {p for e in edges for p in e}
+
+
+def test_images_keep_their_shape():
+    """A channel without pixels at its edge is as large as the others."""
+    import pandas as pd
+
+    p = pd.DataFrame({"y": [0, 3], "x": [1, 2], "v": [5.0, 6.0]})
+    assert kernels.grid(p, shape=(8, 8)).shape == (8, 8) and kernels.grid(p).shape == (4, 3)
+    m = kernels.median(np.ones((8, 8)), 10)
+    assert m[0, 0] == 0 and m[4, 4] == 1
+
+
+def test_writers(spark, tmp_path):
+    d = spark.createDataFrame([("P1", "round2", 3, -4, 0), ("P1", "round3", 1, 2, 0)], "fov_id string, round string, row long, col long, z long")
+    sinks.write_shifts(d, f"{tmp_path}/shifts")
+    assert spark.read.csv(f"{tmp_path}/shifts", header=True, inferSchema=True).count() == 2
+    px = spark.createDataFrame([(1, "ch00", z, y, x, z + y * x) for z in range(2) for y in range(3) for x in range(4)], "fov long, channel string, z long, y long, x long, v long")
+    sinks.write_stacks(px, ["fov", "channel"], f"{tmp_path}/stacks", "{fov}/{channel}.tif", 3, 4)
+    pages = list(readers.tiff_pages((tmp_path / "stacks/1/ch00.tif").read_bytes()))
+    assert len(pages) == 2 and pages[1].shape == (3, 4) and pages[1][2, 3] == 7
+    positions = spark.createDataFrame([("s1", "Position1", 1.5, 2.5, 4), ("s1", "Position2", 3.5, 2.5, 4)], "sample_id string, name string, sx double, sy double, sections int")
+    sinks.write_positions(positions, f"{tmp_path}/maf")
+    back = readers.read_stage_xml(spark, f"{tmp_path}/maf/sample_id=s1")
+    assert sorted((r.StageXPos, r.PositionID) for r in back.collect()) == [(1.5, "Position1"), (3.5, "Position2")]
+    sinks.write_flags(spark, f"{tmp_path}/flags", ["stitch", "decode"])
+    assert sinks.finished(spark, f"{tmp_path}/flags") == ["decode", "stitch"]
