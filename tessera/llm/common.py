@@ -48,6 +48,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete the files of stage tables that nothing reads any more."""
     for t in tables:

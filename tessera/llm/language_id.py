@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import text as tx
-from tessera.llm.common import prepare
+from tessera.llm.common import fresh, prepare
 
 CHUNK = 48
 
@@ -189,7 +189,7 @@ def identify(docs: DataFrame, model: BiGru, names: list[str], text: str = "text"
     """
     prepare(docs.sparkSession)
     keep = [c for c in (keep or [c for c in docs.columns if c != text]) if c not in {"lang_pred", "score"}]
-    source = docs.select(*keep, F.col(text).alias("__text"), F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)).alias("__letter"))
+    source = docs.select(*keep, F.col(text).alias(fresh(docs, "text")), F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)).alias(fresh(docs, "letter")))
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches):

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare, stage
+from tessera.llm.common import fresh, prepare, stage
 
 
 def probes(edits: int) -> list[tuple[int, int, int]]:
@@ -181,18 +181,19 @@ def dedup(docs: DataFrame, edits: int = 2, per_edit: int = 10, text: str = "text
     An empty table gives no rows.
     """
     columns = [c for c in docs.columns if c not in {"n_lines", "n_copies", "n_near"}]
-    gone = removed_lines(docs, edits, per_edit, text, exact_chars).groupBy("doc_id").agg(
-        F.collect_set(F.when(F.col("exact"), F.col("no"))).alias("__copies"), F.collect_set(F.when(~F.col("exact"), F.col("no"))).alias("__near")
+    ident, copies, near = (fresh(docs, n) for n in ("id", "copies", "near"))
+    gone = removed_lines(docs, edits, per_edit, text, exact_chars).groupBy(F.col("doc_id").alias(ident)).agg(
+        F.collect_set(F.when(F.col("exact"), F.col("no"))).alias(copies), F.collect_set(F.when(~F.col("exact"), F.col("no"))).alias(near)
     )
-    gone = stage(gone.withColumnRenamed("doc_id", "__id"), "line-gone")
+    gone = stage(gone, "line-gone")
     none = F.array().cast("array<int>")
-    out = docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["__id"], "left")
-    drop = F.coalesce(F.array_union("__copies", "__near"), none)
+    out = docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone[ident], "left")
+    drop = F.coalesce(F.array_union(copies, near), none)
     lines = F.split(F.col(text), "\n")
     left = F.when(F.size(drop) == 0, F.col(text)).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(drop, i)), "\n"))
     return out.select(
         *[left.alias(c) if c == text else F.col(c) for c in columns],
         F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__copies"), F.lit(0)).cast("long").alias("n_copies"),
-        F.coalesce(F.size("__near"), F.lit(0)).cast("long").alias("n_near"),
+        F.coalesce(F.size(copies), F.lit(0)).cast("long").alias("n_copies"),
+        F.coalesce(F.size(near), F.lit(0)).cast("long").alias("n_near"),
     )

@@ -14,7 +14,7 @@ import secrets
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare
+from tessera.llm.common import fresh, prepare
 
 ROUNDS = 8
 #: A secret's name up to its value, and the value: from 6 characters on, up to its last letter or digit. What is a key of another
@@ -288,16 +288,17 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
     prepare(docs.sparkSession)
     columns = [c for c in docs.columns if c != "pii"]
     # the key comes as a table's one value, so that no plan and no event log shows it
-    docs = docs.withColumn("__pii_key", docs.sparkSession.createDataFrame([(key,)], "k string").scalar())
-    key = F.col("__pii_key")
+    secret, matched, replaced = (fresh(docs, n) for n in ("secret", "found", "new"))
+    docs = docs.withColumn(secret, docs.sparkSession.createDataFrame([(key,)], "k string").scalar())
+    key = F.col(secret)
     found = F.regexp_extract_all(F.col(text), F.lit(_ANY), F.lit(0))
-    has = docs.select(*columns, "__pii_key", F.coalesce(found, F.array().cast("array<string>")).alias("__found"))
-    matches = F.transform("__found", lambda v: F.struct(v.alias("v"), kind_of(v).alias("k")))
+    has = docs.select(*columns, secret, F.coalesce(found, F.array().cast("array<string>")).alias(matched))
+    matches = F.transform(matched, lambda v: F.struct(v.alias("v"), kind_of(v).alias("k")))
     # one row's matches are few; a text is only split where there are any
-    has = has.withColumn("__new", F.when(F.size("__found") > 0, F.transform(matches, lambda m: F.struct(m["k"].alias("k"), m["v"].alias("v"), pseudonym(m["v"], m["k"], key, back).alias("p")))))
+    has = has.withColumn(replaced, F.when(F.size(matched) > 0, F.transform(matches, lambda m: F.struct(m["k"].alias("k"), m["v"].alias("v"), pseudonym(m["v"], m["k"], key, back).alias("p")))))
     gaps = F.split(F.col(text), _ANY)
-    joined = F.array_join(F.zip_with(gaps, F.col("__new"), lambda g, m: F.concat(g, F.coalesce(m["p"], F.lit("")))), "")
-    counts = F.map_from_arrays(F.array(*[F.lit(k) for k in PATTERNS]), F.array(*[F.size(F.filter("__new", _with(lambda m, k: (m["k"] == k) & (m["p"] != m["v"]), k))) for k in PATTERNS]))
-    counts = F.when(F.col("__new").isNotNull(), F.map_filter(counts, lambda k, n: n > 0)).otherwise(F.create_map().cast("map<string,int>"))
-    new = F.when(F.col("__new").isNull(), F.col(text)).otherwise(joined)
+    joined = F.array_join(F.zip_with(gaps, F.col(replaced), lambda g, m: F.concat(g, F.coalesce(m["p"], F.lit("")))), "")
+    counts = F.map_from_arrays(F.array(*[F.lit(k) for k in PATTERNS]), F.array(*[F.size(F.filter(replaced, _with(lambda m, k: (m["k"] == k) & (m["p"] != m["v"]), k))) for k in PATTERNS]))
+    counts = F.when(F.col(replaced).isNotNull(), F.map_filter(counts, lambda k, n: n > 0)).otherwise(F.create_map().cast("map<string,int>"))
+    new = F.when(F.col(replaced).isNull(), F.col(text)).otherwise(joined)
     return has.select(*[new.alias(c) if c == text else F.col(c) for c in columns], counts.alias("pii"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import text as tx
-from tessera.llm.common import prepare, stage
+from tessera.llm.common import fresh, prepare, stage
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 EXTRA = ["n_codepoints", "n_upper", "n_marks", "n_lines"]
@@ -85,12 +85,11 @@ def with_statistics(docs: DataFrame, keep: list[str] | None = None, text: str =
     schema = docs.select(*keep).schema
     for c in names:
         schema = schema.add(c, "long")
-    source = docs.select(*keep, F.col(text).alias("__text"))
+    source = docs.select(*keep, F.col(text).alias(fresh(docs, "text")))
 
     def run(batches):
         for b in batches:
-            at = b.schema.get_field_index("__text")
-            stats = statistics(*tx.buffers(b.column(at)))
+            stats = statistics(*tx.buffers(b.column(len(keep))))
             yield pa.RecordBatch.from_arrays(
                 [b.column(i) for i in range(len(keep))] + [pa.array(stats[c]) for c in names], [*keep, *names]
             )
@@ -195,7 +194,7 @@ def fit_forest(stats: DataFrame, labels: DataFrame, max_rows: int = 8192, trees:
     """
     h = F.xxhash64("doc_id")
     labelled = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = stats.where("not base_failed").join(labelled, "doc_id").withColumn("__h", h)
+    rows = stats.where("not base_failed").select("doc_id", *COUNTS, *EXTRA).join(labelled, "doc_id").withColumn("__h", h)
     chosen = rows.groupBy(F.pmod("__h", F.lit(max_rows)).alias("bucket")).agg(F.min("__h").alias("__h")).select("__h")
     rows = rows.join(F.broadcast(chosen), "__h").dropDuplicates(["__h"]).orderBy("__h").toPandas()  # max_rows rows at most
     x, good = features(rows), rows["quality"].to_numpy() == 1
@@ -209,7 +208,7 @@ def calibrate(scored: DataFrame, labels: DataFrame, most_lost: float = 0.0005) -
     rejected (2.0)."""
     marks = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     bins = (
-        scored.where("not base_failed").join(marks, "doc_id")
+        scored.where("not base_failed").select("doc_id", "anomaly").join(marks, "doc_id")
         .groupBy(F.floor(F.col("anomaly") * 4096).cast("int").alias("bin"))
         .agg(F.sum(F.expr("if(quality = 1, 1, 0)")).alias("good"), F.sum(F.expr("if(quality = 0, 1, 0)")).alias("bad"))
         .orderBy("bin").toPandas()

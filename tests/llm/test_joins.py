@@ -297,7 +297,7 @@ def test_banded_distance(spark):
 
 
 def test_line_dedup_on_awkward_rows(spark):
-    d = helpers.awkward(spark).withColumn("n_lines", F.lit("clash"))
+    d = helpers.awkward(spark).withColumn("n_lines", F.lit("clash")).withColumn("__copies", F.lit(1)).withColumn("__id", F.lit(1))
     out = line_dedup.dedup(d).collect()
     assert len(out) == d.count()
     by = {r.doc_id: r for r in out}

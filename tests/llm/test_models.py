@@ -150,8 +150,9 @@ def test_feistel_is_a_permutation(spark, sizes):
 
 
 def test_pseudonyms_on_awkward_rows(spark):
-    d = helpers.awkward(spark)
-    assert pii.pseudonymise(d, "k").count() == d.count()
+    d = helpers.awkward(spark).withColumn("__new", F.lit(1)).withColumn("__found", F.lit(2))
+    out = pii.pseudonymise(d, "k")
+    assert out.count() == d.count() and out.columns == [*d.columns, "pii"]
     assert pii.pseudonymise(helpers.empty(spark), "k").count() == 0
 
 
@@ -223,3 +224,12 @@ def test_suffix_shares_leave_out_the_own_fold(spark):
     shares = {r.url: r.suffix_share for r in url_filters.with_suffixes(url_filters.with_features(pages), "url").collect()}
     assert shares["http://once.only.net/es/"] == 0.5
     assert url_filters.held_out_auc(pages) > 0.95
+
+
+def test_chunks_of_the_sample_come_from_whole_texts(spark):
+    text = "".join(chr(97 + k // 1000) for k in range(20_000))
+    d = spark.createDataFrame([(1, text, "a"), (2, "short", "b"), (3, None, "c"), (None, "x", "d"), (4, "é" * 30, None)], "doc_id long, text string, lang string")
+    rows = li.sample(d, 8, 40, "text")
+    assert {lang for lang, _ in rows} == {"a", "b"} and [c for lang, c in rows if lang == "b"] == [b"short"]
+    mine = sorted(c for lang, c in rows if lang == "a")
+    assert len(mine) == 40 and mine[0] == b"a" * 48 and mine[-1] == b"t" * 48 and len({c[0] for c in mine}) == 20

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -74,3 +75,21 @@ def test_awkward_rows(spark):
     check(out, [tuple(r) for r in d.collect()], 2048)
     assert out[out.doc_id == 3].doc_tokens.tolist() == [1]
     assert packing.pack(helpers.empty(spark)).count() == 0
+
+
+def test_ids_equal_the_named_library():
+    """Over all documents of a table and random texts of many scripts."""
+    path = packing._default_path()
+    slow, encode = Tokenizer.from_file(path), packing.tokenizer(path)
+    rng = random.Random(1)
+    pool = [chr(c) for c in [*range(1, 128), *range(160, 600), *range(0x4E00, 0x4E30), *range(0x1F600, 0x1F610), 0x300, 0x200D, 0xFE0F, 0x0E31, 0x0915, 0x2028, 0x85, 0x3000]]
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()
+    texts = [t or "" for t in texts] + ["".join(rng.choice(pool) for _ in range(rng.randrange(60))) for _ in range(3000)] + ["<|endoftext|> x", "y" * 5000]
+    for a in range(0, len(texts), 500):
+        want = slow.encode_batch(texts[a : a + 500], add_special_tokens=False)
+        assert all(x.tolist() == y.ids for x, y in zip(encode(texts[a : a + 500]), want))
+
+
+def test_mixtures_of_too_many_sources_are_refused(spark):
+    with pytest.raises(ValueError, match="at most"):
+        packing.pack(helpers.empty(spark), {str(k): 1.0 for k in range(5)}, most_queues=4)

@@ -1,14 +1,17 @@
 """The pipeline against a plain version of its stages, and the queries' SQL."""
 
 import collections
+import pathlib
 import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import common, queries
 from tests.conftest import SF, rows
+from tests.llm import helpers
 from tests.llm.test_joins import classes_of, earlier_lines, fewest_edits, shingle_set
 from tests.llm.test_quality import brute
 
@@ -68,3 +71,41 @@ def test_query(spark, name):
         for t in ("documents", "pages"):
             c.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
         assert rows(got) == rows(c.execute(queries.oracle_sql()[name]).df())
+
+
+def test_stages_on_awkward_rows(spark, tmp_path):
+    """Null ids, texts and languages, empty and long texts, repeated rows, and columns with clashing names."""
+    docs = helpers.awkward(spark).withColumn("n_words", F.lit("clash")).withColumn("__near", F.lit(1)).withColumn("component_id", F.lit(2)).withColumn("block", F.lit(3))
+    helpers.labels(spark, [(1, 1, 0), (None, 0, 0)]).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "no such passage here, none at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, f in corpus_pipeline.STAGES[:4]:
+        out = f(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        assert f(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+        left = {r.doc_id for r in out.collect()}
+        assert left <= {r.doc_id for r in docs.collect()} and (name == "quality rules" or None in left), name
+    assert corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_workspace_leaves_nothing(spark):
+    folder = pathlib.Path(common.prepare(spark).removeprefix("file://"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with common.workspace(spark):
+        assert queries.op7_url_filters(spark, SF).count() > 0
+        assert set(folder.iterdir()) > before
+    assert set(folder.iterdir()) == before and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == was
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context
+        conf = type("Conf", (), {"set": staticmethod(lambda k, v: None), "get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        common.prepare(Session)

@@ -60,7 +60,7 @@ def test_rules_reject_junk_and_keep_the_rest(spark):
 
 
 def test_rules_on_awkward_rows(spark):
-    docs = helpers.awkward(spark).withColumn("n_words", F.lit("clash"))
+    docs = helpers.awkward(spark).withColumn("n_words", F.lit("clash")).withColumn("__text", F.lit("clash")).withColumn("quality", F.lit(7))
     out = qr.judge(docs, helpers.labels(spark))
     assert out.count() == docs.count()
     for r in out.join(docs.select("doc_id", "text").distinct(), "doc_id").collect():
