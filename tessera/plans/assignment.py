@@ -20,14 +20,17 @@ def reads_to_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.label_reads(r, labels, ["px", "py"]).groupBy("fov", "label").agg(F.count("*").alias("n"))
 
 
+#: The genes of the test tables' codebook, for the SQL, which has to name its columns.
 GENES = [f"Brand#{k}" for k in range(1, 26)]
 
 
 @query(f"""WITH {fx.READS} SELECT seg_label, {", ".join(f"count(*) FILTER (WHERE gene = '{g}') AS {g.replace('#', '_').lower()}" for g in GENES)} FROM reads WHERE seg_label > 0 GROUP BY seg_label""")
 def cell_gene_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The count matrix, a column for each gene."""
-    r = fx.reads(spark, sf_dir).where("seg_label > 0").select("seg_label", F.lower(F.replace("gene", F.lit("#"), F.lit("_"))).alias("gene"))
-    return ops.count_matrix(r, "seg_label", "gene", [g.replace("#", "_").lower() for g in GENES])
+    """The count matrix, a column for each gene of the codebook."""
+    named = F.lower(F.replace("gene", F.lit("#"), F.lit("_"))).alias("gene")
+    panel = [r[0] for r in fx.codebook(spark, sf_dir).select(named).distinct().orderBy("gene").collect()]  # a codebook's genes
+    r = fx.reads(spark, sf_dir).where("seg_label > 0").select("seg_label", named)
+    return ops.count_matrix(r, "seg_label", "gene", panel)
 
 
 @query(f"""WITH {fx.READS}, {fx.CELLS}, kept AS (SELECT seg_label FROM cells WHERE x >= 200 AND x < 1800 AND y >= 100 AND y < 1500),
@@ -65,7 +68,8 @@ def compartment_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fx.reads(spark, sf_dir).where("seg_label > 0").select("seg_label", "x", "y", "z")
     part = F.when(F.col("z") % 2 == 0, "nucleus").otherwise("cytoplasm")
     layered = r.withColumn("layer", F.explode(F.array(F.lit("whole"), part)))
-    ids = r.agg(F.max("seg_label").alias("top")).select(F.explode(F.sequence(F.lit(1).cast("long"), "top")).alias("seg_label"))
+    top = r.agg(F.max("seg_label")).first()[0] or 0  # one number
+    ids = spark.range(1, top + 1).withColumnRenamed("id", "seg_label")
     scaffold = ids.withColumn("layer", F.explode(F.array(*[F.lit(n) for n in ("whole", "nucleus", "cytoplasm")])))
     got = layered.groupBy("seg_label", "layer").agg(F.count("*").alias("area"), F.floor(F.avg("x")).alias("cx"), F.floor(F.avg("y")).alias("cy"))
     zero = F.lit(0).cast("long")
@@ -128,7 +132,8 @@ SELECT k AS fov, 'Position' || lpad(k::VARCHAR, 3, '0') AS fov_id FROM n, LATERA
 def missing_fovs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of view that should be there and aren't."""
     seen = fx.table(spark, sf_dir, "supplier").where("s_suppkey % 5 <> 3").select((F.col("s_suppkey") % 60 + 1).alias("fov")).distinct()
-    every = seen.agg(F.max("fov").alias("top")).select(F.explode(F.sequence(F.lit(1).cast("long"), "top")).alias("fov"))
+    top = seen.agg(F.max("fov")).first()[0] or 0  # one number
+    every = spark.range(1, top + 1).withColumnRenamed("id", "fov")
     return every.join(seen, "fov", "left_anti").select("fov", F.format_string("Position%03d", "fov").alias("fov_id"))
 
 

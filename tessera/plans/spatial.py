@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.operators import joins
+from tessera.operators import expression, joins
 from tessera.operators import spatial as ops
 from tessera.plans.registry import query
 from tessera.sources import fixtures as fx
@@ -66,9 +66,10 @@ def composition_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{RINGS}, t AS (SELECT cell_type, ring, count(*) AS a FROM ringed WHERE ring <= 5 GROUP BY ALL), r AS (SELECT ring, count(*) AS rn FROM ringed GROUP BY ring), c AS (SELECT cell_type, count(*) AS cn FROM ringed GROUP BY cell_type), n AS (SELECT count(*) AS n FROM ringed),
 x AS (SELECT cell_type, ring, a, rn - a AS b, cn - a AS c, n - rn - cn + a AS d, n FROM t JOIN r USING (ring) JOIN c USING (cell_type), n)
-SELECT cell_type, ring, a, b, c, d, round(n * (abs(a * d - b * c) - least(0.5 * n, abs(a * d - b * c))) ** 2 / nullif((a + b) * (c + d) * (a + c) * (b + d), 0)::DOUBLE, 4) AS chi2 FROM x""")
+, y AS (SELECT cell_type, ring, a, b, c, d, n * (abs(a * d - b * c) - least(0.5 * n, abs(a * d - b * c))) ** 2 / nullif((a + b) * (c + d) * (a + c) * (b + d), 0)::DOUBLE AS s FROM x)
+SELECT cell_type, ring, a, b, c, d, round(s, 4) AS chi2, round(2 * ({expression.upper_tail_sql('sqrt(s)')}), 6) AS p FROM y""")
 def chi2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a cell type is over-represented in a ring: the table and its corrected statistic."""
+    """Whether a cell type is over-represented in a ring: the table, its corrected statistic and the probability of a larger one."""
     r = ringed(spark, sf_dir)
     t = r.where("ring <= 5").groupBy("cell_type", "ring").agg(F.count("*").alias("a"))
     rings = r.groupBy("ring").agg(F.count("*").alias("rn"))
@@ -76,7 +77,8 @@ def chi2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = r.agg(F.count("*").alias("n"))
     x = t.join(rings, "ring").join(types, "cell_type").crossJoin(F.broadcast(n))  # one row
     x = x.select("cell_type", "ring", "a", (F.col("rn") - F.col("a")).alias("b"), (F.col("cn") - F.col("a")).alias("c"), (F.col("n") - F.col("rn") - F.col("cn") + F.col("a")).alias("d"))
-    return x.withColumn("chi2", F.round(ops.chi_square_yates(F.col("a"), F.col("b"), F.col("c"), F.col("d")), 4))
+    s = ops.chi_square_yates(F.col("a"), F.col("b"), F.col("c"), F.col("d"))
+    return x.withColumn("chi2", F.round(s, 4)).withColumn("p", F.round(2 * expression.upper_tail(F.sqrt(s)), 6))
 
 
 PER_OBJECT = f"{RINGS}, p AS (SELECT object_id, cell_type, ring, count(*) AS n FROM ringed WHERE ring <= 5 GROUP BY ALL), dens AS (SELECT *, n * 1e6 / (3.14159265 * 400 * (2 * ring - 1)) AS density FROM p)"
