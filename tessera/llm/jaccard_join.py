@@ -261,7 +261,7 @@ def link_sets(sets: list[np.ndarray], percent: int, silent: int = 0) -> list[int
 
 
 def star_links(key: np.ndarray, at: np.ndarray, pivots: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """(set, pivot) for all sets that are similar to one of the few pivots among them."""
+    """(set, pivot) for all sets that are similar to one of the few pivots among them, as a pivot is to itself."""
     out, sizes = [], np.diff(at)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     for p in pivots.tolist():
@@ -269,7 +269,7 @@ def star_links(key: np.ndarray, at: np.ndarray, pivots: np.ndarray, percent: int
         place = np.minimum(np.searchsorted(own, key), max(len(own) - 1, 0))
         both = np.bincount(owner[own[place] == key], minlength=len(sizes)) if len(own) else np.zeros(len(sizes), np.int64)
         linked = (both > 0) & ((100 + percent) * both >= percent * (sizes + len(own)))
-        out += [(k, p) for k in np.flatnonzero(linked).tolist() if k != p]
+        out += [(k, p) for k in np.flatnonzero(linked).tolist()]
     return out
 
 
@@ -403,7 +403,17 @@ def cluster(
         sets, rep, pivot = sets_of(t, "pivot")
         bounds = np.cumsum([0, *map(len, sets)])
         found = star_links(np.concatenate(sets), bounds, np.flatnonzero(pivot), percent) if sets else []
-        return pa.table({"a": pa.array([rep[k] for k, _ in found], pa.int64()), "b": pa.array([rep[p] for _, p in found], pa.int64())})
+        block = np.full(len(found), t.column("block")[0].as_py() if len(t) else 0, np.int64)
+        return pa.table({"block": pa.array(block), "a": pa.array([rep[k] for k, _ in found], pa.int64()), "b": pa.array([rep[p] for _, p in found], pa.int64())})
+
+    def united(t: pa.Table) -> pa.Table:
+        """The pivots of a block (a few) with the least one each is connected to through sets near to both."""
+        a, b = t.column("p").to_pylist(), t.column("q").to_pylist()
+        root = {x: x for x in (*a, *b)}
+        for _ in root:
+            for x, y in zip(a, b):
+                root[x] = root[y] = min(root[x], root[y])
+        return pa.table({"block": pa.array([t.column("block")[0].as_py()] * len(root), pa.int64()), "q": pa.array(list(root), pa.int64()), "c": pa.array(list(root.values()), pa.int64())})
 
     def join(t: pa.Table) -> pa.Table:
         sets, rep, probing = sets_of(t, "probing")
@@ -424,10 +434,14 @@ def cluster(
         to_all = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell")
         one = F.pmod(h, F.col("parts")).cast("int").alias("cell")
         stars = chosen.select("block", to_all, "f1", "f2", "rep", F.lit(True).alias("pivot")).unionByName(crowd.select("block", one, "f1", "f2", "rep", F.lit(False).alias("pivot")))
-        near = stage(with_texts(stars).groupBy("block", "cell").applyInArrow(star, "a long, b long").distinct(), "jaccard-stars")
-        joined = stage(components(near), "jaccard-joined")
-        crowd = crowd.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
+        near = stage(with_texts(stars).groupBy("block", "cell").applyInArrow(star, "block long, a long, b long").distinct(), "jaccard-stars")
+        to = near.groupBy("block", "a").agg(F.min("b").alias("p"), F.collect_set("b").alias("qs"))  # a few pivots each
+        pairs = to.select("block", "p", F.explode("qs").alias("q")).distinct()
+        roots = pairs.groupBy("block").applyInArrow(united, "block long, q long, c long")
+        joined = to.select("block", F.col("a").alias("rep"), F.col("p").alias("q")).join(roots, ["block", "q"]).select("block", "rep", "c")
+        crowd = crowd.join(joined, ["block", "rep"], "left").withColumn("c", F.coalesce("c", "rep"))
         crowd = stage(crowd, "jaccard-crowd")
+        near = near.select("a", "b")
         hubs = crowd.groupBy("block", "c").agg(F.count("*").alias("k")).groupBy("block").agg(F.max(F.struct("k", "c"))["c"].alias("hub"))
         rest = crowd.join(hubs, "block").where("c <> hub")
         parts = rest.groupBy("block").agg(F.ceil(F.sum("n") / (block_shingles / 2)).cast("int").alias("own"))
