@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Shuffle files go as soon as the job that wrote them has ended, rows per Arrow batch stay small for long texts.
@@ -89,6 +89,29 @@ def workspace(spark: SparkSession):
 _OPEN: list[list[str]] = []
 
 
+def ranked(rows: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """rows with `name`, their number from 0 in their group by the order (nulls first), and `name`_of, how many rows the group has.
+
+    Rows are dealt by ranges of (groups, order) and written in that order with their places; a place less the group's first one in
+    its partition, plus the group's rows in partitions before, is the number. So no group, however large, has to fit a task: what one task sees
+    of all of it is a row for each partition. Give an order without ties, or rows that tie come in any order.
+    """
+    at, part, first, before, total = (fresh(rows, c) for c in ("at", "part", "first", "before", "total"))
+    placed = rows.repartitionByRange(*groups, *order) if groups or order else rows
+    placed = stage(placed.sortWithinPartitions(*groups, *order).withColumn(at, F.monotonically_increasing_id()), "ranked")
+    pid = F.shiftright(at, 33)
+    sizes = placed.groupBy(*groups, pid.alias(part)).agg(F.min(at).alias(first), F.count("*").alias(total))
+    whole = Window.partitionBy(*groups)
+    earlier = whole.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*groups, part, first, F.coalesce(F.sum(total).over(earlier), F.lit(0)).alias(before), F.sum(total).over(whole).alias(total))
+    sizes = stage(sizes, "ranges").select(*[F.col(c).alias(f"{part}{k}") for k, c in enumerate(groups)], part, first, before, total)
+    same = F.col(part) == pid
+    for k, c in enumerate(groups):
+        same = same & F.col(c).eqNullSafe(F.col(f"{part}{k}"))
+    out = placed.join(sizes, same)
+    return out.select(*rows.columns, (F.col(at) - F.col(first) + F.col(before)).alias(name), F.col(total).alias(f"{name}_of"))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a long, b long): rows (node long, component long), the component being the
     smallest node reached. Nodes without an edge to another node don't appear; nulls are left out.

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, language_id, line_dedup, packing, pii, quality_classifier, quality_rules, suffix_dedup, url_filters
+from tessera.llm import decontamination, jaccard_join, language_id, line_dedup, merkle, packing, periodic_runs, pii, quality_classifier, quality_rules, sharding, suffix_dedup, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,9 +152,118 @@ SELECT d.doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(1
 """
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def crc32_of_id() -> Column:
+    """The unsigned CRC-32 of the decimal doc_id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of each document, and the root its siblings give after a third of the texts were lower-cased."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(crc32_of_id() % 3 == 0, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    out = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], changed={"text": tampered})
+    out = out.withColumn("proof_sha256", merkle.digest(merkle.siblings(F.col("path")))).withColumn("folded_root", merkle.folded(F.col("changed_leaf"), F.col("path")))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _crc_sql(of_bytes: str) -> str:
+    """DuckDB: the CRC-32 of a list of bytes (UBIGINT), by the sums of the remainders of each byte's bits."""
+    bits = [0xEDB88320]
+    for _ in range(7):
+        bits.insert(0, bits[0] >> 1 ^ (0xEDB88320 if bits[0] & 1 else 0))
+    table = "0::UBIGINT"
+    for k, v in enumerate(bits):
+        table = f"xor({table}, ((xor(c, b) >> {k}) & 1) * {v}::UBIGINT)"
+    return f"xor(list_reduce([4294967295::UBIGINT] || {of_bytes}, lambda c, b: xor(c >> 8, {table})), 4294967295::UBIGINT)"
+
+
+CRC_OF_ID = _crc_sql("list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)")
+
+
+def _leaf_sql(text: str) -> str:
+    field = lambda v: f"coalesce(strlen({v}::VARCHAR)::VARCHAR || ':' || {v}::VARCHAR, '-')"
+    return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || lang, '') AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+  {_leaf_sql('text')} AS leaf, CASE WHEN {CRC_OF_ID} % 3 = 0 THEN {_leaf_sql(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf_sql('text')} END AS changed FROM documents),
+l(g, level, i, n, h) AS (SELECT g, 0, i, n, leaf FROM d UNION ALL SELECT g, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM l WHERE n > 1 GROUP BY g, level, i // 8, n),
+s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM l WHERE n = 1),
+t(level, i, n, h) AS (SELECT 0, i, n, subroot FROM s UNION ALL SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY level, i // 8, n),
+steps AS (
+  SELECT g, 0 AS tier, level, p.i, string_agg(q.h, '' ORDER BY q.i) FILTER (WHERE q.i < p.i) AS a, string_agg(q.h, '' ORDER BY q.i) FILTER (WHERE q.i > p.i) AS b
+  FROM l p JOIN l q USING (g, level) WHERE p.n > 1 AND p.i // 8 = q.i // 8 GROUP BY ALL
+  UNION ALL SELECT '', 1, level, p.i, string_agg(q.h, '' ORDER BY q.i) FILTER (WHERE q.i < p.i), string_agg(q.h, '' ORDER BY q.i) FILTER (WHERE q.i > p.i)
+  FROM t p JOIN t q USING (level) WHERE p.n > 1 AND p.i // 8 = q.i // 8 GROUP BY ALL),
+f(doc_id, g, leaf, subroot, tier, level, i, n, top_i, top_n, proof, h) AS (
+  SELECT doc_id, d.g, leaf, subroot, 0, 0, d.i, d.n, s.i, s.n, '', changed FROM d JOIN s USING (g)
+  UNION ALL SELECT doc_id, f.g, leaf, subroot, CASE WHEN f.n = 1 THEN 1 ELSE f.tier END, CASE WHEN f.n = 1 THEN 0 ELSE f.level + 1 END,
+    CASE WHEN f.n = 1 THEN top_i ELSE f.i // 8 END, CASE WHEN f.n = 1 THEN top_n ELSE (f.n + 7) // 8 END, top_i, top_n,
+    CASE WHEN f.n = 1 THEN proof ELSE proof || coalesce(a, '') || coalesce(b, '') END, CASE WHEN f.n = 1 THEN h ELSE sha256(coalesce(a, '') || h || coalesce(b, '')) END
+  FROM f LEFT JOIN steps x ON x.tier = f.tier AND x.level = f.level AND x.i = f.i AND x.g = CASE WHEN f.tier = 0 THEN f.g ELSE '' END WHERE f.n > 1 OR f.tier = 0)
+SELECT doc_id, leaf, subroot, (SELECT h FROM t WHERE n = 1) AS root, sha256(proof) AS proof_sha256, h AS folded_root, h = (SELECT h FROM t WHERE n = 1) AS verified FROM f WHERE tier = 1 AND n = 1
+"""
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in one of 40 shards that hold the sources in the same proportions, their counts of rows at most one apart."""
+    out = sharding.assign(table(spark, sf_dir, "documents"), n_shards=40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+OP12_SQL = rf"""
+WITH d AS (SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b AS (SELECT doc_id, source, length(x) // 2 + 16 AS size, {_crc_sql("list_transform(regexp_extract_all(x, '..'), lambda h: ('0x' || h)::UBIGINT)")} AS text_crc32 FROM d),
+r AS (SELECT *, ((row_number() OVER (PARTITION BY source ORDER BY md5('{sharding.SEED}:' || coalesce(doc_id::VARCHAR, '')), doc_id, text_crc32) - 1)::DOUBLE
+  + ('0x' || substr(md5('{sharding.SEED}:' || coalesce(source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE) / (count(*) OVER (PARTITION BY source))::DOUBLE AS part FROM b),
+p AS (SELECT *, row_number() OVER (ORDER BY part, source NULLS FIRST) - 1 AS p, count(*) OVER () AS n FROM r)
+SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, (p * 40 // n)::INT AS shard, row_number() OVER (PARTITION BY p * 40 // n ORDER BY p) - 1 AS slot, NULL::INT AS grown_shard, source FROM p
+"""
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in each document, a tenth of them with a tail that was made periodic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = crc32_of_id()
+    planted = docs.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD}+)"), 1)))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    planted = planted.withColumn("n", n).withColumn("a", (g % F.greatest("n", F.lit(1))).cast("int"))
+    planted = planted.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    text = F.when(F.col("n") > 0, F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")).otherwise(F.col("text"))
+    found = periodic_runs.with_runs(planted.select("doc_id", text.alias("text")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    out = found.withColumn("best", best)
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.l")).alias("length"), F.col("best.period").alias("period"),
+        F.expr("-1000 * best.l div best.period").alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+OP13_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS ws, {CRC_OF_ID} AS h FROM documents),
+e AS (SELECT doc_id, ws, h, len(ws) AS n, (h // 10)::BIGINT AS g, ((h // 10) % greatest(len(ws), 1))::BIGINT AS a FROM d),
+w AS (SELECT doc_id, i, CASE WHEN h % 10 = 0 AND i >= a THEN ws[1 + a + (i - a) % (1 + (n - a) // (3 + g % 8))] ELSE ws[i + 1] END AS w FROM (SELECT *, unnest(range(n)) AS i FROM e)),
+s AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.w = y.w AND x.i < y.i),
+z AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM s) GROUP BY doc_id, q, k HAVING count(*) >= q AND count(*) + q >= 12),
+r AS (SELECT * FROM z WHERE NOT EXISTS (FROM z o WHERE o.doc_id = z.doc_id AND o.q < z.q AND o.s <= z.s AND o.s + o.l >= z.s + z.l)),
+best AS (SELECT doc_id, count(*) AS n_runs, arg_min({{'s': s, 'l': l, 'q': q}}, (-l, s, q)) AS b, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM r),
+k AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.q AS period, 1000 * b.l // b.q AS exponent_milli, sha256(coalesce(best.t, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op7_url_filters, op8_suffix_dedup, op9_pii, op10_line_dedup, rule_counts, url_rules, line_copies)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_quality_rules, op4_jaccard_join, op5_language_id, op6_decontamination, op7_url_filters, op8_suffix_dedup, op9_pii, op10_line_dedup, op11_merkle_manifest, op12_sharding, op13_periodic_runs, rule_counts, url_rules, line_copies)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": OP4_SQL, "op8_suffix_dedup": OP8_SQL, "rule_counts": RULE_COUNTS_SQL, "url_rules": URL_RULES_SQL, "line_copies": LINE_COPIES_SQL}
+    return {"op4_jaccard_join": OP4_SQL, "op8_suffix_dedup": OP8_SQL, "op11_merkle_manifest": OP11_SQL, "op12_sharding": OP12_SQL, "op13_periodic_runs": OP13_SQL, "rule_counts": RULE_COUNTS_SQL, "url_rules": URL_RULES_SQL, "line_copies": LINE_COPIES_SQL}
