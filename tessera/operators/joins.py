@@ -47,8 +47,9 @@ def bucket_join(left: DataFrame, right: DataFrame, left_xy: tuple[str, str], rig
     return joined.where((lx - rx) * (lx - rx) + (ly - ry) * (ly - ry) <= radius * radius).drop("__gx", "__gy")
 
 
-def nearest(points: DataFrame, sites: DataFrame, xy: tuple[str, str], site_xy: tuple[str, str], site: str, cell: int = 256, extent: int = 2048) -> DataFrame:
-    """points' columns with the nearest site (the smaller id where there are ties) and its squared distance.
+def nearest(points: DataFrame, sites: DataFrame, xy: tuple[str, str], site_xy: tuple[str, str], site: str, cell: int = 256, extent: int = 2048, keys: tuple[str, ...] = ()) -> DataFrame:
+    """points' columns with the nearest site (the smaller id where there are ties) and its squared distance; with `keys`, the nearest one of
+    the same keys, and no row for a point whose keys have no site.
 
     Sites are dealt to a grid of `cell` wide cells. Each cell of the extent keeps the sites that can be nearest to any of its points:
     those no farther from the cell than its farthest corner is from the site that is nearest to that; a point then compares with its
@@ -58,7 +59,7 @@ def nearest(points: DataFrame, sites: DataFrame, xy: tuple[str, str], site_xy: t
     spark = points.sparkSession
     n = -(-extent // cell)
     grid = spark.range(n * n).select((F.col("id") % n).alias("__gx"), F.expr(f"id div {n}").alias("__gy"))
-    s = sites.select(F.col(site).alias("__s"), F.col(site_xy[0]).alias("__sx"), F.col(site_xy[1]).alias("__sy"))
+    s = sites.select(*keys, F.col(site).alias("__s"), F.col(site_xy[0]).alias("__sx"), F.col(site_xy[1]).alias("__sy"))
     low = lambda g: F.col(g) * cell
     gap = lambda c, g: F.greatest(low(g) - F.col(c), F.col(c) - (low(g) + cell - 1), F.lit(0))
     far = lambda c, g: F.greatest(F.abs(F.col(c) - low(g)), F.abs(F.col(c) - (low(g) + cell - 1)))
@@ -66,12 +67,13 @@ def nearest(points: DataFrame, sites: DataFrame, xy: tuple[str, str], site_xy: t
     both = s.join(F.broadcast(grid)).select(
         "*", (gap("__sx", "__gx") ** 2 + gap("__sy", "__gy") ** 2).alias("__near"), (far("__sx", "__gx") ** 2 + far("__sy", "__gy") ** 2).alias("__far")
     )
-    bound = both.groupBy("__gx", "__gy").agg(F.min("__far").alias("__bound"))
-    able = both.join(bound, ["__gx", "__gy"]).where(F.col("__near") <= F.col("__bound")).select("__gx", "__gy", "__s", "__sx", "__sy")
+    place = [*keys, "__gx", "__gy"]
+    bound = both.groupBy(*place).agg(F.min("__far").alias("__bound"))
+    able = both.join(bound, place).where(F.col("__near") <= F.col("__bound")).select(*keys, "__gx", "__gy", "__s", "__sx", "__sy")
     x, y = F.col(xy[0]), F.col(xy[1])
     inside = lambda c: F.least(F.greatest(F.floor(c / cell), F.lit(0)), F.lit(n - 1))
     d2 = ((x - F.col("__sx")) * (x - F.col("__sx")) + (y - F.col("__sy")) * (y - F.col("__sy"))).alias("d2")
-    joined = points.withColumn("__gx", inside(x)).withColumn("__gy", inside(y)).join(able, ["__gx", "__gy"])
+    joined = points.withColumn("__gx", inside(x)).withColumn("__gy", inside(y)).join(able, place)
     best = joined.groupBy(*points.columns).agg(F.min(F.struct(d2, F.col("__s").alias(site))).alias("b"))
     return best.select(*points.columns, F.col(f"b.{site}").alias(site), F.col("b.d2").alias("d2"))
 

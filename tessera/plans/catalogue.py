@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tessera.plans import assignment, barcodes, expression, geometry, kernels, pixels, records, spatial, volumes  # noqa: F401  each registers its queries
+from tessera.plans import assignment, barcodes, expression, geometry, kernels, pixels, records, registration, spatial, structures, volumes  # noqa: F401  each registers its queries
 from tessera.plans.registry import QUERIES, SQL
 
 

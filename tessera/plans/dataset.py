@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import barcodes as bc
 from tessera.operators import images as im
-from tessera.operators import kernels
+from tessera.operators import kernels, registration
 
 
 @dataclass(frozen=True)
@@ -93,6 +93,16 @@ class Dataset:
         inside = F.col("y").between(0, self.height - 1) & F.col("x").between(0, self.width - 1) & (F.col("z") >= 0) & (F.col("z") < F.col("__nz"))
         return replace(self, images=moved.where(inside).drop("__nz"))
 
+    def local_shifts(self, ref_round: int, channel: int | None = None, **options) -> DataFrame:
+        """fov, round, z, y, x, dz, dy, dx: the displacement of each voxel to where its own round has what the reference round has there (see
+        registration.local_field for the options)."""
+        return registration.local_field(self.images, ref_round, self.height, self.width, channel, **options)
+
+    def register_locally(self, field: DataFrame) -> Dataset:
+        """All channels of each round with a field of displacements taken from where it points to."""
+        v = registration.warp(self.images, field, self.height, self.width)
+        return replace(self, images=v.withColumn("v", F.rint("v").cast("long")))
+
     def find_spots(self, ref_round: int, threshold: float = 0.2, adaptive: bool = True) -> Dataset:
         """Regional maxima of the reference round's volumes above a share of their channel's largest value, or of 255; a plateau is one
         spot at its centre."""

@@ -138,3 +138,25 @@ def expr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EXPR = "expr AS (SELECT seg_label, gene, count(*) AS n FROM reads WHERE seg_label > 0 GROUP BY ALL)"
+
+
+#: Height and width of a slide.
+SLIDE = 128
+
+
+def slides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Larger images: 256 of the 8 x 8 ones side by side, the last slide without some: slide, y, x, v."""
+    return voxels(spark, sf_dir).select(
+        F.expr("img div 256").alias("slide"), (F.expr("img % 256 div 16") * 8 + F.col("y")).alias("y"), (F.col("img") % 16 * 8 + F.col("x")).alias("x"), "v"
+    )
+
+
+SLIDES = "slides AS (SELECT img // 256 AS slide, img % 256 // 16 * 8 + y AS y, img % 16 * 8 + x AS x, v FROM voxels)"
+
+
+def slide_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells on two slides: seg_label, cell_type, slide, y, x."""
+    return cells(spark, sf_dir).select("seg_label", "cell_type", (F.col("seg_label") % 2).alias("slide"), F.expr("y div 16").alias("y"), F.expr("x div 16").alias("x"))
+
+
+SLIDE_CELLS = "slide_cells AS (SELECT seg_label, cell_type, seg_label % 2 AS slide, y // 16 AS y, x // 16 AS x FROM cells)"
