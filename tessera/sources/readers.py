@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import struct
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources import tiff
+
 READS = "x int, y int, z int, gene string"
 
 
@@ -56,36 +58,14 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tiff_pages(data: bytes) -> Iterator[np.ndarray]:
-    """The pages of a TIFF or BigTIFF file of uncompressed grey values in strips, one at a time."""
-    order = "<" if data[:2] == b"II" else ">"
-    big = struct.unpack(order + "H", data[2:4])[0] == 43
-    at = struct.unpack(order + ("Q" if big else "I"), data[8:16] if big else data[4:8])[0]
-    head, size, inline = ("Q", 20, 8) if big else ("H", 12, 4)
-    width = {1: 1, 3: 2, 4: 4, 16: 8}
-    code = {1: "B", 3: "H", 4: "I", 16: "Q"}
-    while at:
-        n = struct.unpack_from(order + head, data, at)[0]
-        base, tags = at + struct.calcsize(head), {}
-        for k in range(n):
-            tag, kind = struct.unpack_from(order + "HH", data, base + k * size)
-            count = struct.unpack_from(order + ("Q" if big else "I"), data, base + k * size + 4)[0]
-            place = base + k * size + (12 if big else 8)
-            if kind not in width:
-                continue
-            if width[kind] * count > inline:
-                place = struct.unpack_from(order + ("Q" if big else "I"), data, place)[0]
-            tags[tag] = struct.unpack_from(f"{order}{count}{code[kind]}", data, place)
-        if tags.get(259, (1,))[0] != 1:
-            raise ValueError("only uncompressed TIFF files are read")
-        raw = b"".join(data[o : o + c] for o, c in zip(tags[273], tags[279]))
-        bits = tags.get(258, (8,))[0]
-        yield np.frombuffer(raw, f"{order}u{bits // 8}")[: tags[257][0] * tags[256][0]].reshape(tags[257][0], tags[256][0])
-        at = struct.unpack_from(order + ("Q" if big else "I"), data, base + n * size)[0]
+    """The pages of a TIFF file, one at a time."""
+    for _, page in tiff.pages(io.BytesIO(data)):
+        yield page
 
 
 def read_stacks(spark: SparkSession, path: str, convert_uint8: bool = False) -> DataFrame:
     """Pixels of image stacks <round>/<fov>/<name>.tif: path, round, fov_id, channel, z, y, x, v. Files are spread over tasks; a task holds
-    a file and gives it out page by page."""
+    a file and gives it out page by page. For files beyond 2 GB and for some of a file's pages there is tiff.read_pages."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").option("recursiveFileLookup", "true").load(path)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources import tiff
+
 
 def write_reads(reads: DataFrame, path: str, fields: list[str] | None = ("x", "y", "z", "gene"), by: str = "fov_id") -> None:
     """Reads as CSV, a folder for each field of view; fields None keeps all columns."""
@@ -25,35 +25,30 @@ def write_samples(table: DataFrame, path: str, sample: str = "sample_id") -> Non
     table.write.partitionBy(sample).mode("overwrite").parquet(path)
 
 
-def tiff_bytes(pages: list[np.ndarray]) -> bytes:
-    """A TIFF file of grey pages, uncompressed, one strip a page."""
-    out, links = bytearray(struct.pack("<2sHI", b"II", 42, 0)), [4]
-    for page in pages:
-        page = np.ascontiguousarray(page)
-        data = page.astype(page.dtype.newbyteorder("<")).tobytes()
-        start = len(out)
-        out += data + b"\0" * (len(data) % 2)
-        at = len(out)
-        struct.pack_into("<I", out, links[-1], at)
-        tags = [(256, page.shape[1]), (257, page.shape[0]), (258, page.dtype.itemsize * 8), (259, 1), (262, 1), (273, start), (277, 1), (278, page.shape[0]), (279, len(data))]
-        out += struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", t, 4, 1, v) for t, v in tags)
-        links.append(len(out))
-        out += struct.pack("<I", 0)
-    return bytes(out)
+def tiff_bytes(pages: list[np.ndarray], compress: str | None = None) -> bytes:
+    """A TIFF file of grey pages, one strip a page."""
+    return tiff.encode(pages, compress)
+
 
+def page_of(g, height: int, width: int, kind: str) -> np.ndarray:
+    """A page from its pixels; values that its type can't hold are an error."""
+    v = g.v.to_numpy()
+    a = np.zeros((height, width), kind)
+    cast = v.astype(kind)
+    if a.dtype.kind in "ui" and not (cast == v).all():
+        raise ValueError(f"values that {a.dtype} can't hold: choose another type of page")
+    a[g.y.to_numpy(int), g.x.to_numpy(int)] = cast
+    return a
 
-def stacks(pixels: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and tiff: each stack of pixels (z, y, x, v) as the bytes of a TIFF file, to be written as any table."""
+
+def stacks(pixels: DataFrame, keys: list[str], kind: str = "u2", compress: str | None = None) -> DataFrame:
+    """keys and tiff: each stack of pixels (z, y, x, v) as the bytes of a TIFF file (pages of numpy's type `kind`), to be written as any table."""
 
     def run(p):
         import pandas as pd
 
-        pages = []
-        for _, g in sorted(p.groupby("z")):
-            a = np.zeros((int(p.y.max()) + 1, int(p.x.max()) + 1), np.uint16)
-            a[g.y.to_numpy(int), g.x.to_numpy(int)] = g.v.to_numpy(int)
-            pages.append(a)
-        return pd.DataFrame([{**{k: p[k].iloc[0] for k in keys}, "tiff": tiff_bytes(pages)}])
+        pages = [page_of(g, int(p.y.max()) + 1, int(p.x.max()) + 1, kind) for _, g in sorted(p.groupby("z"))]
+        return pd.DataFrame([{**{k: p[k].iloc[0] for k in keys}, "tiff": tiff_bytes(pages, compress)}])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pixels.select(*keys).schema) + ", tiff binary"
     return pixels.groupBy(*keys).applyInPandas(run, schema)
@@ -69,26 +64,26 @@ def write_scores(scores: DataFrame, path: str) -> None:
     scores.write.mode("append").csv(path, header=True, nullValue="")
 
 
-def write_stacks(pixels: DataFrame, keys: list[str], path: str, name: str, height: int, width: int) -> None:
-    """Each stack of pixels (keys, z, y, x, v) as a TIFF file under a folder that executors share, its name formatted from the keys; what is
-    there is written over. A stack is a group, and its file is complete before it gets its name, so that a task may run twice."""
+def write_stacks(pixels: DataFrame, keys: list[str], path: str, name: str, height: int, width: int, kind: str = "u2", compress: str | None = None) -> None:
+    """Each stack of pixels (keys, z, y, x, v) as a TIFF file (pages of numpy's type `kind`, compressed by "lzw" or "deflate" if asked) under a
+    folder or store that executors share, its name formatted from the keys; what is there is written over. A stack is a group, and its file
+    is complete before it gets its name, so that a task may run twice."""
+    uri = path if "://" in path else f"file://{path}"
 
     def run(p):
-        import os
+        import uuid
 
         import pandas as pd
-
-        pages = []
-        for _, g in sorted(p.groupby("z")):
-            a = np.zeros((height, width), np.uint16)
-            a[g.y.to_numpy(int), g.x.to_numpy(int)] = g.v.to_numpy(int)
-            pages.append(a)
-        file = os.path.join(path, name.format(**{k: p[k].iloc[0] for k in keys}))
-        os.makedirs(os.path.dirname(file), exist_ok=True)
-        part = f"{file}.{os.getpid()}"
-        with open(part, "wb") as f:
-            f.write(tiff_bytes(pages))
-        os.replace(part, file)
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(uri)
+        pages = [page_of(g, height, width, kind) for _, g in sorted(p.groupby("z"))]
+        file = f"{root}/{name.format(**{k: p[k].iloc[0] for k in keys})}"
+        fs.create_dir(file.rsplit("/", 1)[0], recursive=True)
+        part = f"{file}.{uuid.uuid4().hex}"
+        with fs.open_output_stream(part) as f:
+            f.write(tiff_bytes(pages, compress))
+        fs.move(part, file)
         return pd.DataFrame({"file": [file]})
 
     pixels.groupBy(*keys).applyInPandas(run, "file string").write.format("noop").mode("overwrite").save()
