@@ -23,7 +23,7 @@ _NAMED = r"""(?i:password|passwd|secret(?:[_-]?access)?(?:[_-]?key)?|token|api[_
 _SECRET = r"(?!(?:[0-9A-Fa-f]{40}|AKIA[0-9A-Z]{16})(?![0-9A-Za-z]))(?=[A-Za-z0-9+/_.~@!#$%^*-]{6})(?:[+/_.~@!#$%^*-]*+[A-Za-z0-9]++)++"
 #: Kinds with their patterns; of kinds that fit at one place the first is taken.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![\p{L}\p{M}0-9._%+-])[\p{L}\p{M}0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "secret": _NAMED + _SECRET + r"|(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "hex": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{40}(?![0-9A-Za-z])",
     "phone": r"(?:\+\d{1,3}[ .-]?)?(?<!\d)\(\d{3}\)[ -]?\d{3}-\d{4}(?!\d)|(?<![\d.+-])(?:\+\d{1,3}[ .-]?)?(?:\d{3}-\d{3}-\d{4}|[2-9]\d{2}(?:\.[2-9]\d{2}\.| [2-9]\d{2} )\d{4})(?![\d-])"
@@ -36,7 +36,18 @@ PATTERNS = {
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,4}|\d{4}(?:-\d{4}){2}-\d{1,4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
 }
 KINDS = [*PATTERNS, "none"]
-_ANY = "|".join(PATTERNS.values())
+#: The patterns joined, so that at one place the first that fits is taken, but asked only for kinds that can begin with the character there.
+_ANY = "|".join(
+    [
+        PATTERNS["email"],
+        "(?=[0-9+(])(?:" + "|".join(PATTERNS[k] for k in ("hex", "phone", "ipv6", "ip", "date", "number", "card")) + ")",
+        "(?=[AaPpSsTt])(?:" + PATTERNS["secret"] + ")",
+        "(?=[A-Za-z])(?<![0-9A-Za-z])(?:" + "|".join(PATTERNS[k] for k in ("hex", "iban", "ipv6")) + ")",
+        "(?=[A-Z])(?:" + PATTERNS["date"] + ")",
+    ]
+)
+#: What every match of a pattern holds: a digit, or else an address's sign or a secret's name.
+_HOLDS = r"[0-9@]|(?=[AaPpSsTt])(?i:passw|secret|token|api[_-]?key|akia)"
 #: Days from this one on: 288 * 256 of them, to November 2101. Those before it are permuted among themselves, back to April 1496.
 _EPOCH, _DAYS = "1900-01-01", (288, 256)
 _FORMER, _FORMER_DAYS = "1496-04-12", (288, 512)
@@ -291,7 +302,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
     secret, matched, replaced = (fresh(docs, n) for n in ("secret", "found", "new"))
     docs = docs.withColumn(secret, docs.sparkSession.createDataFrame([(key,)], "k string").scalar())
     key = F.col(secret)
-    found = F.regexp_extract_all(F.col(text), F.lit(_ANY), F.lit(0))
+    found = F.when(F.col(text).rlike(_HOLDS), F.regexp_extract_all(F.col(text), F.lit(_ANY), F.lit(0)))
     has = docs.select(*columns, secret, F.coalesce(found, F.array().cast("array<string>")).alias(matched))
     matches = F.transform(matched, lambda v: F.struct(v.alias("v"), kind_of(v).alias("k")))
     # one row's matches are few; a text is only split where there are any

@@ -233,3 +233,28 @@ def test_chunks_of_the_sample_come_from_whole_texts(spark):
     assert {lang for lang, _ in rows} == {"a", "b"} and [c for lang, c in rows if lang == "b"] == [b"short"]
     mine = sorted(c for lang, c in rows if lang == "a")
     assert len(mine) == 40 and mine[0] == b"a" * 48 and mine[-1] == b"t" * 48 and len({c[0] for c in mine}) == 20
+
+
+#: What each pattern may repeat, in front of and behind it what makes it go on: a megabyte of it must neither end the task nor take long.
+LONG = {
+    "dots": ("x@", "a.", "com"), "name": ("", "a.", "@b.de"), "signs": ("token=", "a-", "a"), "marks": ("token=", "/", "a"), "letters": ("x@", "a", ".de"), "secret": ("secret: ", "ab1", ""),
+    "at": ("", "@", ""), "names": ("", "token", ""), "ids": ("", "AKIA", ""), "hex": ("", "0f", ""), "digits": ("", "7", ""), "octets": ("", "1.", "1"), "groups": ("", "1234 ", "1"),
+    "colons": ("", "a:", ":1"), "account": ("DE12", " ABCD", ""), "plus": ("+", "1 ", "2"), "brackets": ("", "(", "123) 456-7890"), "dates": ("", "12.", ""), "months": ("", "May ", "1, 2020"),
+    "dashes": ("", "123-", "4567"), "accents": ("", "\u00fc", "@b.de"),
+}
+
+
+def test_pii_of_long_repetitive_texts(spark):
+    texts = {k: head + middle * (1_000_000 // len(middle)) + end for k, (head, middle, end) in LONG.items()}
+    d = spark.createDataFrame([(k, text + tail) for k, text in texts.items() for tail in ("", " a@b.de")] + [("short", "mail me: a@b.de")], "doc_id string, text string").repartition(8)
+    out = [(r.doc_id, r.text, r.pii) for r in pii.pseudonymise(d, "key").collect()]
+    assert len(out) == 2 * len(texts) + 1 and [n for k, _, n in out if k == "short"] == [{"email": 1}]
+    assert all(abs(len(t) - len(texts[k])) <= 7 + 9 for k, t, _ in out if k != "short")  # a date's month may be longer or shorter
+    assert all(n.get("email", 0) >= 1 for k, t, n in out if t.endswith("@b.de"))
+
+
+def test_pii_of_names_beyond_ascii(spark):
+    d = spark.createDataFrame([(1, "an j\u00fcrgen@firma.de und j\u00fcrgen@firma.de; xj\u00fcrgen@firma.de")], "doc_id long, text string")
+    (r,) = pii.pseudonymise(d, "key").collect()
+    a, b, c = re.findall(r"\S+@firma.de", r.text)
+    assert a == b != c and r.pii == {"email": 3} and "rgen" not in r.text and not a.startswith("j\u00fc")
