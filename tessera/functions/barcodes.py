@@ -53,12 +53,13 @@ def segments(colors: Column, cuts: list[int]) -> Column:
 
 def call_color(values: Column) -> Column:
     """struct(color, score) of one value for each channel: the channel (from 1) of the largest value of the vector scaled to
-    unit length, and minus its logarithm; ties are called M with an infinite score."""
+    unit length, and minus its logarithm; ties are called M, and values of which one is no number N, with an infinite score."""
     norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, v: a + v * v)) + 1e-6
     top = F.array_max(values)
     single = F.size(F.filter(values, lambda v: v == top)) == 1
-    color = F.when(single, F.array_position(values, top).cast("string")).otherwise("M")
-    return F.struct(color.alias("color"), F.when(single, -F.log(top / norm)).otherwise(F.lit(float("inf"))).alias("score"))
+    none = F.exists(values, lambda v: v.isNull() | F.isnan(v))
+    color = F.when(none, "N").when(single, F.array_position(values, top).cast("string")).otherwise("M")
+    return F.struct(color.alias("color"), F.when(single & ~none, -F.log(top / norm)).otherwise(F.lit(float("inf"))).alias("score"))
 
 
 def fov_name(number: Column) -> Column:

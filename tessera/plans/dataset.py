@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import barcodes as bc
 from tessera.operators import images as im
-from tessera.operators import kernels, registration
+from tessera.operators import joins, kernels, registration, stitch
+from tessera.sources import sinks
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,7 @@ class Dataset:
     calls: DataFrame | None = None
     codebook: DataFrame | None = None
     reads: DataFrame | None = None
+    scores: DataFrame | None = None
 
     KEYS = ("fov", "round", "channel", "z")
 
@@ -38,9 +40,10 @@ class Dataset:
         t = im.top_hat(self.images, list(self.KEYS), "v", radius, self.height, self.width)
         return replace(self, images=t.select(*self.KEYS, "y", "x", F.col("tophat").alias("v")))
 
-    def project(self) -> Dataset:
+    def project(self, how: str = "max") -> Dataset:
+        """Each channel's largest values over its planes, or their sums."""
         keys = list(self.KEYS[:3])
-        p = self.images.groupBy(*keys, "y", "x").agg(F.max("v").alias("v"))
+        p = self.images.groupBy(*keys, "y", "x").agg({"max": F.max, "sum": F.sum}[how]("v").alias("v"))
         return replace(self, images=p.withColumn("z", F.lit(0).cast("long")).select(*self.KEYS, "y", "x", "v"))
 
     @classmethod
@@ -112,21 +115,24 @@ class Dataset:
         spot = F.xxhash64("fov", "channel", "z", "y", "x").alias("spot_id")
         return replace(self, spots=m.select(spot, "fov", "channel", "z", "y", "x", "v"))
 
-    def extract(self, dy: int = 1, dx: int = 1) -> Dataset:
-        """The colour of every spot in every round, from the sums of the channels around it, and all of them as one string."""
+    def extract(self, dy: int = 2, dx: int = 2, dz: int = 1) -> Dataset:
+        """The colour of every spot in every round, from the sums of the channels over so many voxels to each side of it inside the image, and
+        all of them as one string; N where a sum isn't a number, M where two are the largest."""
         rounds = self.images.select("round").distinct()
-        at = self.spots.select("spot_id", "fov", "z", "y", "x").crossJoin(rounds)
-        sums = self._sums(at, dy, dx)
+        at = self.spots.select("spot_id", "fov", "z", "y", "x").crossJoin(F.broadcast(rounds))  # a run's rounds
+        sums = self._sums(at, dy, dx, dz)
         call = bc.call_color(F.transform(F.array_sort(F.collect_list(F.struct("channel", "s"))), lambda c: c["s"]))
         called = sums.groupBy("spot_id", "fov", "z", "y", "x", "round").agg(call.alias("c"))
         seq = called.groupBy("spot_id", "fov", "z", "y", "x").agg(F.array_sort(F.collect_list(F.struct("round", "c"))).alias("r"))
         text = F.array_join(F.transform("r", lambda r: r["c"]["color"]), "").alias("color_seq")
         return replace(self, calls=seq.select("spot_id", "fov", "z", "y", "x", text, F.transform("r", lambda r: r["c"]["score"]).alias("scores")))
 
-    def _sums(self, at: DataFrame, dy: int, dx: int) -> DataFrame:
-        box = at.withColumn("by", F.explode(F.sequence(F.col("y") - dy, F.col("y") + dy))).withColumn("bx", F.explode(F.sequence(F.col("x") - dx, F.col("x") + dx)))
-        v = self.images.select("fov", "round", "channel", "z", F.col("y").alias("by"), F.col("x").alias("bx"), "v")
-        joined = box.join(v, ["fov", "round", "z", "by", "bx"])
+    def _sums(self, at: DataFrame, dy: int, dx: int, dz: int) -> DataFrame:
+        box = at
+        for axis, reach in (("z", dz), ("y", dy), ("x", dx)):
+            box = box.withColumn(f"b{axis}", F.explode(F.sequence(F.col(axis) - reach, F.col(axis) + reach)))
+        v = self.images.select("fov", "round", "channel", *[F.col(c).alias(f"b{c}") for c in "zyx"], "v")
+        joined = box.join(v, ["fov", "round", "bz", "by", "bx"])
         return joined.groupBy("spot_id", "fov", "z", "y", "x", "round", "channel").agg(F.sum("v").cast("double").alias("s"))
 
     def load_codebook(self, codebook: DataFrame, reverse: bool = True, split: int | None = None) -> Dataset:
@@ -137,7 +143,53 @@ class Dataset:
             book = book.withColumn("color_seq", bc.split_rotate(F.col("color_seq"), split))
         return replace(self, codebook=book.groupBy("color_seq").agg(F.max("gene").alias("gene")))
 
-    def filter_reads(self) -> Dataset:
-        """Spots without doubtful colours whose string is a gene's."""
+    def filter_reads(self, end_bases: list[str] | None = None, cuts: list[int] | None = None) -> Dataset:
+        """Spots without doubtful colours whose string is a gene's. With the first and last base of barcodes (such as ["CC"]), `scores` has for each
+        field how many spots have good colours (total) and the shares of them in the codebook (in_codebook) and with bases that begin and end so
+        (form_1, form_2 and so on), and reads in the codebook for each of the right form (per_form_1 ...). With cuts, colours are read in segments
+        (see barcodes.segments) and the k-th pair of bases is asked of the k-th segment. Fields without good spots have no scores."""
         good = self.calls.where(~F.col("color_seq").rlike("[NM]"))
-        return replace(self, reads=good.join(self.codebook, "color_seq").select("fov", "x", "y", "z", "gene", "spot_id"))
+        out = replace(self, reads=good.join(self.codebook, "color_seq").select("fov", "x", "y", "z", "gene", "spot_id"))
+        if not end_bases:
+            return out
+        calls = good.groupBy("fov", "color_seq").agg(F.count("*").alias("n"))  # equal colours are decoded once
+        colors = bc.segments(F.col("color_seq"), cuts) if cuts else F.array(*[F.col("color_seq")] * len(end_bases))
+        rows = calls.join(self.codebook.select("color_seq", F.lit(True).alias("hit")).distinct(), "color_seq", "left")
+        rows = rows.withColumn("s", colors)
+        number = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+        total, hit = F.sum("n"), number(F.coalesce("hit", F.lit(False)))
+        shares = [total.alias("total"), (hit / total).alias("in_codebook")]
+        for k, ends in enumerate(end_bases, 1):
+            bases = bc.decode_colors(F.get("s", F.lit(k - 1)), ends[0])
+            form = number(F.coalesce(bases.startswith(ends[0]) & bases.endswith(ends[1]), F.lit(False)))
+            shares.append((form / total).alias(f"form_{k}"))
+            if not cuts:
+                shares.append(F.try_divide(hit, form).alias(f"per_form_{k}"))
+        return replace(out, scores=rows.groupBy("fov").agg(*shares))
+
+    def save_signal(self, path: str, slot: str = "goodSpots", fields: list[str] | str = ("x", "y", "z", "gene")) -> None:
+        """The reads (goodSpots) or all spots with their colours (allSpots) as CSV, a folder for each field of view; fields "all" keeps all columns."""
+        table = {"goodSpots": self.reads, "allSpots": self.calls if self.calls is not None else self.spots}[slot]
+        table = table.select(*[F.concat_ws(";", c).alias(c) if kind.startswith("array") else F.col(c) for c, kind in table.dtypes])
+        wanted = None if fields == "all" else [c for c in fields if c in table.columns]
+        sinks.write_reads(table, path, wanted, "fov")
+
+    def subtiles(self, pieces: int = 4, ratio: float = 0.1) -> DataFrame:
+        """The images cut into pieces by pieces overlapping tiles (see stitch.subtiles): fov, t, round, channel, z, y, x within the tile, v."""
+        grid = stitch.subtiles(self.images.sparkSession, self.height, self.width, pieces, ratio)
+        rows = grid.select("ind_x", (F.col("scoords_x") - 1).alias("y0"), (F.col("ecoords_x") - 1).alias("y1")).distinct()
+        columns = grid.select("ind_y", (F.col("scoords_y") - 1).alias("x0"), (F.col("ecoords_y") - 1).alias("x1")).distinct()
+        v = joins.interval_join(self.images, rows, "y", "y0", "y1")
+        v = joins.interval_join(v, columns, "x", "x0", "x1")
+        t = (F.col("ind_x") * pieces + F.col("ind_y") + 1).alias("t")
+        return v.select("fov", t, "round", "channel", "z", (F.col("y") - F.col("y0")).alias("y"), (F.col("x") - F.col("x0")).alias("x"), "v")
+
+    def save_subtiles(self, path: str, pieces: int = 4, ratio: float = 0.1) -> None:
+        """The tiles as Parquet, a folder for each field and tile, from which each can be gone on with by itself."""
+        self.subtiles(pieces, ratio).repartition("fov", "t").write.partitionBy("fov", "t").mode("overwrite").parquet(path)
+
+    @classmethod
+    def load_subtile(cls, spark: SparkSession, path: str, fov: int, t: int) -> Dataset:
+        """A saved tile as a dataset of its own; only its folder is read."""
+        v = spark.read.parquet(path).where((F.col("fov") == fov) & (F.col("t") == t)).withColumn("fov", F.col("fov").cast("long"))
+        return cls.load(v.drop("t"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import cells as cell_ops
-from tessera.operators import joins
+from tessera.operators import clustering, joins
 from tessera.plans import assignment
 from tessera.plans.registry import query
 from tessera.sources import fixtures as fx
@@ -154,12 +154,12 @@ def sample_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.interval_join(p, ranges(spark, sf_dir), "fov", "a", "b").join(links, "name").select("sample_id", "name", "sx", "sy", "linked")
 
 
-@query(f"""WITH {fx.VOXELS}, g AS (SELECT c_custkey AS place, CASE WHEN c_custkey % 6 = 0 THEN 0 ELSE c_custkey END AS id FROM customer WHERE c_custkey <= 400), px AS (SELECT unnest(range(64)) AS p)
+@query(f"""WITH {fx.VOXELS}, g AS (SELECT c_custkey AS place, CASE WHEN c_custkey % 6 = 0 THEN 0 ELSE c_custkey END AS id FROM customer), px AS (SELECT unnest(range(64)) AS p)
 SELECT g.place, count(*) AS pixels, sum(coalesce(v.v, 0))::BIGINT AS total FROM g CROSS JOIN px LEFT JOIN voxels v ON v.img = g.id AND g.id > 0 AND v.y * 8 + v.x = px.p GROUP BY g.place""")
 def grid_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The images of a grid's places, a blank one where there is none."""
     k = F.col("c_custkey")
-    g = fx.table(spark, sf_dir, "customer").where("c_custkey <= 400").select(k.alias("place"), F.when(k % 6 == 0, 0).otherwise(k).alias("img"))
+    g = fx.table(spark, sf_dir, "customer").select(k.alias("place"), F.when(k % 6 == 0, 0).otherwise(k).alias("img"))
     v = fx.voxels(spark, sf_dir).where("img > 0").select("img", (F.col("y") * 8 + F.col("x")).alias("p"), "v")
     dense = g.withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long"))))
     return dense.join(v, ["img", "p"], "left").groupBy("place").agg(F.count("*").alias("pixels"), F.sum(F.coalesce("v", F.lit(0))).alias("total"))
@@ -197,3 +197,34 @@ def density_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = windows(spark, sf_dir)
     full = s.groupBy("fov", "wx", "wy").agg(F.count("*").alias("n")).where("n >= 5").drop("n")
     return cell_ops.density_peaks(s.join(full, ["fov", "wx", "wy"]), ["fov", "wx", "wy"], "id", ("x", "y"), 50).select("fov", "id", "cell")
+
+
+CLUSTER = clustering.Clustering()
+Z = "spots AS (SELECT fov, l_orderkey * 8 + l_linenumber AS id, min(x - 1) AS x, min(y - 1) AS y, min(z) AS z FROM reads GROUP BY ALL)"
+PEAKS = f"""{fx.READS}, {Z}, near AS (SELECT a.fov, a.id, count(*) - 1 AS near FROM spots a JOIN spots b ON a.fov = b.fov AND b.x BETWEEN a.x - 50 AND a.x + 50 AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 2500 GROUP BY ALL),
+q AS (SELECT fov, quantile_cont(near, 0.1) AS q FROM near GROUP BY fov), s AS (SELECT spots.* FROM spots JOIN near USING (fov, id) JOIN q USING (fov) WHERE near >= q),
+pair AS (SELECT a.fov, a.id AS a, b.id AS b, 100 * ((a.x - b.x) ** 2 + (a.y - b.y) ** 2) + 2500 * (a.z - b.z) ** 2 AS d FROM s a JOIN s b ON a.fov = b.fov AND b.x BETWEEN a.x - 50 AND a.x + 50 WHERE 100 * ((a.x - b.x) ** 2 + (a.y - b.y) ** 2) + 2500 * (a.z - b.z) ** 2 <= 250000),
+rho AS (SELECT fov, a AS id, count(*) AS rho FROM pair GROUP BY ALL),
+up AS (SELECT p.fov, p.a AS id, arg_min(p.b, (p.d, p.b)) AS up FROM pair p JOIN rho x ON x.fov = p.fov AND x.id = p.a JOIN rho y ON y.fov = p.fov AND y.id = p.b WHERE y.rho > x.rho OR (y.rho = x.rho AND p.b < p.a) GROUP BY ALL),
+led(fov, id, cell) AS (SELECT fov, id, id FROM rho ANTI JOIN up USING (fov, id) UNION ALL SELECT u.fov, u.id, l.cell FROM led l JOIN up u ON u.fov = l.fov AND u.up = l.id),
+found AS (SELECT fov, id, cell FROM (SELECT *, count(*) OVER (PARTITION BY fov, cell) AS n FROM led) WHERE n >= 5)"""
+
+
+def spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = fx.reads(spark, sf_dir).groupBy("fov", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
+    return r.agg((F.min("x") - 1).alias("x"), (F.min("y") - 1).alias("y"), F.min("z").alias("z"))
+
+
+@query(f"WITH RECURSIVE {PEAKS} SELECT spots.fov, spots.id, near < q AS is_noise, coalesce(cell, -1) AS cell FROM spots JOIN near USING (fov, id) JOIN q USING (fov) LEFT JOIN found ON found.fov = spots.fov AND found.id = spots.id")
+def clustered_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each field's reads grouped around their peaks of density in three dimensions, cells on windows' edges being one; -1 for noise and for
+    cells of fewer than five reads."""
+    return clustering.cells(spots(spark, sf_dir), ["fov"], "id", CLUSTER)
+
+
+@query(f"WITH RECURSIVE {PEAKS} SELECT f.fov, f.cell, count(*) AS reads, round(avg(x), 6) AS \"column\", round(avg(y), 6) AS \"row\", round(avg(z), 6) AS z_axis FROM found f JOIN spots USING (fov, id) GROUP BY ALL")
+def cluster_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The centres of the cells that reads were grouped to."""
+    s = spots(spark, sf_dir)
+    c = clustering.centers(s, clustering.cells(s, ["fov"], "id", CLUSTER), ["fov"], "id")
+    return c.select("fov", "cell", "reads", *[F.round(n, 6).alias(n) for n in ("column", "row", "z_axis")])

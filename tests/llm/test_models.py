@@ -240,7 +240,7 @@ LONG = {
     "dots": ("x@", "a.", "com"), "name": ("", "a.", "@b.de"), "signs": ("token=", "a-", "a"), "marks": ("token=", "/", "a"), "letters": ("x@", "a", ".de"), "secret": ("secret: ", "ab1", ""),
     "at": ("", "@", ""), "names": ("", "token", ""), "ids": ("", "AKIA", ""), "hex": ("", "0f", ""), "digits": ("", "7", ""), "octets": ("", "1.", "1"), "groups": ("", "1234 ", "1"),
     "colons": ("", "a:", ":1"), "account": ("DE12", " ABCD", ""), "plus": ("+", "1 ", "2"), "brackets": ("", "(", "123) 456-7890"), "dates": ("", "12.", ""), "months": ("", "May ", "1, 2020"),
-    "dashes": ("", "123-", "4567"), "accents": ("", "\u00fc", "@b.de"),
+    "dashes": ("", "123-", "4567"), "accents": ("", "\u00fca", "@b.de"),
 }
 
 
