@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import communities, distributions, sparse
 from tessera.operators import expression as ops
 from tessera.plans.registry import query
 from tessera.sources import fixtures as fx
@@ -218,3 +219,57 @@ def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = wide.select("seg_label", *[F.col(f"`{g}`").alias(f"g{k}") for k, g in enumerate(panel)])
     v = VectorAssembler(inputCols=wide.columns[1:], outputCol="features").transform(wide).select("seg_label", "features")
     return PCA(k=min(10, len(panel)), inputCol="features", outputCol="pc").fit(v).transform(v).select("seg_label", vector_to_array("pc").alias("pc"))
+
+
+@query(f"""{NORM}, {fx.CELLS}, typed AS (SELECT cell_type, gene, v FROM norm JOIN cells USING (seg_label)), sizes AS (SELECT cell_type, count(*) AS m FROM cells WHERE seg_label IN (SELECT seg_label FROM expr) GROUP BY ALL),
+a AS (SELECT cell_type, gene, sum(v) AS s, sum(v * v) AS q FROM typed GROUP BY ALL), b AS (SELECT a.*, m, (SELECT sum(m) FROM sizes) - m AS m2, sum(s) OVER (PARTITION BY gene) - s AS s2, sum(q) OVER (PARTITION BY gene) - q AS q2 FROM a JOIN sizes USING (cell_type)),
+e AS (SELECT cell_type, gene, s / m - s2 / m2 AS gap, (q - s * s / m) / (m - 1) / m AS e1, (q2 - s2 * s2 / m2) / (m2 - 1) / m2 AS e2, m, m2 FROM b)
+SELECT cell_type, gene, round(gap / sqrt(e1 + e2), 4) AS t, round((e1 + e2) ** 2 / (e1 * e1 / (m - 1) + e2 * e2 / (m2 - 1)), 3) AS df FROM e""")
+def marker_welch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Welch's t and its degrees of freedom of each gene in each cell type against all other cells, from logarithms of normalised counts."""
+    return markers(spark, sf_dir).select("cell_type", "gene", F.round("t", 4).alias("t"), F.round("df", 3).alias("df"))
+
+
+def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = ops.normalise(table(spark, sf_dir), "seg_label", "n", 10000.0).select("seg_label", "gene", F.col("log_norm").alias("v"))
+    typed = fx.cells(spark, sf_dir).select("seg_label", "cell_type")
+    sizes = typed.join(v.select("seg_label").distinct(), "seg_label", "left_semi").groupBy("cell_type").agg(F.count("*").alias("m"))
+    sizes = sizes.crossJoin(F.broadcast(sizes.agg(F.sum("m").alias("all"))))  # one row
+    a = v.join(typed, "seg_label").groupBy("cell_type", "gene").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q")).join(sizes, "cell_type")
+    gene = Window.partitionBy("gene")
+    a = a.select("*", (F.col("all") - F.col("m")).alias("m2"), *[(F.sum(c).over(gene) - F.col(c)).alias(f"{c}2") for c in "sq"])
+    error = lambda k: (F.col(f"q{k}") - F.col(f"s{k}") * F.col(f"s{k}") / F.col(f"m{k}")) / (F.col(f"m{k}") - 1) / F.col(f"m{k}")
+    a = a.withColumn("e", error("")).withColumn("e2", error("2"))
+    both = F.col("e") + F.col("e2")
+    t = F.try_divide(F.col("s") / F.col("m") - F.col("s2") / F.col("m2"), F.when(both > 0, F.sqrt(both)))
+    df = F.try_divide(both * both, F.col("e") * F.col("e") / (F.col("m") - 1) + F.col("e2") * F.col("e2") / (F.col("m2") - 1))
+    return a.select("cell_type", "gene", t.alias("t"), df.alias("df"))
+
+
+@query()
+def marker_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five genes that most set each cell type apart, with the probability of a t as large either way."""
+    w = Window.partitionBy("cell_type").orderBy(F.desc("t"), "gene")
+    top = markers(spark, sf_dir).withColumn("k", F.row_number().over(w)).where("k <= 5")
+    return top.select("cell_type", "gene", F.round("t", 4).alias("t"), F.round(2 * distributions.t_tail(F.abs("t"), F.col("df")), 8).alias("p"))
+
+
+@query()
+def cell_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Communities of the cells: a graph of the fifteen nearest of every cell's ten components, and moves of modularity on it."""
+    v = pca(spark, sf_dir)
+    near = ops.nearest_vectors(v, v, "seg_label", "pc", 15).select("q", "b", F.sqrt("d").alias("d"))
+    return communities.communities(communities.neighbour_graph(near), 0.7, max_turns=12).withColumnsRenamed({"node": "seg_label"})
+
+
+@query(f"""{E} SELECT seg_label, gene, cell_type, n::BIGINT AS n FROM expr JOIN (SELECT c_custkey + 1 AS seg_label, nullif(c_mktsegment, 'BUILDING') AS cell_type FROM customer) USING (seg_label)""")
+def stored_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count matrix out of compressed columns, with each cell's type out of codes (none for one that isn't a category)."""
+    entries, pointers = sparse.to_columns(table(spark, sf_dir), "seg_label", "gene", "n")
+    long = sparse.from_columns(entries, pointers)
+    kinds = ["AUTOMOBILE", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    code = F.coalesce(F.array_position(F.array(*map(F.lit, kinds)), F.col("cell_type")), F.lit(0)).cast("int") - 1
+    cells = fx.cells(spark, sf_dir).select(F.col("seg_label").alias("row"), code.alias("code"))
+    names = spark.createDataFrame(list(enumerate(kinds)), "code int, name string")
+    typed = sparse.categories(cells, "code", names, "cell_type").drop("code")
+    return long.join(typed, "row").select(F.col("row").alias("seg_label"), F.col("col").alias("gene"), "cell_type", F.col("value").cast("long").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.operators import expression, joins
+from tessera.operators import distributions, expression, joins
 from tessera.operators import spatial as ops
 from tessera.plans.registry import query
 from tessera.sources import fixtures as fx
@@ -107,6 +107,19 @@ def t_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("cell_type", "ring", "k", F.round(t, 4).alias("t"), F.when(F.col("m") > F.col("mean"), "greater").otherwise("less").alias("side"))
 
 
+@query(f"""{PER_OBJECT}, o AS (SELECT cell_type, avg(density) AS mean FROM dens GROUP BY cell_type), s AS (SELECT cell_type, ring, avg(density) AS m, stddev_samp(density) AS sd, count(*) AS k FROM dens GROUP BY ALL),
+t AS (SELECT cell_type, ring, k, (m - mean) / (sd / sqrt(k)) AS t, m > mean AS up FROM s JOIN o USING (cell_type) WHERE k > 1 AND sd > 0)
+SELECT cell_type, ring, CASE WHEN up THEN 'greater' ELSE 'less' END AS side, round(greatest({distributions.t_tail_sql("abs(t)", "(k - 1)")}, 0.0), 8) AS p FROM t""")
+def t_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of a mean as far on its side as each ring's, by Student's distribution; rings with one density or equal ones have none."""
+    d = densities(spark, sf_dir)
+    o = d.groupBy("cell_type").agg(F.avg("density").alias("mean"))
+    s = d.groupBy("cell_type", "ring").agg(F.avg("density").alias("m"), F.stddev_samp("density").alias("sd"), F.count("*").alias("k")).join(o, "cell_type")
+    s = s.where("k > 1 and sd > 0").withColumn("t", (F.col("m") - F.col("mean")) / (F.col("sd") / F.sqrt("k")))
+    p = distributions.t_tail(F.abs("t"), (F.col("k") - 1).cast("double"))
+    return s.select("cell_type", "ring", F.when(F.col("m") > F.col("mean"), "greater").otherwise("less").alias("side"), F.round(p, 8).alias("p"))
+
+
 @query(f"""{PER_OBJECT}, q AS (SELECT cell_type, quantile_cont(density, 0.99) AS top FROM dens GROUP BY cell_type) SELECT cell_type, count(*) AS k, round(max(density), 4) AS largest FROM dens JOIN q USING (cell_type) WHERE density <= top GROUP BY cell_type""")
 def trim_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Densities without those above the 99th percentile of their type."""
@@ -115,6 +128,22 @@ def trim_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(q, "cell_type").where("density <= top").groupBy("cell_type").agg(F.count("*").alias("k"), F.round(F.max("density"), 4).alias("largest"))
 
 
+DENSE = f"{PER_OBJECT}, dense AS (SELECT o.object_id, t.cell_type, k AS ring, coalesce(density, 0) AS density FROM objects o CROSS JOIN (SELECT DISTINCT cell_type FROM cells) t CROSS JOIN range(1, 6) r(k) LEFT JOIN dens d ON d.object_id = o.object_id AND d.cell_type = t.cell_type AND d.ring = k)"
+
+
+@query(f"""{DENSE}, q AS (SELECT cell_type, ring, CASE WHEN count(*) FILTER (density = 0) < 0.99 * count(*) THEN quantile_cont(density, 0.99) END AS top FROM dense GROUP BY ALL)
+SELECT cell_type, ring, count(*) AS k, round(avg(density), 6) AS mean FROM dense JOIN q USING (cell_type, ring) WHERE top IS NULL OR density <= top GROUP BY ALL""")
+def trim_unless_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Densities of all structures, those without cells as 0, less those above the 99th percentile of their type and ring, unless 99 of a hundred
+    are 0."""
+    types = fx.cells(spark, sf_dir).select("cell_type").distinct()
+    every = fx.objects(spark, sf_dir).select("object_id").crossJoin(F.broadcast(types)).withColumn("ring", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(5).cast("long"))))  # a catalogue's types
+    d = every.join(densities(spark, sf_dir), ["object_id", "cell_type", "ring"], "left").withColumn("density", F.coalesce("density", F.lit(0.0)))
+    top = F.when(F.count_if(F.col("density") == 0) < 0.99 * F.count("*"), F.percentile("density", 0.99)).alias("top")
+    q = d.groupBy("cell_type", "ring").agg(top)
+    return d.join(q, ["cell_type", "ring"]).where("top is null or density <= top").groupBy("cell_type", "ring").agg(F.count("*").alias("k"), F.round(F.avg("density"), 6).alias("mean"))
+
+
 @query(f"""{RINGS}, w AS (SELECT cell_type, nullif(count(*) FILTER (WHERE ring = 1), 0) AS r1, nullif(count(*) FILTER (WHERE ring = 2), 0) AS r2, nullif(count(*) FILTER (WHERE ring = 3), 0) AS r3 FROM ringed GROUP BY cell_type)
 SELECT cell_type, ring, n FROM w UNPIVOT (n FOR ring IN (r1, r2, r3))""")
 def melt_density(spark: SparkSession, sf_dir: str) -> DataFrame:
