@@ -76,6 +76,29 @@ def compartment_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaffold.join(got, ["seg_label", "layer"], "left").select("seg_label", "layer", *[F.coalesce(c, zero).alias(c) for c in ("area", "cx", "cy")])
 
 
+LAYERS = f"""{fx.READS}, layers AS (SELECT seg_label, gene, CASE WHEN z % 2 = 0 THEN 'nucleus' ELSE 'cytoplasm' END AS layer FROM reads UNION ALL SELECT seg_label, gene, 'whole' FROM reads)"""
+
+
+def layered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.when(F.col("z") % 2 == 0, "nucleus").otherwise("cytoplasm")
+    return fx.reads(spark, sf_dir).withColumn("layer", F.explode(F.array(F.lit("whole"), part)))
+
+
+@query(f"WITH {LAYERS} SELECT layer, seg_label, gene, count(*) AS n FROM layers WHERE seg_label > 0 GROUP BY ALL")
+def compartment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads of each gene in each cell's compartments (zeros left out)."""
+    return layered(spark, sf_dir).where("seg_label > 0").groupBy("layer", "seg_label", "gene").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {LAYERS}, t AS (SELECT count(*) AS total FROM reads) SELECT layer, count(*) FILTER (WHERE seg_label > 0) AS assigned, any_value(total) AS total, count(DISTINCT seg_label) FILTER (WHERE seg_label > 0) AS cells, round(100.0 * count(*) FILTER (WHERE seg_label > 0) / any_value(total), 2) AS percent FROM layers, t GROUP BY layer")
+def compartment_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of all reads that lie in the cells' compartments, and the cells that have any there."""
+    v = layered(spark, sf_dir)
+    total = v.where("layer = 'whole'").agg(F.count("*").alias("total"))
+    own = v.groupBy("layer").agg(F.count_if(F.col("seg_label") > 0).alias("assigned"), F.count_distinct(F.when(F.col("seg_label") > 0, F.col("seg_label"))).alias("cells"))
+    return own.crossJoin(F.broadcast(total)).select("layer", "assigned", "total", "cells", F.round(100.0 * F.col("assigned") / F.col("total"), 2).alias("percent"))  # one row
+
+
 @query(f"""WITH {fx.READS}, {fx.ANNOTATION} SELECT sample_id || '_Position' || lpad(fov::VARCHAR, 3, '0') || '_' || seg_label AS unique_index, sample_id, fov, seg_label, count(*) AS n
 FROM reads LEFT JOIN annotation ON fov BETWEEN fov_start AND fov_end WHERE seg_label > 0 GROUP BY ALL""")
 def sample_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +143,18 @@ def barcode_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.remap(r, "seg_label", ["k", "seg_label"], "barcode", ["fov"]).select("fov", "seg_label", "barcode").distinct()
 
 
+@query(f"""WITH {fx.READS}, f AS (SELECT fov, seg_label, min(l_orderkey * 100000 + l_partkey) AS k FROM reads WHERE seg_label > 0 GROUP BY ALL)
+SELECT fov, seg_label, row_number() OVER (ORDER BY fov, k, seg_label) AS barcode FROM f""")
+def barcode_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells numbered through all fields: each field goes on from the number of cells in the fields before it. The window over fields sees a row for
+    each field."""
+    own = barcode_remap(spark, sf_dir)
+    fields = own.groupBy("fov").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("fov").rowsBetween(Window.unboundedPreceding, -1))
+    offset = fields.select("fov", F.coalesce(before, F.lit(0)).alias("offset"))
+    return own.join(offset, "fov").select("fov", "seg_label", (F.col("barcode") + F.col("offset")).alias("barcode"))
+
+
 @query(f"""WITH {fx.READS} SELECT gene, dense_rank() OVER (ORDER BY gene) AS code, n FROM (SELECT gene, count(*) AS n FROM reads GROUP BY gene)""")
 def gene_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Genes numbered from 1 in alphabetical order; the window sees one row for each gene."""
