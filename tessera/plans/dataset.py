@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import barcodes as bc
 from tessera.operators import images as im
-from tessera.operators import joins, kernels, registration, stitch
+from tessera.operators import fourier, joins, kernels, registration, stitch
 from tessera.sources import sinks
 
 
@@ -66,14 +66,24 @@ class Dataset:
         far = v.agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w")).first()  # two numbers
         return cls(v, far["h"] or 0, far["w"] or 0)
 
-    def shifts(self, ref_round: int, channel: int | None = None, scale: int = 1) -> DataFrame:
+    def shifts(self, ref_round: int, channel: int | None = None, scale: int = 1, strip: int | None = None) -> DataFrame:
         """fov, round, dz, dy, dx: the circular shift that brings each round's volume onto the reference round's, by Fourier transforms of one
-        channel, or of the channels' largest values; at 1 / scale of the size, the shift is scaled up again. A field and round is a group."""
+        channel, or of the channels' largest values; at 1 / scale of the size, the shift is scaled up again. A field and round is a group, or with
+        `strip` so many of its rows or columns are, for volumes beyond a task's memory."""
         v = self.images if channel is None else self.images.where(F.col("channel") == channel)
         block = lambda c: F.floor(F.col(c) / scale).cast("long").alias(c)
         v = v.groupBy("fov", "round", "z", block("y"), block("x")).agg((F.max("v") if channel is None else F.avg("v")).cast("double").alias("v"))
         ref = v.where(F.col("round") == ref_round).drop("round")
         shape = (-(-self.height // scale), -(-self.width // scale))
+        if strip:
+            depth = (v.agg(F.max("z")).first()[0] or 0) + 1  # one number
+            rounds = v.select("fov", "round").distinct()
+            fixed = ref.join(rounds, "fov").select("fov", "round", "z", "y", "x", F.col("v").alias("fixed"), F.lit(0.0).alias("moving"))
+            both = fixed.unionByName(v.select("fov", "round", "z", "y", "x", F.lit(0.0).alias("fixed"), F.col("v").alias("moving")))
+            both = both.groupBy("fov", "round", "z", "y", "x").agg(F.sum("fixed").alias("fixed"), F.sum("moving").alias("moving"))
+            known = ref.select("fov").distinct()
+            out = fourier.shifts(both.join(known, "fov", "left_semi"), ["fov", "round"], "fixed", "moving", (depth, *shape), strip)
+            return out.select("fov", "round", "dz", *[(F.col(c) * scale).alias(c) for c in ("dy", "dx")])
 
         def run(p: pd.DataFrame) -> pd.DataFrame:
             moving, fixed = p[~p.fixed], p[p.fixed]

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import registration, tiles
+from tessera.operators import fourier, registration, tiles
 from tessera.plans.registry import query
 from tessera.sources import fixtures as fx
 
@@ -51,3 +51,14 @@ def registration_gain(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = registration.warp(v.where("round = 2"), field, fx.SLIDE, fx.SLIDE, 64).drop("round")
     after = registration.gap(moved, first, ["fov"]).withColumnRenamed("gap", "after")
     return before.join(after, "fov").select("fov", F.round("before", 4).alias("before"), F.round("after", 4).alias("after"))
+
+
+@query(f"""WITH {fx.VOXELS}, a AS (SELECT fov, channel, y, x, v FROM voxels), p AS (SELECT a.fov, b.channel, (a.y - b.y + 8) % 8 AS dy, (a.x - b.x + 8) % 8 AS dx, abs(sum(a.v * b.v))::BIGINT AS s FROM a JOIN a b ON b.fov = a.fov AND b.channel > 0 WHERE a.channel = 0 GROUP BY ALL),
+r AS (SELECT fov, channel, dy, dx, row_number() OVER (PARTITION BY fov, channel ORDER BY s DESC, dy, dx) AS k FROM p)
+SELECT fov, channel, CASE WHEN dy < 4 THEN dy ELSE dy - 8 END AS dy, CASE WHEN dx < 4 THEN dx ELSE dx - 8 END AS dx FROM r WHERE k = 1""")
+def fft_register_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shift of each channel of a field against its first, by Fourier transforms in strips of three rows or columns."""
+    v = fx.voxels(spark, sf_dir).select("fov", "channel", F.lit(0).cast("long").alias("z"), "y", "x", F.col("v").cast("double").alias("v"))
+    first = v.where("channel = 0").select("fov", "z", "y", "x", F.col("v").alias("fixed"))
+    both = v.where("channel > 0").withColumnRenamed("v", "moving").join(first, ["fov", "z", "y", "x"])
+    return fourier.shifts(both, ["fov", "channel"], "fixed", "moving", (1, 8, 8), 3).drop("dz")
