@@ -21,6 +21,8 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
 HIT = "item_id long, edits int, begin long, finish long"
+#: Hits of texts' q-grams with the index that are held at once, some 100 bytes each.
+HITS = 1 << 20
 
 
 def grams(data: np.ndarray, q: int) -> np.ndarray:
@@ -101,9 +103,22 @@ class Items:
         at, low, n, doc = at[inside], low[inside], n[inside], doc[inside]
         if not len(at):
             return out
+        # a text and an item may both repeat a q-gram many times: items are taken so many at once that the hits held stay bounded
+        parts = 1 + int(n.sum()) // HITS
+        for part in range(parts):
+            chosen = self.item % parts == part
+            before = np.concatenate([[0], np.cumsum(chosen)])
+            out += self._bands(data, off, at, doc, np.flatnonzero(chosen), before[low], before[low + n] - before[low])
+        return out
+
+    def _bands(self, data: np.ndarray, off: np.ndarray, at: np.ndarray, doc: np.ndarray, entries: np.ndarray, low: np.ndarray, n: np.ndarray) -> list:
+        """Hits of the positions `at` of the texts `doc` with the index's entries from low on, n each."""
+        out: list = []
         # one row for each hit of a document's position with an item's run: it counts in the bands from `first` to `last`
         row = np.repeat(np.arange(len(at)), n)
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(row))
+        if not len(row):
+            return out
+        entry = entries[np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(row))]
         item, doc = self.item[entry].astype(np.int64), doc[row]
         wide = self.edits[item] + 1
         first = (at[row] - self.high[entry]) // wide - 1  # bands of two widths overlap by one
@@ -122,8 +137,8 @@ class Items:
         for x, y in zip(begins.tolist(), ends.tolist()):
             d, i = divmod(int(pair[x]), len(self.ids))
             w = int(self.edits[i]) + 1
-            low, high = int(edge[x]) * w - int(off[d]), (int(edge[y]) + 1) * w - int(off[d])
-            hit = self._best(data[off[d] : off[d + 1]], low, high, i)
+            low_, high = int(edge[x]) * w - int(off[d]), (int(edge[y]) + 1) * w - int(off[d])
+            hit = self._best(data[off[d] : off[d + 1]], low_, high, i)
             if hit:
                 out.append((d, i, *hit))
         return out
