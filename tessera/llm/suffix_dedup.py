@@ -99,6 +99,10 @@ def merge(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np
     return doc[first], a[first], reach[last] - doc[first] * far
 
 
+#: Bytes of phrases in one Arrow array, and rows of shards that a task holds before it settles them.
+PART, HELD = 1 << 30, 20_000
+
+
 def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_column: str = "doc_id", crowd: int = 2_000) -> DataFrame:
     """(doc_id, begin, finish): byte ranges covered by strings of `length` bytes that also start in a document of smaller id;
     ranges may overlap. A trigger with more than `crowd` phrases counts as crowded."""
@@ -184,48 +188,54 @@ def removed_spans(docs: DataFrame, length: int = 50, text: str = "text", id_colu
                 begin = np.concatenate([begin[~strings], start[keep]])
                 size = np.concatenate([size[~strings], np.full(int(keep.sum()), length, size.dtype)])
                 trigger = np.concatenate([trigger[~strings], one[keep]])
-            at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            place = np.repeat(off[doc] + begin - at[:-1], size) + np.arange(at[-1])
-            # settled spans have no bytes, and no shard to share
-            at = np.concatenate([at, np.full(len(gone[0]), at[-1], np.int32)])
-            raw = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data[place]))])
-            alone = tx.mix(ids[gone[0]].astype(np.uint64) + tx.mix(gone[1].astype(np.uint64))).view(np.int64)
-            settled = np.concatenate([np.zeros(len(doc), np.int32), gone[2] - gone[1]]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([trigger, alone]).astype(np.int64)), pa.array(ids[np.concatenate([doc, gone[0]])].astype(np.int64)),
-                    pa.array(np.concatenate([begin, gone[1]]).astype(np.int64)), raw, pa.array(settled),
-                ],
-                ["shard", "doc_id", "begin", "phrase", "settled"],
-            )
+            kinds = ["shard", "doc_id", "begin", "phrase", "settled"]
+            # so many phrases at a time that their bytes' places fit an Arrow array
+            part = np.cumsum(size, dtype=np.int64) // PART
+            for low, high in zip(*(np.searchsorted(part, np.unique(part), side) for side in ("left", "right"))):
+                at = np.concatenate([[0], np.cumsum(size[low:high])]).astype(np.int32)
+                place = np.repeat(off[doc[low:high]] + begin[low:high] - at[:-1], size[low:high]) + np.arange(at[-1])
+                raw = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data[place]))])
+                none = pa.array(np.zeros(high - low, np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(trigger[low:high].astype(np.int64)), pa.array(ids[doc[low:high]].astype(np.int64)), pa.array(begin[low:high].astype(np.int64)), raw, none], kinds)
+            if len(gone[0]):
+                # settled spans have no bytes, and no shard to share
+                alone = tx.mix(ids[gone[0]].astype(np.uint64) + tx.mix(gone[1].astype(np.uint64))).view(np.int64)
+                empty = pa.array([b""] * len(alone), pa.binary())
+                settled = pa.array((gone[2] - gone[1]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(alone), pa.array(ids[gone[0]].astype(np.int64)), pa.array(gone[1].astype(np.int64)), empty, settled], kinds)
 
     phrases_ = source.join(open_, "doc_id").select("doc_id", "text", "cuts").mapInArrow(dictionary, "shard long, doc_id long, begin long, phrase binary, settled int")
 
     def suffixes(batches):
-        """Spans of the strings that an earlier document has, from the suffix arrays of the shards; rows come in order of shards."""
+        """Spans of the strings that an earlier document has, from the suffix arrays of the shards; rows come in order of shards and documents. Of a
+        shard that goes on beyond what is held, only a row for each string's first document stays."""
         held: list = []
-        rows = 0
+        rows = stay = 0
         for b in batches:
             held.append(b)
             rows += b.num_rows
-            if rows >= 20_000:
+            if rows >= HELD + stay:
                 t = pa.Table.from_batches(held).combine_chunks()
                 shard = t.column("shard").to_numpy()
                 cut = int(np.searchsorted(shard, shard[-1]))  # the last shard may go on
                 if cut:
-                    yield later_spans(t.slice(0, cut), length)
-                    held = t.slice(cut).to_batches()
-                    rows = len(t) - cut
+                    yield later_spans(t.slice(0, cut), length)[0]
+                t = t.slice(cut)
+                if len(t) >= HELD:
+                    spans, first = later_spans(t, length)
+                    yield spans
+                    t = t.take(pa.array(first))
+                held, rows, stay = t.to_batches(), len(t), len(t)
         if held:
-            yield later_spans(pa.Table.from_batches(held).combine_chunks(), length)
+            yield later_spans(pa.Table.from_batches(held).combine_chunks(), length)[0]
 
-    edges = phrases_.repartition("shard").sortWithinPartitions("shard").mapInArrow(suffixes, "doc_id long, begin long, size int")
+    edges = phrases_.repartition("shard").sortWithinPartitions("shard", "doc_id").mapInArrow(suffixes, "doc_id long, begin long, size int")
     return shards.where("whole").select("doc_id", "begin", "size").unionByName(stage(edges, "suffix-edges"))
 
 
-def later_spans(t: pa.Table, length: int) -> pa.RecordBatch:
+def later_spans(t: pa.Table, length: int) -> tuple[pa.RecordBatch, np.ndarray]:
     """(doc_id, begin, size): the bytes of the phrases of t covered by strings of `length` bytes that a phrase of the same shard and a
-    smaller doc_id has, and the spans that are settled."""
+    smaller doc_id has, and the spans that are settled; and the rows that have a string first, one for each string."""
     settled = t.column("settled").to_numpy()
     column = t.column("phrase").combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
@@ -246,10 +256,11 @@ def later_spans(t: pa.Table, length: int) -> pa.RecordBatch:
     gone = order[later]
     which, s, e = merge(owner[gone], start[gone], start[gone] + length)
     own = np.flatnonzero(settled)
-    return pa.RecordBatch.from_arrays(
+    spans = pa.RecordBatch.from_arrays(
         [pa.array(np.r_[ids[which], ids[own]]), pa.array(np.r_[begin[which] + s - off[which], begin[own]]), pa.array(np.r_[e - s, settled[own]].astype(np.int32))],
         ["doc_id", "begin", "size"],
     )
+    return spans, np.unique(at[new])
 
 
 def dedup(docs: DataFrame, length: int = 50, text: str = "text", crowd: int = 2_000) -> DataFrame:
