@@ -273,3 +273,24 @@ def stored_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = spark.createDataFrame(list(enumerate(kinds)), "code int, name string")
     typed = sparse.categories(cells, "code", names, "cell_type").drop("code")
     return long.join(typed, "row").select(F.col("row").alias("seg_label"), F.col("col").alias("gene"), "cell_type", F.col("value").cast("long").alias("n"))
+
+
+CYCLE = {"s": ["Brand#11", "Brand#12", "Brand#13"], "g2m": ["Brand#31", "Brand#32", "Brand#33"]}
+BINS = 5
+
+
+@query(f"""{NORM}, panel AS (SELECT gene, ntile({BINS}) OVER (ORDER BY m, gene) AS bin FROM (SELECT gene, sum(v) AS m FROM norm GROUP BY gene)),
+sets(name, gene) AS (VALUES {", ".join(f"('{k}', '{g}')" for k, gs in CYCLE.items() for g in gs)}), own AS (SELECT name, gene, bin FROM sets JOIN panel USING (gene)),
+control AS (SELECT DISTINCT o.name, p.gene FROM own o JOIN panel p USING (bin) WHERE (o.name, p.gene) NOT IN (SELECT (name, gene) FROM own)),
+w AS (SELECT name, gene, 1.0::DOUBLE / count(*) OVER (PARTITION BY name) AS w FROM own UNION ALL SELECT name, gene, -1.0::DOUBLE / count(*) OVER (PARTITION BY name) FROM control),
+p AS (SELECT seg_label, round(coalesce(sum(v * w) FILTER (WHERE name = 's'), 0), 6) + 0 AS s, round(coalesce(sum(v * w) FILTER (WHERE name = 'g2m'), 0), 6) + 0 AS g2m FROM norm LEFT JOIN w USING (gene) GROUP BY seg_label)
+SELECT seg_label, s AS s_score, g2m AS g2m_score, CASE WHEN s < 0 AND g2m < 0 THEN 'G1' WHEN s >= g2m THEN 'S' ELSE 'G2M' END AS phase FROM p""")
+def cell_cycle_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of two gene sets, each against genes of like mean values, from logarithms of normalised counts, and the phase they mean."""
+    v = ops.normalise(table(spark, sf_dir), "seg_label", "n", 10000.0).select(F.col("seg_label").alias("cell"), "gene", F.col("log_norm").alias("v"))
+    sets = spark.createDataFrame([(k, g) for k, gs in CYCLE.items() for g in gs], "name string, gene string")
+    s = ops.gene_set_scores(v, v.select("cell").distinct(), sets, BINS)
+    one = lambda k: (F.round(F.max(F.when(F.col("name") == k, F.col("score"))), 6) + 0).alias(k)
+    wide = s.groupBy("cell").agg(one("s"), one("g2m"))
+    phase = F.when((F.col("s") < 0) & (F.col("g2m") < 0), "G1").when(F.col("s") >= F.col("g2m"), "S").otherwise("G2M")
+    return wide.select(F.col("cell").alias("seg_label"), F.col("s").alias("s_score"), F.col("g2m").alias("g2m_score"), phase.alias("phase"))

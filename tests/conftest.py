@@ -29,7 +29,7 @@ def duck():
     return c
 
 
-def rows(frame):
-    """A table's rows as sorted lists of text, by column name."""
-    columns = sorted(frame.columns)
-    return columns, sorted([str(v) for v in r] for r in frame[columns].itertuples(index=False))
+def rows(table):
+    """An Arrow table's rows as sorted lists of text, by column name."""
+    columns = sorted(table.column_names)
+    return columns, sorted([str(r[c]) for c in columns] for r in table.to_pylist())
