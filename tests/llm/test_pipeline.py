@@ -70,7 +70,7 @@ def test_query(spark, name):
         c = duckdb.connect()
         for t in ("documents", "pages"):
             c.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
-        assert rows(got) == rows(c.execute(queries.oracle_sql()[name]).arrow().read_all())
+        assert rows(got) == rows(c.execute(queries.oracle_sql()[name]).to_arrow_table())
 
 
 def test_stages_on_awkward_rows(spark, tmp_path):
