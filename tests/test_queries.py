@@ -9,7 +9,7 @@ def test_query(spark, duck, name):
     got = catalogue.queries()[name](spark, SF).toArrow()
     sql = catalogue.oracle_sql().get(name)
     if sql:
-        assert rows(got) == rows(duck.execute(sql).arrow().read_all())
+        assert rows(got) == rows(duck.execute(sql).to_arrow_table())
     else:
         assert got.num_rows > 0
 
