@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import cells, expression, joins, kernels, stitch
+from tessera.operators import cells, expression, joins, kernels, spatial, stitch
 from tessera.operators import images as im
-from tessera.sources import readers, sinks
+from tessera.sources import fixtures, readers, sinks
 
 
 def test_subtiles(spark):
@@ -248,3 +248,9 @@ def test_writers(spark, tmp_path):
     assert sorted((r.StageXPos, r.PositionID) for r in back.collect()) == [(1.5, "Position1"), (3.5, "Position2")]
     sinks.write_flags(spark, f"{tmp_path}/flags", ["stitch", "decode"])
     assert sinks.finished(spark, f"{tmp_path}/flags") == ["decode", "stitch"]
+
+
+def test_rank_sum_of_large_groups(spark):
+    d = spark.createDataFrame([("a", 1, True), ("a", 2, False)], "gene string, n long, near boolean")
+    r = expression.rank_sum(d, "gene", "n", "near", F.lit(900_000), F.lit(2_700_000)).first()
+    assert (r["n1"], r["n2"]) == (900_000, 2_700_000) and abs(r["u"] - 900_000 * 2_700_000 / 2) < 4e6
