@@ -174,7 +174,7 @@ SELECT name, round(x + abs(min(x) OVER ()))::BIGINT AS x, round(y + abs(min(y) O
 def tile_configuration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tile places from the lines of a stitcher's text file, moved so that none is below zero."""
     s, k = fx.table(spark, sf_dir, "supplier"), F.col("s_suppkey")
-    line = F.concat(F.format_string("Position%04d.tif; ; (", k), (k * 97 % 2048 - 900).cast("string"), F.lit(".6, "), (k * 53 % 2048 - 800).cast("string"), F.lit(".4)"))
+    line = F.concat(fx.position(k), F.lit(".tif; ; ("), (k * 97 % 2048 - 900).cast("string"), F.lit(".6, "), (k * 53 % 2048 - 800).cast("string"), F.lit(".4)"))
     return parse_tiles(s.select(line.alias("line")))
 
 

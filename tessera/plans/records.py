@@ -112,7 +112,7 @@ PARSED = "parsed AS (SELECT id, regexp_extract(line, '^(.*)\\.tif; ; \\(', 1) AS
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles of a stitcher's lines, halves rounded up: id, fov, col, row."""
     k = F.col("s_suppkey")
-    line = F.concat(F.format_string("Position%04d.tif; ; (", k), (k * 97 % 2048).cast("string"), F.lit(".6, "), (k * 53 % 2048).cast("string"), F.lit(".4)"))
+    line = F.concat(fx.position(k), F.lit(".tif; ; ("), (k * 97 % 2048).cast("string"), F.lit(".6, "), (k * 53 % 2048).cast("string"), F.lit(".4)"))
     s = fx.table(spark, sf_dir, "supplier").select(k.alias("id"), line.alias("line"))
     number = lambda p: (F.regexp_extract("line", p, 1).cast("double") + 0.5).cast("long")
     return s.select("id", F.regexp_extract("line", "^(.*)\\.tif; ; \\(", 1).alias("fov"), number("\\((-?[0-9.]+), ").alias("col"), number(", (-?[0-9.]+)\\)").alias("row"))
@@ -149,7 +149,8 @@ links AS (SELECT pos, name, count(*) OVER (PARTITION BY fov) AS linked FROM pos)
 def sample_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each sample's stage positions by its range of fields of view, with what is linked to a position by its name."""
     k = F.col("c_custkey")
-    p = fx.table(spark, sf_dir, "customer").select(F.format_string("Position%04d", k).alias("name"), (k % 25 + 1).alias("fov"), (k * 37 % 500 / 4.0).alias("sx"), (k * 11 % 300 / 4.0).alias("sy"))
+    p = fx.table(spark, sf_dir, "customer").select(fx.position(k).alias("name"), (k % 25 + 1).alias("fov"), (k * 37 % 500 / 4.0).alias("sx"), (k * 11 % 300 / 4.0).alias("sy"))
+    # names of four digits, which longer numbers share, so a place meets the links of all of its name
     links = p.select("name", "fov").join(p.groupBy("fov").agg(F.count("*").alias("linked")), "fov").select("name", "linked")
     return joins.interval_join(p, ranges(spark, sf_dir), "fov", "a", "b").join(links, "name").select("sample_id", "name", "sx", "sy", "linked")
 

@@ -254,3 +254,7 @@ def test_rank_sum_of_large_groups(spark):
     d = spark.createDataFrame([("a", 1, True), ("a", 2, False)], "gene string, n long, near boolean")
     r = expression.rank_sum(d, "gene", "n", "near", F.lit(900_000), F.lit(2_700_000)).first()
     assert (r["n1"], r["n2"]) == (900_000, 2_700_000) and abs(r["u"] - 900_000 * 2_700_000 / 2) < 4e6
+
+
+def test_positions_of_more_than_four_digits(spark):
+    assert [r[0] for r in spark.createDataFrame([(7,), (12345,)], "k long").select(fixtures.position(F.col("k"))).collect()] == ["Position0007", "Position1234"]
