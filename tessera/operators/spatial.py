@@ -19,7 +19,8 @@ def chi_square_yates(a: Column, b: Column, c: Column, d: Column) -> Column:
     """The statistic of a two by two table with Yates's correction; null where a margin is zero."""
     n = a + b + c + d
     gap = F.abs(a * d - b * c) - F.least(F.lit(0.5) * n, F.abs(a * d - b * c))
-    return F.try_divide(n * gap * gap, ((a + b) * (c + d) * (a + c) * (b + d)).cast("double"))
+    # the product of all four is beyond a long from some 55,000 rows on
+    return F.try_divide(n * gap * gap, ((a + b) * (c + d)).cast("double") * ((a + c) * (b + d)).cast("double"))
 
 
 def share(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:

@@ -135,5 +135,7 @@ def border_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = fx.objects(spark, sf_dir)
     cells = spatial.near(spark, sf_dir).join(fx.cells(spark, sf_dir).select("seg_label", "x", "y"), "seg_label").join(o, "object_id")
     inside = lambda px, py: ((px - F.col("cx")) * (px - F.col("cx")) + (py - F.col("cy")) * (py - F.col("cy"))) * 3.141592653589793 <= F.col("area")
+    way = ["x", "y", "cx", "cy", "area"]  # cells at one place go one way
     d = sp.march(F.col("x"), F.col("y"), F.col("cx"), F.col("cy"), inside, 1000)
-    return cells.select("seg_label", "object_id", F.round(d, 6).alias("d"))
+    ways = cells.select(*way).distinct().withColumn("d", F.round(d, 6))
+    return cells.join(ways, way).select("seg_label", "object_id", "d")

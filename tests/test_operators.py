@@ -250,12 +250,35 @@ def test_writers(spark, tmp_path):
     assert sinks.finished(spark, f"{tmp_path}/flags") == ["decode", "stitch"]
 
 
+def test_nearest_by_places(spark):
+    """Sites at few places, as points: no more rows meet than there are places; and so many sites that cells are cut."""
+    rng = random.Random(14)
+    many = [(k, k * 97 % 64, k * 53 % 64) for k in range(4000)]
+    pts = [(k, rng.randrange(64), rng.randrange(64)) for k in range(500)]
+    of = lambda rows, names: spark.createDataFrame(rows, names)
+    got = joins.nearest(of(pts, "p long, x long, y long"), of(many, "s long, sx long, sy long"), ("x", "y"), ("sx", "sy"), "s", 32, 64)
+    want = {p: min(((x - a) ** 2 + (y - b) ** 2, s) for s, a, b in many[:64]) for p, x, y in pts}
+    assert {r.p: (r.d2, r.s) for r in got.collect()} == want
+    sites = [(k, rng.randrange(256), rng.randrange(256)) for k in range(3000)]
+    pts = [(k, rng.randrange(256), rng.randrange(256)) for k in range(500)]
+    got = joins.nearest(of(pts, "p long, x long, y long"), of(sites, "s long, sx long, sy long"), ("x", "y"), ("sx", "sy"), "s", 64, 256)
+    want = {p: min(((x - a) ** 2 + (y - b) ** 2, s) for s, a, b in sites) for p, x, y in pts}
+    assert {r.p: (r.d2, r.s) for r in got.collect()} == want
+
+
 def test_rank_sum_of_large_groups(spark):
     d = spark.createDataFrame([("a", 1, True), ("a", 2, False)], "gene string, n long, near boolean")
     r = expression.rank_sum(d, "gene", "n", "near", F.lit(900_000), F.lit(2_700_000)).first()
     assert (r["n1"], r["n2"]) == (900_000, 2_700_000) and abs(r["u"] - 900_000 * 2_700_000 / 2) < 4e6
 
 
+def test_chi_square_of_large_tables(spark):
+    a, b, c, d = 400_000, 500_000, 1_500_000, 1_200_000
+    r = spark.createDataFrame([(a, b, c, d)], "a long, b long, c long, d long").select(spatial.chi_square_yates(*(F.col(k) for k in "abcd"))).first()[0]
+    want = (a + b + c + d) * (abs(a * d - b * c) - (a + b + c + d) / 2) ** 2 / ((a + b) * (c + d) * (a + c) * (b + d))
+    assert abs(r / want - 1) < 1e-12
+
+
 def test_positions_of_more_than_four_digits(spark):
     assert [r[0] for r in spark.createDataFrame([(7,), (12345,)], "k long").select(fixtures.position(F.col("k"))).collect()] == ["Position0007", "Position1234"]
 
