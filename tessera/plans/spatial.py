@@ -40,8 +40,8 @@ def distance_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {fx.CELLS}, {fx.OBJECTS} SELECT o.object_id, c.cell_type, count(*) AS n FROM cells c JOIN objects o ON (x - cx) * (x - cx) + (y - cy) * (y - cy) <= 22500 GROUP BY ALL""")
 def cells_around(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells within a distance of each structure."""
-    pairs = joins.bucket_join(fx.cells(spark, sf_dir).select("cell_type", "x", "y"), fx.objects(spark, sf_dir), ("x", "y"), ("cx", "cy"), 150)
-    return pairs.groupBy("object_id", "cell_type").agg(F.count("*").alias("n"))
+    o = fx.objects(spark, sf_dir)
+    return joins.counts_around(fx.cells(spark, sf_dir), o, ("x", "y"), ("cx", "cy"), 150, "cell_type", "n").select("object_id", "cell_type", "n")
 
 
 REGIONS = "regions AS (SELECT seg_label, CASE fov % 3 WHEN 0 THEN 'Hippocampus' WHEN 1 THEN 'Cortex' ELSE 'Corpus Callosum' END AS region FROM cells)"

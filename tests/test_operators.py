@@ -290,3 +290,12 @@ def test_numbered_over_several_ranges(spark):
     assert n.agg(F.min("i"), F.max("i"), F.count_distinct("i")).first()[:] == (0, 299_999, 300_000)
     up = n.groupBy((F.col("i") / 1000).cast("long").alias("g")).agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("g").collect()
     assert all(a["hi"] < b["lo"] for a, b in zip(up, up[1:]))
+
+
+def test_counts_around_by_places(spark):
+    rng = random.Random(6)
+    a = [(k % 3, rng.randrange(30) * 10, rng.randrange(30) * 10) for k in range(600)]
+    b = [(k, rng.randrange(30) * 10, rng.randrange(30) * 10) for k in range(60)]
+    got = joins.counts_around(spark.createDataFrame(a, "kind long, x long, y long"), spark.createDataFrame(b, "s long, cx long, cy long"), ("x", "y"), ("cx", "cy"), 70, "kind", "n")
+    want = {(s, k): sum(t == k and (x - u) ** 2 + (y - v) ** 2 <= 4900 for t, x, y in a) for s, u, v in b for k in range(3)}
+    assert {(r.s, r.kind): r.n for r in got.collect()} == {k: n for k, n in want.items() if n}
