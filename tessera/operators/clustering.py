@@ -16,10 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators import joins
+from tessera.operators import density, joins
 from tessera.operators.checkpoints import checkpointed
 
 PAIRS = 1 << 22  # pairs that a task looks at at once
+FEW = 20_000  # reads whose pairs are looked at one by one
 
 
 @dataclass(frozen=True)
@@ -99,7 +100,10 @@ def peaks(reads: DataFrame, keys: list[str], name: str, how: Clustering = Cluste
         core = (x // window == t.column("__wx")[0].as_py()) & (y // window == t.column("__wy")[0].as_py())
         if not core.any():
             return t.select([*keys, name, name, name]).rename_columns(schema.names).slice(0, 0).set_column(len(keys) + 2, "done", pa.array([], pa.bool_()))
-        to = np.where(core, followed(x, y, z, names, how.xy_radius, how.z_radius), np.arange(len(x)))
+        if len(x) > FEW and density.fits(x, y, z, how.xy_radius):
+            to = density.followed(x, y, z, names, how.xy_radius, how.z_radius, core)
+        else:
+            to = np.where(core, followed(x, y, z, names, how.xy_radius, how.z_radius), np.arange(len(x)))
         while (to[to] != to).any():
             to = to[to]
         rows = np.flatnonzero(core)
