@@ -41,8 +41,11 @@ def crop_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     inside = ops.within(F.col("x"), F.lit(200), F.lit(1800)) & ops.within(F.col("y"), F.lit(100), F.lit(1500))
     kept = fx.cells(spark, sf_dir).where(inside).select("seg_label")
     r = fx.reads(spark, sf_dir)
-    out = r.where("seg_label > 0").join(kept, "seg_label", "left_semi").unionByName(r.where((F.col("seg_label") == 0) & inside))
-    return out.groupBy((F.col("seg_label") == 0).alias("background"), "gene").agg(F.count("*").alias("n"), F.countDistinct("seg_label").alias("cells"))
+    # counted by cell before anything is sorted or joined; the background counts as one cell
+    own = r.where("seg_label > 0").groupBy("seg_label", "gene").agg(F.count("*").alias("n")).join(kept, "seg_label", "left_semi")
+    own = own.groupBy("gene").agg(F.sum("n").alias("n"), F.count("*").alias("cells")).withColumn("background", F.lit(False))
+    rest = r.where((F.col("seg_label") == 0) & inside).groupBy("gene").agg(F.count("*").alias("n")).withColumn("cells", F.lit(1).cast("long"))
+    return own.unionByName(rest.withColumn("background", F.lit(True))).select("background", "gene", "n", "cells")
 
 
 @query(f"""WITH {fx.READS}, {fx.CODEBOOK} SELECT fov, count(*) AS n_reads, count(*) FILTER (WHERE seg_label > 0 AND codebook.gene IS NOT NULL) AS assigned,
