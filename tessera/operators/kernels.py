@@ -4,6 +4,7 @@ spreads the images over its tasks and a task holds one image at a time."""
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
@@ -221,8 +222,8 @@ def hull(x: np.ndarray, y: np.ndarray) -> list[tuple[float, float]]:
         return out[:-1]
 
     corners = chain(pts) + chain(pts[::-1])
-    cx, cy = np.mean([p[0] for p in corners]), np.mean([p[1] for p in corners])
-    return sorted(corners, key=lambda p: (np.arctan2(p[1] - cy, p[0] - cx), p))
+    cx, cy = sum(p[0] for p in corners) / len(corners), sum(p[1] for p in corners) / len(corners)
+    return sorted(corners, key=lambda p: (math.atan2(p[1] - cy, p[0] - cx), p))
 
 
 def median(a: np.ndarray, size: int) -> np.ndarray:

@@ -113,12 +113,8 @@ def local_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cell_hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outline of each cell's reads."""
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        corners = k.hull(p.x.to_numpy(), p.y.to_numpy())
-        return pd.DataFrame({"seg_label": [int(p.seg_label.iloc[0])] * len(corners), "corner": range(len(corners)), "x": [c[0] for c in corners], "y": [c[1] for c in corners]})
-
-    r = fx.reads(spark, sf_dir).where("seg_label > 0").select("seg_label", "x", "y").distinct()
-    return r.groupBy("seg_label").applyInPandas(run, "seg_label long, corner long, x long, y long")
+    r = fx.reads(spark, sf_dir).where("seg_label > 0")
+    return sp.hulls(r, "seg_label", "x", "y")
 
 
 MARCH = f"""{spatial.NEAREST}, o AS (SELECT n.seg_label, n.object_id, c.x::DOUBLE AS x, c.y::DOUBLE AS y, cx, cy, objects.area AS area, sqrt(d2) AS d FROM near n JOIN cells c USING (seg_label) JOIN objects USING (object_id)),

@@ -299,3 +299,16 @@ def test_counts_around_by_places(spark):
     got = joins.counts_around(spark.createDataFrame(a, "kind long, x long, y long"), spark.createDataFrame(b, "s long, cx long, cy long"), ("x", "y"), ("cx", "cy"), 70, "kind", "n")
     want = {(s, k): sum(t == k and (x - u) ** 2 + (y - v) ** 2 <= 4900 for t, x, y in a) for s, u, v in b for k in range(3)}
     assert {(r.s, r.kind): r.n for r in got.collect()} == {k: n for k, n in want.items() if n}
+
+
+def test_hulls_of_many_cells(spark):
+    """Hulls of rows of cells equal each cell's own; a column of points is cut to its ends before."""
+    rng = np.random.default_rng(0)
+    points = [(int(c), int(x), int(y)) for c, x, y in zip(rng.integers(0, 60, 900), rng.integers(0, 40, 900), rng.integers(0, 40, 900))]
+    points += [(100, 7, y) for y in range(50)] + [(101, x, 3) for x in range(9)] + [(102, 5, 5), (102, 5, 5)] + [(103, x, 9 - x) for x in range(9)]
+    got = {}
+    for r in spatial.hulls(spark.createDataFrame(points, "cell long, x long, y long"), "cell", "x", "y").orderBy("cell", "corner").collect():
+        got.setdefault(r.cell, []).append((r.x, r.y))
+        assert r.corner == len(got[r.cell]) - 1
+    want = {c: kernels.hull(*(np.array([p[k] for p in points if p[0] == c]) for k in (1, 2))) for c in {p[0] for p in points}}
+    assert got == want and got[100] == [(7, 0), (7, 49)]
