@@ -312,3 +312,18 @@ def test_hulls_of_many_cells(spark):
         assert r.corner == len(got[r.cell]) - 1
     want = {c: kernels.hull(*(np.array([p[k] for p in points if p[0] == c]) for k in (1, 2))) for c in {p[0] for p in points}}
     assert got == want and got[100] == [(7, 0), (7, 49)]
+
+
+def test_components_read_reads_once(spark):
+    """The table of cells and genes behind the components is made once, and its scaled logarithms equal those of the long table."""
+    from tessera.plans import expression as plan
+    from tests.conftest import SF
+
+    files = plan.pca(spark, SF).inputFiles()
+    assert files and not any("lineitem" in f for f in files)
+    panel = sorted(r[0] for r in fixtures.codebook(spark, SF).select("gene").collect())
+    wide = expression.counts_by_cell(fixtures.reads(spark, SF).where("seg_label > 0"), "seg_label", "gene", panel)
+    got = {r.seg_label: r[1:] for r in expression.scaled_counts(wide, "seg_label", len(panel), 10000.0).collect()}
+    want = {(r.seg_label, r.gene): r.z or 0.0 for r in plan.scaled(spark, SF).collect()}
+    assert len(want) == len(got) * len(panel)
+    assert all(abs(z - want[cell, g]) < 1e-9 for cell, row in got.items() for g, z in zip(panel, row))
