@@ -327,3 +327,17 @@ def test_components_read_reads_once(spark):
     want = {(r.seg_label, r.gene): r.z or 0.0 for r in plan.scaled(spark, SF).collect()}
     assert len(want) == len(got) * len(panel)
     assert all(abs(z - want[cell, g]) < 1e-9 for cell, row in got.items() for g, z in zip(panel, row))
+
+
+def test_nearest_of_all(spark):
+    """Every row as a query: equal to all pairs compared, with copies, ties and blocks smaller than the rows; and no row passes through the driver."""
+    rng = np.random.default_rng(1)
+    v = np.r_[rng.integers(0, 4, (150, 3)).astype(float), rng.random((60, 3)), np.ones((40, 3))]
+    names = rng.permutation(1000)[: len(v)]
+    rows = spark.createDataFrame([(int(n), [float(c) for c in a]) for n, a in zip(names, v)] + [(5000, None)], "id long, v array<double>")
+    got = {}
+    for r in expression.nearest_of_all(rows, "id", "v", 6, 30, 64).orderBy("q", "k").collect():
+        got.setdefault(r.q, []).append((r.d, r.b))
+        assert r.k == len(got[r.q])
+    want = {int(n): sorted((float(round(((a - b) ** 2).sum(), 6)), int(m)) for m, b in zip(names, v) if m != n)[:6] for n, a in zip(names, v)}
+    assert got == want
