@@ -56,12 +56,16 @@ def structure_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distance(spark, sf_dir)
 
 
+def blank(mask: DataFrame) -> DataFrame:
+    """Images without features where there are structures."""
+    one = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SIZE - 1).cast("long")))
+    return mask.select("slide").distinct().withColumn("y", one).withColumn("x", one).withColumn("v", F.lit(0.0))
+
+
 def territories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels propagated over images without features."""
     mask = labels(spark, sf_dir)
-    one = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SIZE - 1).cast("long")))
-    blank = mask.select("slide").distinct().withColumn("y", one).withColumn("x", one).withColumn("v", F.lit(0.0))
-    return st.propagate(blank, mask, ["slide"], SIZE, SIZE)
+    return st.propagate(blank(mask), mask, ["slide"], SIZE, SIZE)
 
 
 @query(f"WITH RECURSIVE {LABELS}, {GRID}, {REACHED} SELECT slide, y, x, label, round(cost / {UNIT}, 6) AS cost FROM reached")
@@ -79,8 +83,8 @@ def propagate_over_image(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ring_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """slide, label, ring, area: pixels of each ring that belong to each structure."""
-    ring = distance(spark, sf_dir).select("slide", "y", "x", st.ring_of(F.col("d2"), DIAMETERS).alias("ring")).where("ring is not null")
-    return ring.join(territories(spark, sf_dir), ["slide", "y", "x"]).groupBy("slide", "label", "ring").agg(F.count("*").alias("area"))
+    mask = labels(spark, sf_dir)
+    return st.ring_areas(mask, st.propagated_strips(blank(mask), mask, ["slide"], SIZE, SIZE), ["slide"], SIZE, SIZE, DIAMETERS)
 
 
 AREAS = f"ring_areas AS (SELECT slide, r.label, ring, count(*) AS area FROM (SELECT slide, y, x, {RING} AS ring FROM distance) JOIN reached r USING (slide, y, x) WHERE ring IS NOT NULL GROUP BY ALL)"
