@@ -3,8 +3,9 @@
 Sets with a Jaccard similarity of at least s are linked, and documents get the smallest id reachable by links. Equal sets
 are one set from the start. A set, ordered by hash, is cut at fixed points of that order into more runs than two linked
 sets can have differences, so linked sets share a run: runs are the compressed edges by which sets are dealt to tasks.
-Sets that share a run, directly or through others, make a block; no link leaves a block. Within a block the sets are
-put, in one order (most frequent n-gram first, so that near copies share long paths), into a prefix tree, which
+Below 90 percent runs would hold few elements, often one that unrelated sets share too; there, windows of elements that
+follow each other in a set take their place. Sets that share a run or window, directly or through others, make a block; no
+link leaves a block. Within a block the sets are put, in one order (most frequent n-gram first, so that near copies share long paths), into a prefix tree, which
 each set then traverses with its overlap so far: branches whose remaining lengths can't bring the overlap to the bound
 are pruned, and a branch under which the bound is met for every set is linked as a whole.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import text as tx
-from tessera.llm.common import components, prepare, stage
+from tessera.llm.common import components, drop, prepare, stage
 
 
 def shingles(data: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,6 +143,78 @@ def _cut(key, at, sets, c, classes, use, kind) -> tuple[np.ndarray, np.ndarray,
     return tx.mix(sums + tx.mix(label))[shown], sets[owner[shown]], sets[many]
 
 
+class Windows:
+    """Lengths of stretches that linked sets share, by the size of a set.
+
+    Two linked sets whose union has u elements differ in at most u * (1 - s) of them, which leave no more than one gap more between them, in
+    the order of hashes; in the longest gap, `least(u)` or more elements follow each other in both sets alike. `uses[n, length]` tells that
+    a set of n elements can have a partner with which it shares a stretch of that length; from `large` elements on this is `length` alone.
+    """
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.length = -(-percent // (100 - percent)) if percent < 100 else 1
+        self.large = 100 * self.length
+        self.uses = np.zeros((self.large + 1, self.length + 1), bool)
+        for n in range(1, self.large + 1):
+            for u in range(n, 100 * n // percent + 1):
+                if self.differences(u):  # else linked sets are equal
+                    self.uses[n, min(self.least(u), self.length)] = True
+
+    def differences(self, u):
+        return u * (100 - self.percent) // 100
+
+    def least(self, u: int) -> int:
+        d = self.differences(u)
+        return -(-(u - d) // (d + 1))
+
+
+def window_keys(key: np.ndarray, at: np.ndarray, windows: Windows, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, set of each): as run_keys, linked sets that aren't equal share a key, which stands for elements that follow each other in both.
+
+    With flags of frequent n-grams, windows are of the others first: shorter ones by a quarter, which a set that keeps enough elements shares with
+    all partners. Sets left with too few have windows of all their n-grams besides: of two linked sets either one keeps enough, or both have the
+    second kind too.
+    """
+    sizes = np.diff(at)
+    sets = np.arange(len(sizes))
+    out, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    if frequent is not None and frequent.any():
+        owner = np.repeat(sets, sizes)
+        use = ~frequent[key >> np.uint64(64 - FREQUENT_BITS)]
+        length = max(2, 3 * windows.length // 4)
+        k, o = _windows(key[use], owner[use], length, 1)
+        out.append(k)
+        owners.append(o)
+        differ = windows.differences(100 * sizes // windows.percent)  # the most that a set and a partner can
+        sets = np.flatnonzero(np.bincount(owner[use], minlength=len(sizes)) < (length - 1) * (differ + 1) + 1 + differ)
+    for length in np.flatnonzero(windows.uses.any(0)):
+        able = np.zeros(len(sizes), bool)
+        able[sets] = windows.uses[np.minimum(sizes[sets], windows.large), length]
+        own = np.repeat(able, sizes)
+        k, o = _windows(key[own], np.repeat(np.arange(len(sizes)), sizes)[own], int(length), 0)
+        out.append(k)
+        owners.append(o)
+    return np.concatenate(out), np.concatenate(owners)
+
+
+def _windows(value: np.ndarray, owner: np.ndarray, length: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of windows with the set of each, such that sets which share `length` elements in a row share one: of as many windows in a row as fit into
+    that length the one with the least key. A window has half as many elements, and two at least."""
+    wide = min(length, max(2, length // 2))
+    many = length - wide + 1
+    total = np.zeros(len(value) + 1, np.uint64)
+    np.cumsum(tx.mix(value), out=total[1:])
+    label = tx.mix(np.array([length << 8 | kind], np.uint64))
+    k = tx.mix(total[wide:] - total[:-wide] + label) if len(value) >= wide else np.zeros(0, np.uint64)
+    first = np.flatnonzero(owner[: len(value) - length + 1] == owner[length - 1 :]) if len(value) >= length else np.zeros(0, np.int64)
+    best = np.min([k[first + j] for j in range(many)], axis=0) if len(first) else np.zeros(0, np.uint64)
+    taken = np.zeros(len(k), bool)
+    for j in range(many):
+        taken[first[k[first + j] == best] + j] = True
+    return k[taken], owner[: len(k)][taken]
+
+
 class PrefixTree:
     """Sets of small integers, each in ascending order, as paths of a tree whose edges hold runs of elements.
 
@@ -318,6 +391,7 @@ def cluster(
     block_shingles: int = 50_000,
     pivots: int = 8,
     leave_out_frequent: bool | None = None,
+    parts: int = 4,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of every document: the smallest doc_id reachable by links, itself included.
 
@@ -325,14 +399,15 @@ def cluster(
     Blocks of more than block_shingles elements are split. First all sets of such a block are compared with a few `pivots` of it, which
     takes tasks in proportion to its size. What that joins to the largest component is most of a group of near copies and needs
     no comparison within itself; the sets outside are compared with all of the block, each pair of parts in a task of its own.
-    leave_out_frequent: cut runs from the less frequent n-grams only, which takes a pass more; by default below 90 percent, where runs
-    are so short that documents with a passage in common would share some.
+    leave_out_frequent: cut runs and windows from the less frequent n-grams only, which takes a pass more; by default below 90 percent,
+    where they are so short that documents with a passage in common would share some.
+    Runs and windows go in `parts` parts, one after another, so that their shuffle needs that share of the disk.
 
     Null, empty and wordless texts have the empty set, linked with nothing. Rows without doc_id have no identity and are
     left out. Repeated rows are one document with one row for each; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
-    classes = Classes(percent, most_shingles)
+    classes, windows = (Classes(percent, most_shingles), None) if percent >= 90 else (None, Windows(percent))
     source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     if leave_out_frequent is None:
@@ -354,7 +429,7 @@ def cluster(
             chosen = np.flatnonzero(fresh)
             part = np.concatenate([key[at[k] : at[k + 1]] for k in chosen]) if len(chosen) else key[:0]
             at_chosen = np.concatenate([[0], np.cumsum(sizes[chosen])]).astype(np.int64)
-            runs, owner = run_keys(part, at_chosen, classes, percent, known)
+            runs, owner = run_keys(part, at_chosen, classes, percent, known) if classes else window_keys(part, at_chosen, windows, known)
             order = np.argsort(owner, kind="stable")
             n = np.zeros(len(sizes), np.int64)
             if len(chosen):
@@ -368,14 +443,17 @@ def cluster(
                 ["doc_id", "n_shingles", "f1", "f2", "runs"],
             )
 
-    marks = stage(source.mapInArrow(mark, "doc_id long, n_shingles long, f1 long, f2 long, runs array<long>"), "jaccard-marks")
+    cut = stage(source.mapInArrow(mark, "doc_id long, n_shingles long, f1 long, f2 long, runs array<long>"), "jaccard-cut")
+    least = None
+    for k in range(parts):
+        # a run's sets are joined to the least of them, which makes one row for each, not one for each pair
+        runs = cut.select("f1", F.explode(F.filter("runs", lambda r: F.pmod(r, F.lit(parts)) == k)).alias("run"))  # noqa: B023
+        runs = runs.withColumn("least", F.expr("min(f1) over (partition by run)")).where("f1 <> least").select(F.col("f1").alias("a"), F.col("least").alias("b"))
+        runs = stage(runs.distinct(), "jaccard-runs")
+        least = runs if least is None else least.unionByName(runs)
+    marks = stage(cut.drop("runs"), "jaccard-marks")
+    drop(cut)
     sets = marks.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
-    # a run's sets are joined to the least of them, which makes one row for each, not one for each pair
-    runs = marks.select("f1", F.explode("runs").alias("run"))
-    least = stage(
-        runs.withColumn("least", F.expr("min(f1) over (partition by run)")).where("f1 <> least").select(F.col("f1").alias("a"), F.col("least").alias("b")).distinct(),
-        "jaccard-runs",
-    )
     member = stage(components(least), "jaccard-blocks")
     sets = stage(sets, "jaccard-sets")
     picked = stage(sets.join(member.withColumnRenamed("node", "f1"), "f1").withColumnRenamed("component", "block"), "jaccard-picked")

@@ -76,6 +76,50 @@ def test_linked_sets_share_a_run_and_the_tree_finds_all_links(percent, flagged):
         assert jaccard_join.link_sets(sets, percent) == classes_of(len(sets), links)
 
 
+@pytest.mark.parametrize("percent", [89, 85, 80, 60, 45])
+@pytest.mark.parametrize("flagged", [False, True])
+def test_linked_sets_share_a_window(percent, flagged):
+    rng, gen = random.Random(percent), np.random.default_rng(percent)
+    windows, shared = jaccard_join.Windows(percent), 0
+    for _ in range(25):
+        passage = gen.integers(0, 2**63, 150).astype(np.uint64) * np.uint64(2) if flagged else None
+        flags = np.zeros(1 << jaccard_join.FREQUENT_BITS, bool)
+        if flagged:
+            flags[passage >> np.uint64(64 - jaccard_join.FREQUENT_BITS)] = True
+        sets = random_sets(rng, gen, passage)
+        plain = [set(s.tolist()) for s in sets]
+        keys, owner = jaccard_join.window_keys(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), windows, flags)
+        own = [set(keys[owner == i].tolist()) for i in range(len(sets))]
+        links = [(i, j) for i in range(len(sets)) for j in range(i) if plain[i] != plain[j] and 100 * len(plain[i] & plain[j]) >= percent * len(plain[i] | plain[j])]
+        assert all(own[i] & own[j] for i, j in links)
+        shared += len(links)
+    assert shared > 100
+
+
+def test_sets_that_share_single_ngrams_by_chance_make_no_block(spark, monkeypatch):
+    """Every document has a few five-word n-grams in common with others, as happens in large collections. None is like another."""
+    rng = random.Random(4)
+    common = [" ".join("c%d" % rng.randrange(10**6) for _ in range(5)) for _ in range(400)]
+    docs = []
+    for k in range(600):
+        words = [" ".join("w%d" % rng.randrange(10**9) for _ in range(20)) for _ in range(12)]
+        for at in rng.sample(range(12), 6):
+            words[at] += " " + rng.choice(common)
+        docs.append((k, " ".join(words), "en", "s", 0))
+    picked, stage = [], jaccard_join.stage
+
+    def seen(df, name):
+        out = stage(df, name)
+        if name == "jaccard-picked":
+            picked.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stage", seen)
+    got = jaccard_join.cluster(spark.createDataFrame(docs, helpers.SCHEMA).repartition(4), words=5, percent=80)
+    assert all(r.component_id == r.doc_id for r in got.collect())
+    assert picked[0] < 30
+
+
 def shingle_set(t, k):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
     w = [x for x in __import__("re").split(r"[\x20\x09-\x0D]+", lower) if x]
