@@ -20,7 +20,7 @@ from tessera.operators import density, joins
 from tessera.operators.checkpoints import checkpointed
 
 PAIRS = 1 << 22  # pairs that a task looks at at once
-FEW = 20_000  # reads whose pairs are looked at one by one
+FEW = 4_000  # reads whose pairs are looked at one by one
 
 
 @dataclass(frozen=True)
@@ -87,10 +87,11 @@ def followed(x: np.ndarray, y: np.ndarray, z: np.ndarray, name: np.ndarray, xy_r
     return out
 
 
-def peaks(reads: DataFrame, keys: list[str], name: str, how: Clustering = Clustering()) -> DataFrame:
-    """keys, name and cell (the name of the read's peak) of reads (keys, name, x, y, z: integers; names differ within the keys)."""
+def peaks(reads: DataFrame, keys: list[str], name: str, how: Clustering = Clustering(), carry: tuple[str, ...] = ()) -> DataFrame:
+    """keys, name, `carry` (of x, y and z) and cell (the name of the read's peak) of reads (keys, name, x, y, z: integers; names differ within the
+    keys)."""
     margin, window = 2 * how.xy_radius, how.window
-    schema = reads.select(*keys, name).schema.add("to", reads.schema[name].dataType).add("done", "boolean")
+    schema = reads.select(*keys, name, *carry).schema.add("to", reads.schema[name].dataType).add("done", "boolean")
     sent = reads.select(*keys, name, "x", "y", "z")
     for axis, w in (("x", "__wx"), ("y", "__wy")):
         sent = sent.withColumn(w, F.explode(F.sequence(F.floor((F.col(axis) - margin) / window), F.floor((F.col(axis) + margin) / window))))
@@ -99,7 +100,7 @@ def peaks(reads: DataFrame, keys: list[str], name: str, how: Clustering = Cluste
         x, y, z, names = (t.column(c).to_numpy() for c in ("x", "y", "z", name))
         core = (x // window == t.column("__wx")[0].as_py()) & (y // window == t.column("__wy")[0].as_py())
         if not core.any():
-            return t.select([*keys, name, name, name]).rename_columns(schema.names).slice(0, 0).set_column(len(keys) + 2, "done", pa.array([], pa.bool_()))
+            return t.select([*keys, name, *carry, name, name]).rename_columns(schema.names).slice(0, 0).set_column(len(schema.names) - 1, "done", pa.array([], pa.bool_()))
         if len(x) > FEW and density.fits(x, y, z, how.xy_radius):
             to = density.followed(x, y, z, names, how.xy_radius, how.z_radius, core)
         else:
@@ -108,12 +109,12 @@ def peaks(reads: DataFrame, keys: list[str], name: str, how: Clustering = Cluste
             to = to[to]
         rows = np.flatnonzero(core)
         at = pa.array(rows)
-        return pa.table([*(t.column(c).take(at) for c in (*keys, name)), pa.array(names[to[rows]]), pa.array(core[to[rows]])], schema.names)
+        return pa.table([*(t.column(c).take(at) for c in (*keys, name, *carry)), pa.array(names[to[rows]]), pa.array(core[to[rows]])], schema.names)
 
     led = checkpointed(sent.groupBy(*keys, "__wx", "__wy").applyInArrow(run, schema))
     place = [*keys, name]
     doors = led.where("not done").select(*keys, F.col("to").alias(name)).distinct()
-    doors = checkpointed(led.join(doors, place, "left_semi"))  # reads that others of another window are led to
+    doors = checkpointed(led.select(*place, "to", "done").join(doors, place, "left_semi"))  # reads that others of another window are led to
     while not doors.where("not done").isEmpty():
         onward = doors.select(*keys, F.col(name).alias("to"), F.col("to").alias("__to"), F.col("done").alias("__done"))
         step = doors.join(onward, [*keys, "to"], "left")
@@ -122,24 +123,27 @@ def peaks(reads: DataFrame, keys: list[str], name: str, how: Clustering = Cluste
         doors = checkpointed(step, doors)
     ends = doors.select(*keys, F.col(name).alias("to"), F.col("to").alias("__to"))
     out = led.join(ends, [*keys, "to"], "left")
-    return out.select(*place, F.when(F.col("done"), F.col("to")).otherwise(F.col("__to")).alias("cell"))
-
-
-def cells(reads: DataFrame, keys: list[str], name: str, how: Clustering = Clustering()) -> DataFrame:
-    """keys, name, is_noise and cell of every read: reads with fewer neighbours in the plane than a share of their field's are noise and take no part;
-    noise, and reads of cells with fewer than `min_reads`, have the cell -1."""
-    near = joins.neighbours(reads, keys, name, ("x", "y"), how.xy_radius)
-    least = near.groupBy(*keys).agg(F.percentile("near", how.noise_share).alias("__q"))
-    flagged = near.join(least, keys).select(*keys, name, (F.col("near") < F.col("__q")).alias("is_noise"))
-    flagged = checkpointed(flagged)
-    good = reads.join(flagged.where("not is_noise"), [*keys, name], "left_semi")
-    found = checkpointed(peaks(good, keys, name, how))
+    return out.select(*place, *carry, F.when(F.col("done"), F.col("to")).otherwise(F.col("__to")).alias("cell"))
+
+
+def cells(reads: DataFrame, keys: list[str], name: str, how: Clustering = Clustering(), carry: tuple[str, ...] = ()) -> DataFrame:
+    """keys, name, `carry` (of x, y and z), is_noise and cell of every read: reads with fewer neighbours in the plane than a share of their field's are
+    noise and take no part; noise, and reads of cells with fewer than `min_reads`, have the cell -1.
+
+    Reads are counted and led to their peaks once, each with its place, so they are made and dealt once for either and never joined to themselves."""
+    near = checkpointed(joins.neighbours(reads, keys, name, ("x", "y"), how.xy_radius, ("x", "y", "z")))
+    least = checkpointed(near.groupBy(*keys).agg(F.percentile("near", how.noise_share).alias("__q")))
+    flagged = near.join(least, keys).withColumn("is_noise", F.col("near") < F.col("__q"))
+    found = checkpointed(peaks(flagged.where("not is_noise"), keys, name, how, carry))
     size = found.groupBy(*keys, "cell").agg(F.count("*").alias("__n"))
-    found = found.join(size.where(F.col("__n") >= how.min_reads), [*keys, "cell"]).select(*keys, name, "cell")
-    return flagged.join(found, [*keys, name], "left").select(*keys, name, "is_noise", F.coalesce("cell", F.lit(-1)).alias("cell"))
+    cell = F.when(F.col("__n") >= how.min_reads, F.col("cell")).otherwise(-1).alias("cell")
+    found = found.join(size, [*keys, "cell"]).select(*keys, name, *carry, F.lit(False).alias("is_noise"), cell)
+    return found.unionByName(flagged.where("is_noise").select(*keys, name, *carry, "is_noise", F.lit(-1).alias("cell")))
 
 
 def centers(reads: DataFrame, found: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """keys, cell, reads and the mean column, row and plane of each cell."""
-    placed = reads.select(*keys, name, "x", "y", "z").join(found.where("cell <> -1"), [*keys, name])
+    """keys, cell, reads and the mean column, row and plane of each cell; found may carry its reads' places itself."""
+    placed = found.where("cell <> -1")
+    if not {"x", "y", "z"} <= set(found.columns):
+        placed = reads.select(*keys, name, "x", "y", "z").join(placed, [*keys, name])
     return placed.groupBy(*keys, "cell").agg(F.count("*").alias("reads"), F.avg("x").alias("column"), F.avg("y").alias("row"), F.avg("z").alias("z_axis"))

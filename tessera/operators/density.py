@@ -75,7 +75,8 @@ def followed(x: np.ndarray, y: np.ndarray, z: np.ndarray, name: np.ndarray, xy_r
     own for a peak and for points outside the core. A point is denser if more lie within the radii of it, or as many and its name is smaller.
 
     Points of one place are equally dense, so all but the smallest name follow that one, and places are settled by their first points: around a
-    place other places are looked at in the order of their distance, all of one distance at once, until one is denser; few places need many."""
+    place other places are looked at in the order of their distance, the more distances at once the fewer places are left, until one is denser; few
+    places need many."""
     r = Raster(x, y, z, name, xy_radius)
     box = [(a >= a[core].min() - xy_radius) & (a <= a[core].max() + xy_radius) for a in (x, y)]
     rho = np.r_[counts(r, (box[0] & box[1])[r.first], xy_radius, z_radius), 0]
@@ -94,23 +95,30 @@ def followed(x: np.ndarray, y: np.ndarray, z: np.ndarray, name: np.ndarray, xy_r
     far, step = np.concatenate(ways, 1)
     order = np.argsort(far, kind="stable")
     far, step = far[order], step[order]
-    begin = np.flatnonzero(np.r_[True, far[1:] != far[:-1]])
+    ring = np.cumsum(np.r_[True, far[1:] != far[:-1]]) - 1  # of one distance; the first is the place itself
+    end = np.r_[np.flatnonzero(ring[1:] != ring[:-1]) + 1, len(far)]
     own = np.zeros(many, bool)
     own[r.of[core]] = True
     left = np.flatnonzero(own)
-    for a, b in zip(begin[1:], np.r_[begin[2:], len(far)]):  # all but the place itself
-        if not len(left):
-            break
-        many_at_once = max(1, (1 << 21) // int(b - a))
+    k, at_once = 1, 1 << 18
+    while k < len(end) and len(left):
+        a = end[k - 1]
+        k = max(k + 1, int(np.searchsorted(end, a + at_once // len(left), "right")))
+        b = end[k - 1]
+        many_at_once = max(1, at_once // int(b - a))
         rest = []
-        for k in range(0, len(left), many_at_once):
-            part = left[k : k + many_at_once]
+        for begin in range(0, len(left), many_at_once):
+            part = left[begin : begin + many_at_once]
             near = number[(r.at[part] + reach * r.plane)[:, None] + step[a:b]]
-            gap = rho[near] - rho[part][:, None]
-            able = (gap > 0) | ((gap == 0) & (names[near] < names[part][:, None]))
+            dense, own_rho = rho[near], rho[part][:, None]
+            able = dense > own_rho
+            row, column = np.nonzero(dense == own_rho)
+            able[row, column] = names[near[row, column]] < names[part[row]]
             hit = able.any(1)
             if hit.any():
-                best = np.where(able[hit], names[near[hit]], np.iinfo(np.int64).max).argmin(1)
+                able, own_ring = able[hit], ring[a:b]
+                able &= own_ring == own_ring[able.argmax(1)][:, None]
+                best = np.where(able, names[near[hit]], np.iinfo(np.int64).max).argmin(1)
                 up[part[hit]] = near[hit][np.arange(len(best)), best]
             rest.append(part[~hit])
         left = np.concatenate(rest)

@@ -227,5 +227,5 @@ def clustered_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cluster_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The centres of the cells that reads were grouped to."""
     s = spots(spark, sf_dir)
-    c = clustering.centers(s, clustering.cells(s, ["fov"], "id", CLUSTER), ["fov"], "id")
+    c = clustering.centers(s, clustering.cells(s, ["fov"], "id", CLUSTER, ("x", "y", "z")), ["fov"], "id")
     return c.select("fov", "cell", "reads", *[F.round(n, 6).alias(n) for n in ("column", "row", "z_axis")])

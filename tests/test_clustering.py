@@ -85,3 +85,27 @@ def test_no_reads_and_many_at_one_place(spark):
     assert cl.cells(empty, ["fov"], "id", how).count() == 0
     same = spark.createDataFrame([(1, k, 5, 5, 1) for k in range(5000)], "fov long, id long, x long, y long, z long")
     assert {r.cell for r in cl.peaks(same, ["fov"], "id", how).collect()} == {0}
+
+
+def test_reads_are_made_once(spark):
+    """Neighbours, their share and the peaks take the same reads; places that cells carry give the same centres as those of the reads."""
+    how = cl.Clustering(xy_radius=10, z_radius=5, min_reads=6, window=64)
+    rows = [(f, *r) for f in (1, 2) for r in field(f, 300, 150, 8)]
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    reads = spark.createDataFrame(rows, "fov long, id long, x long, y long, z long")
+    counted = reads.mapInArrow(count, reads.schema)
+    plain_cells = cl.cells(reads, ["fov"], "id", how)
+    carried = cl.cells(counted, ["fov"], "id", how, ("x", "y", "z"))
+    key = lambda d: sorted(tuple(r) for r in d.collect())
+    assert key(carried.select(plain_cells.columns)) == key(plain_cells)
+    assert key(carried.select("fov", "id", "x", "y", "z")) == sorted(rows)
+    assert made.value == len(rows)
+    centres = lambda d: {(r.fov, r.cell): (r.reads, round(r.column, 9), round(r.row, 9), round(r.z_axis, 9)) for r in d.collect()}
+    assert centres(cl.centers(counted, carried, ["fov"], "id")) == centres(cl.centers(reads, plain_cells, ["fov"], "id"))
+    assert made.value == len(rows)
